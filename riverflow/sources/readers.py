@@ -19,8 +19,9 @@ def _json(spark: SparkSession, schema: T.StructType, path: str | list[str], mode
           multiline: bool, corrupt_column: str | None) -> DataFrame:
     if corrupt_column:
         schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType(), True)])
-    reader = (spark.read.schema(schema).option("mode", mode).option("multiLine", multiline)
-              .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]"))
+    # No explicit timestampFormat: Spark's default ISO parsing accepts
+    # "...Z" and offsets with any number of fractional digits.
+    reader = spark.read.schema(schema).option("mode", mode).option("multiLine", multiline)
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.json(path)

@@ -35,11 +35,17 @@ def clustered(df: DataFrame, cluster_by: list[str] | None,
             .sortWithinPartitions(*cluster_by))
 
 
+# Text formats keep microseconds and the UTC offset of every timestamp.
+TEXT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def _write(df: DataFrame, target: str, mode: str, fmt: str, cluster_by: list[str] | None,
            partition_by: list[str] | None) -> int:
     obs = Observation("rows_written")
     out = clustered(df, cluster_by).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode)
+    if fmt in ("json", "csv"):
+        writer = writer.option("timestampFormat", TEXT_TIMESTAMP_FORMAT)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if _is_path(target):

@@ -41,10 +41,12 @@ def stream_dedup(stream: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     """De-duplicate overlapping pulls within the watermark.
 
     The key is the 16 landed columns, ``date_obs`` included; state for a key
-    is dropped once the watermark passes its ``date_obs`` + delay.
+    is dropped once the watermark passes its ``date_obs`` + delay.  Output
+    columns are those of the batch ``live_dedup``.
     """
     return (stream.withWatermark("date_obs", delay)
-            .dropDuplicatesWithinWatermark(schemas.LIVE_DEDUP_COLUMNS))
+            .dropDuplicatesWithinWatermark(schemas.LIVE_DEDUP_COLUMNS)
+            .select(*schemas.LIVE_DEDUP_COLUMNS))
 
 
 def _latest_struct_cols() -> list[str]:
