@@ -58,9 +58,15 @@ def _lat(key: Column) -> Column:
     return (F.lit(40) + key % 14).cast("double")
 
 
-def _live_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """fx_live_base plus the event id it came from."""
-    ev = table(spark, sf_dir, "events")
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table as a file stream (schema from the file footer)."""
+    schema = table(spark, sf_dir, name).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+            .parquet(sf_dir))
+
+
+def live_mapped(ev: DataFrame) -> DataFrame:
+    """Events mapped to live records, keeping the event id (batch or stream)."""
     uid, eid, et = F.col("user_id"), F.col("event_id"), F.col("event_type")
     mapped = ev.select(
         eid.alias("event_id"),
@@ -78,6 +84,10 @@ def _live_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(mapped, schemas.struct([("event_id", schemas.L)] + schemas.LIVE_FIELDS))
 
 
+def _live_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live_mapped(table(spark, sf_dir, "events"))
+
+
 def fx_live_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One live observation per event; NULL stations (1 in 97) and NULL
     measures are deliberate, coordinates straddle the bounding box."""
@@ -87,7 +97,12 @@ def fx_live_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fx_live_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each observation landed twice, 5 and 10 minutes after it was taken,
     as the overlapping 10-minute pulls every 5 minutes do.  One scan."""
-    base = fx_live_base(spark, sf_dir)
+    return live_raw_from(table(spark, sf_dir, "events"))
+
+
+def live_raw_from(ev: DataFrame) -> DataFrame:
+    """fx_live_raw over any events frame (batch or stream)."""
+    base = live_mapped(ev).drop("event_id")
     pulled = base.withColumn("_lag", F.explode(F.array(F.lit(5), F.lit(10))))
     return pulled.select(
         *[F.col(c) for c in schemas.LIVE_DEDUP_COLUMNS],

@@ -9,10 +9,12 @@ that must give the same rows.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riverflow import fixtures as fx
 from riverflow.functions import basename, file_tag, hist_landing_path, iso_utc, year_of
@@ -20,7 +22,10 @@ from riverflow.operators import historical as H
 from riverflow.operators import live as L
 from riverflow.operators import serving as V
 from riverflow.operators.indicator import bbox_filter, indicator
+from riverflow.session import scratch_path
+from riverflow.streaming import live_stream as S
 from riverflow.streaming.windows import pull_windows
+from riverflow.sources import writers as W
 from riverflow.sources.readers import decode_json_column, merge_pages
 
 # Parameters of the registered queries (shared with the oracle SQL).
@@ -202,6 +207,66 @@ def q_live_top20(spark, sf):
     return V.live_top20(L.latest(_live_dedup(spark, sf)))
 
 
+# ---------------------------------------------------- streaming, as batch ---
+# The events table is read as a file stream, processed to the end with
+# ``availableNow`` into a table under the checkpoint folder, and read back.
+# Watermarks need TIMESTAMP, so wall-clock columns are read as UTC instants
+# on the way in and turned back into TIMESTAMP_NTZ on the way out.
+
+def _as_ltz(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(T.TimestampType()).alias(f.name)
+                       if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _as_ntz(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(T.TimestampNTZType()).alias(f.name)
+                       if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _run_dir(spark, name: str) -> str:
+    return scratch_path(spark, f"registered/{name}-{uuid.uuid4().hex}")
+
+
+def _live_raw_stream(spark, sf):
+    return _as_ltz(fx.live_raw_from(fx.stream_table(spark, sf, "events")))
+
+
+def q_stream_dedup(spark, sf):
+    d = _run_dir(spark, "stream_dedup")
+    out = S.run_to_table(S.stream_dedup(_live_raw_stream(spark, sf)), f"{d}/out",
+                         f"stream_dedup_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt")
+    return _as_ntz(out)
+
+
+def q_stream_latest(spark, sf):
+    d = _run_dir(spark, "stream_latest")
+    out = S.run_to_table(S.stream_latest(_live_raw_stream(spark, sf)), f"{d}/out",
+                         f"stream_latest_{uuid.uuid4().hex}", mode="complete",
+                         checkpoint=f"{d}/ckpt")
+    return _as_ntz(out)
+
+
+def q_stream_indicator(spark, sf):
+    d = _run_dir(spark, "stream_indicator")
+    hist = W.materialize(_hist(spark, sf), f"{d}/hist_agg")
+    out = S.run_to_table(S.stream_indicator(_live_raw_stream(spark, sf), hist), f"{d}/out",
+                         f"stream_indicator_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt")
+    return _as_ntz(out)
+
+
+def q_stream_pull_windows(spark, sf):
+    d = _run_dir(spark, "stream_pull_windows")
+    ev = _as_ltz(fx.stream_table(spark, sf, "events")).withWatermark("ts", S.DEFAULT_DELAY)
+    out = _as_ntz(S.run_to_table(pull_windows(ev, "ts"), f"{d}/out",
+                                 f"stream_pull_windows_{uuid.uuid4().hex}",
+                                 checkpoint=f"{d}/ckpt"))
+    return out.select("window_start", "window_end",
+                      iso_utc("window_start").alias("date_debut_obs"),
+                      iso_utc("window_end").alias("date_fin_obs"), "n_obs")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "indicator": q_indicator,
     "indicator_latest": q_indicator_latest,
@@ -231,4 +296,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_thresholds": q_station_thresholds,
     "map_stations": q_map_stations,
     "live_top20": q_live_top20,
+    "stream_dedup": q_stream_dedup,
+    "stream_latest": q_stream_latest,
+    "stream_indicator": q_stream_indicator,
+    "stream_pull_windows": q_stream_pull_windows,
 }

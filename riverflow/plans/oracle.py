@@ -239,3 +239,14 @@ ORACLE: dict[str, str] = {
       "grandeur_hydro ASC NULLS LAST, resultat_obs DESC NULLS LAST, code_site ASC NULLS LAST "
       "LIMIT 20",
 }
+
+# Streaming forms: the same rows as their batch models.  Pull windows in
+# append mode are emitted once the watermark (newest time - 15 minutes)
+# passes their end, so only those windows are expected.
+ORACLE["stream_dedup"] = ORACLE["live_dedup"]
+ORACLE["stream_latest"] = ORACLE["live_latest"]
+ORACLE["stream_indicator"] = (_with(FX_LIVE_BASE, FX_LIVE_RAW, FX_HIST_FLAT, HIST_AGG,
+                                    _dedup("dedup", "fx_live_raw")) + _indicator("dedup"))
+ORACLE["stream_pull_windows"] = (
+    "SELECT * FROM (" + ORACLE["pull_windows"] + ") pw\n"
+    "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE")

@@ -111,3 +111,31 @@ def ingest(stream: DataFrame, raw_path: str, name: str = "live_ingest",
     """Append every landed record to the raw table exactly once."""
     return start(stream, name, sink="parquet", mode="append", path=raw_path,
                  checkpoint=checkpoint, available_now=available_now)
+
+
+def run_to_table(df: DataFrame, out_path: str, name: str, mode: str = "append",
+                 checkpoint: str | None = None) -> DataFrame:
+    """Process everything landed (``availableNow``) into a parquet table and
+    return the stored result.
+
+    Append-mode results go through the exactly-once file sink; a
+    ``complete``-mode result (the latest-value state) is rewritten per
+    micro-batch with ``foreachBatch``.  Nothing is held by the driver.
+    """
+    spark = df.sparkSession
+    ckpt = checkpoint or checkpoint_location(spark, name)
+    if mode == "append":
+        q = start(df, name, sink="parquet", mode="append", path=out_path, checkpoint=ckpt,
+                  available_now=True)
+    elif mode == "complete":
+        def write(batch: DataFrame, _epoch: int) -> None:
+            batch.write.mode("overwrite").parquet(out_path)
+        q = (df.writeStream.queryName(name).outputMode("complete")
+             .option("checkpointLocation", ckpt).foreachBatch(write)
+             .trigger(availableNow=True).start())
+    else:
+        raise ValueError("mode must be 'append' or 'complete'")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    return spark.read.parquet(out_path)
