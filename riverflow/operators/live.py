@@ -36,6 +36,28 @@ def live_dedup(raw: DataFrame) -> DataFrame:
     return raw.select(*schemas.LIVE_DEDUP_COLUMNS).distinct()
 
 
+def live_dedup_increment(new_raw: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Rows of ``new_raw`` to append to a stored ``live_dedup`` table.
+
+    The new rows are de-duplicated first (partial + final aggregate, so even
+    a group of identical copies holding a third of the batch collapses
+    map-side), then anti-joined on all 16 columns with NULL-safe equality
+    (GROUP BY treats NULLs as equal) against the stored rows.  Only stored
+    rows that can match are read: those at or after the batch's earliest
+    ``date_obs``, plus those without one.  Appending the result keeps the
+    table equal to ``live_dedup`` over all raw rows, and re-running a batch
+    appends nothing.
+    """
+    new = live_dedup(new_raw)
+    if existing is None:
+        return new
+    since = new.select(F.min("date_obs")).scalar()
+    cand = existing.select(*schemas.LIVE_DEDUP_COLUMNS).where(
+        (F.col("date_obs") >= since) | F.col("date_obs").isNull())
+    cond = [new[c].eqNullSafe(cand[c]) for c in schemas.LIVE_DEDUP_COLUMNS]
+    return new.join(cand, on=cond, how="left_anti")
+
+
 def by_measure(df: DataFrame, measure: str, col: str = "grandeur_hydro") -> DataFrame:
     """Keep one measure."""
     return df.where(F.col(col) == F.lit(measure))

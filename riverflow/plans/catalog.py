@@ -240,6 +240,16 @@ def q_stream_dedup(spark, sf):
     return _as_ntz(out)
 
 
+def q_stream_dedup_exact(spark, sf):
+    d = _run_dir(spark, "stream_dedup_exact")
+    q = S.dedup_to_table(_live_raw_stream(spark, sf), f"{d}/out",
+                         name=f"stream_dedup_exact_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"stream failed: {q.exception()}")
+    return _as_ntz(spark.read.parquet(f"{d}/out"))
+
+
 def q_stream_latest(spark, sf):
     d = _run_dir(spark, "stream_latest")
     out = S.run_to_table(S.stream_latest(_live_raw_stream(spark, sf)), f"{d}/out",
@@ -297,6 +307,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "map_stations": q_map_stations,
     "live_top20": q_live_top20,
     "stream_dedup": q_stream_dedup,
+    "stream_dedup_exact": q_stream_dedup_exact,
     "stream_latest": q_stream_latest,
     "stream_indicator": q_stream_indicator,
     "stream_pull_windows": q_stream_pull_windows,

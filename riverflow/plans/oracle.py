@@ -244,6 +244,7 @@ ORACLE: dict[str, str] = {
 # append mode are emitted once the watermark (newest time - 15 minutes)
 # passes their end, so only those windows are expected.
 ORACLE["stream_dedup"] = ORACLE["live_dedup"]
+ORACLE["stream_dedup_exact"] = ORACLE["live_dedup"]
 ORACLE["stream_latest"] = ORACLE["live_latest"]
 ORACLE["stream_indicator"] = (_with(FX_LIVE_BASE, FX_LIVE_RAW, FX_HIST_FLAT, HIST_AGG,
                                     _dedup("dedup", "fx_live_raw")) + _indicator("dedup"))

@@ -13,13 +13,14 @@ checkpoint), so the batch truth can always be recomputed.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riverflow import schemas
 from riverflow.operators.indicator import indicator
-from riverflow.operators.live import LATEST_KEYS, stamp_ingestion
+from riverflow.operators.live import LATEST_KEYS, live_dedup_increment, stamp_ingestion
 from riverflow.session import scratch_path
 
 DEFAULT_DELAY = "15 minutes"
@@ -37,6 +38,32 @@ def stream_live_raw(spark: SparkSession, path: str, with_stamp: bool = True,
     return df if with_stamp else stamp_ingestion(df)
 
 
+def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
+                   checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Exact incremental de-duplication into a stored table.
+
+    Each micro-batch appends only rows the table does not hold yet
+    (``live_dedup_increment``), so the table always equals batch
+    ``live_dedup`` over everything landed: no watermark, nothing is too
+    late, and a replayed batch appends nothing.  Unlike the stateful stream
+    dedup, identical copies are combined map-side before any shuffle.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, _epoch: int) -> None:
+        try:
+            existing = spark.read.parquet(dedup_path)
+        except AnalysisException:
+            existing = None
+        live_dedup_increment(batch, existing).write.mode("append").parquet(dedup_path)
+
+    w = (stream.writeStream.queryName(name)
+         .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
+         .foreachBatch(write))
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start()
+
+
 def stream_dedup(stream: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     """De-duplicate overlapping pulls within the watermark.
 
