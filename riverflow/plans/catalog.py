@@ -132,10 +132,15 @@ def q_hist_flatten(spark, sf):
 
 
 def q_flatten_incremental(spark, sf):
+    """Two runs of the incremental model into a stored table: the first
+    (table absent) loads the early day-files, the second appends only the
+    day-files the table does not hold yet."""
+    table = _run_dir(spark, "flatten_incremental")
     raw = fx.fx_hist_envelopes(spark, sf)
-    first_run = H.flatten_incremental(raw.where(_file_before(INCREMENTAL_FIRST_RUN_BEFORE)), None)
-    second_run = H.flatten_incremental(raw, first_run)
-    return first_run.unionByName(second_run)
+    W.append(H.flatten_incremental(raw.where(_file_before(INCREMENTAL_FIRST_RUN_BEFORE)), None),
+             table)
+    W.append(H.flatten_incremental(raw, spark.read.parquet(table)), table)
+    return spark.read.parquet(table)
 
 
 def q_backfill_days(spark, sf):
