@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riverflow import schemas
 from riverflow.functions import file_tag, quantile_at
+from riverflow.session import stage
 
 HIST_KEYS = ["code_station", "latitude", "longitude", "grandeur_hydro_elab"]
 
@@ -147,7 +148,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, permille: list[i
        value too, so a hot group spreads over all tasks.
     2. Range-partition those counts by (group, value) and stamp the partition
        id; a hot group becomes several value ranges.  The stamped table is
-       written to the checkpoint folder so the ids survive a lost executor.
+       written once under the checkpoint folder (``stage``) so the ids are
+       data and survive a lost executor.
     3. Running count inside each (partition, group) slice (bounded by one
        range partition), plus the total of every earlier slice of the group
        from a small (slice -> total) table.
@@ -161,7 +163,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, permille: list[i
     ranged = (counts.repartitionByRange(n_parts, *keys, value)
               .withColumn("_pid", F.spark_partition_id()))
     if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
+        ranged = stage(ranged, "exact_quantiles")
 
     slice_keys = ["_pid"] + keys
     in_slice = Window.partitionBy(*slice_keys).orderBy(value).rowsBetween(

@@ -111,6 +111,33 @@ def recent(dedup: DataFrame, as_of: Column | _dt.datetime | None = None, hours:
     return out.orderBy("code_station", "date_obs") if ordered else out
 
 
+AVG_KEYS = ["code_station", "month"]
+
+
+def live_avg_parts(dedup: DataFrame, measure: str = "H") -> DataFrame:
+    """Mergeable form of ``live_avg``: per (station, month) the sum and the
+    count of non-NULL values.  Parts of disjoint row sets add up."""
+    return (by_measure(dedup, measure)
+            .groupBy("code_station", month_of("date_obs").alias("month"))
+            .agg(F.sum("resultat_obs").alias("sum_resultat_obs"),
+                 F.count("resultat_obs").alias("n_resultat_obs")))
+
+
+def merge_avg_parts(*parts: DataFrame) -> DataFrame:
+    """Add up avg parts of disjoint row sets."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(*AVG_KEYS).agg(F.sum("sum_resultat_obs").alias("sum_resultat_obs"),
+                                      F.sum("n_resultat_obs").alias("n_resultat_obs"))
+
+
+def avg_from_parts(parts: DataFrame) -> DataFrame:
+    """``live_avg`` rows from parts (NULL where a group has no value)."""
+    return parts.select(*AVG_KEYS, F.try_divide(F.col("sum_resultat_obs"),
+                                                F.col("n_resultat_obs")).alias("avg_resultat_obs"))
+
+
 def live_avg(dedup: DataFrame, measure: str = "H", ordered: bool = False) -> DataFrame:
     """Mean value per station and month number, one measure.
 

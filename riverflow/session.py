@@ -86,3 +86,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-path of the checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name if "://" in base else os.path.join(base, name)
+
+
+def stage(df, name: str):
+    """Write ``df`` once as parquet under the checkpoint folder and return
+    the read-back frame: a lineage cut in the shared folder that, unlike an
+    eager ``checkpoint()``, computes its input only once."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"stage/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
