@@ -12,13 +12,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from riverflow import schemas
 from riverflow.operators import historical as H
 from riverflow.operators import live as L
 from riverflow.operators.indicator import indicator
 from riverflow.sources import readers as R
+from riverflow.sources.readers import read_if_exists
 from riverflow.session import stage
 from riverflow.sources import writers as W
 
@@ -28,14 +28,6 @@ from riverflow.sources import writers as W
 HIST_BROADCAST_MAX_ROWS = 500_000
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table at ``path``, or None when it was never written."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a stored table only after counting it.
 

@@ -13,17 +13,18 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the transforms assume.  AQE re-plans joins and shuffles with the
-# real sizes of finished stages: the hist_agg side of the indicator join is
-# turned into a broadcast only when its measured size is under the adaptive
-# threshold, and skewed shuffle partitions are split.
+# Settings the transforms assume.  Broadcasts are decided on measured sizes
+# only: no plan-time broadcast from file-size estimates (a compressed file
+# can understate the in-memory size several times), while AQE turns a
+# shuffled join into a broadcast once the finished stage of one side measures
+# under 64 MB.  Skewed shuffle partitions are split.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
 }

@@ -8,6 +8,9 @@ malformed line; PERMISSIVE keeps it as NULLs, with the raw text in
 
 from __future__ import annotations
 
+import os
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,6 +77,22 @@ def table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataF
     return spark.table(name_or_path)
 
 
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The stored table at ``path``, or None when it was never written.
+
+    Local paths are checked on the file system first, so the usual case of a
+    first run does not go through a failing read.
+    """
+    if path.startswith("file:") or "://" not in path:
+        local = path[len("file:"):] if path.startswith("file:") else path
+        if not os.path.exists(local):
+            return None
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException:
+        return None
+
+
 def decode_json_column(df: DataFrame, col: str, schema: str | T.DataType,
                        out: str | None = None) -> DataFrame:
     """Decode embedded JSON text into a struct (X12, decode half)."""

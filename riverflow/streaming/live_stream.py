@@ -13,7 +13,6 @@ checkpoint), so the batch truth can always be recomputed.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +21,7 @@ from riverflow import schemas
 from riverflow.operators.indicator import indicator
 from riverflow.operators.live import LATEST_KEYS, live_dedup_increment, stamp_ingestion
 from riverflow.session import scratch_path
+from riverflow.sources.readers import read_if_exists
 
 DEFAULT_DELAY = "15 minutes"
 
@@ -51,10 +51,7 @@ def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
     spark = stream.sparkSession
 
     def write(batch: DataFrame, _epoch: int) -> None:
-        try:
-            existing = spark.read.parquet(dedup_path)
-        except AnalysisException:
-            existing = None
+        existing = read_if_exists(spark, dedup_path)
         live_dedup_increment(batch, existing).write.mode("append").parquet(dedup_path)
 
     w = (stream.writeStream.queryName(name)
