@@ -191,19 +191,37 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, permille: list[i
     return ranked.groupBy(*keys).agg(*picks)
 
 
-def kll_hist_agg(flat: DataFrame, k: int = 2000, measure: str = "QmJ") -> DataFrame:
-    """Mergeable alternative for incremental history: one KLL sketch per
-    (group, day-file), merged across files, read at the six fractions.
-    Per-file sketches can be stored and merged again when new files land."""
+# KLL sketch size: normalized rank error about 1.65 / k (k = 2000: ~0.08%).
+KLL_K = 2000
+
+
+def hist_sketches(flat: DataFrame, k: int = KLL_K, measure: str = "QmJ") -> DataFrame:
+    """One mergeable KLL sketch per (group, day-file), with its date range.
+
+    Sketches of different day-files merge, so a daily refresh only sketches
+    the new day-files and merges the stored ones (``hist_agg_from_sketches``).
+    """
     src = positive_measure(flat, measure)
-    per_file = src.groupBy(*HIST_KEYS, "json_file").agg(
-        F.kll_sketch_agg_double("resultat_obs_elab", k).alias("_sk"),
-        F.min("date_obs_elab").alias("_d0"), F.max("date_obs_elab").alias("_d1"))
-    merged = per_file.groupBy(*HIST_KEYS).agg(
-        F.kll_merge_agg_double("_sk", k).alias("_sk"),
-        F.min("_d0").alias("minimum_date_window"), F.max("_d1").alias("maximum_date_window"))
+    return src.groupBy(*HIST_KEYS, "json_file").agg(
+        F.kll_sketch_agg_double("resultat_obs_elab", k).alias("sketch"),
+        F.min("date_obs_elab").alias("min_date"), F.max("date_obs_elab").alias("max_date"))
+
+
+def hist_agg_from_sketches(sketches: DataFrame, k: int = KLL_K) -> DataFrame:
+    """``hist_agg`` rows from per-file sketches: merge per group (a partial
+    aggregate, each task merging its own sketches first), then read the six
+    fractions."""
+    merged = sketches.groupBy(*HIST_KEYS).agg(
+        F.kll_merge_agg_double("sketch", k).alias("_sk"),
+        F.min("min_date").alias("minimum_date_window"),
+        F.max("max_date").alias("maximum_date_window"))
     return merged.select(
         *HIST_KEYS,
         *[F.kll_sketch_get_quantile_double("_sk", F.lit(f)).alias(c)
           for f, c in zip(schemas.QUANTILE_FRACTIONS, schemas.QUANTILE_COLUMNS)],
         "minimum_date_window", "maximum_date_window")
+
+
+def kll_hist_agg(flat: DataFrame, k: int = KLL_K, measure: str = "QmJ") -> DataFrame:
+    """Approximate ``hist_agg`` through per-file KLL sketches."""
+    return hist_agg_from_sketches(hist_sketches(flat, k, measure), k)

@@ -50,6 +50,7 @@ class Paths:
     live_avg: str = field(init=False)
     stations: str = field(init=False)
     live_avg_parts: str = field(init=False)
+    hist_sketches: str = field(init=False)
 
     def __post_init__(self):
         base = self.out.rstrip("/")
@@ -62,6 +63,7 @@ class Paths:
         self.live_avg = f"{base}/live_avg"
         self.stations = f"{base}/stations"
         self.live_avg_parts = f"{base}/live_avg_parts"
+        self.hist_sketches = f"{base}/hist_sketches"
 
 
 def load_hist_files(spark: SparkSession, landed: str, paths: Paths) -> int:
@@ -74,14 +76,29 @@ def load_hist_files(spark: SparkSession, landed: str, paths: Paths) -> int:
     return W.append(env, paths.raw_hist)
 
 
-def run_historical(spark: SparkSession, paths: Paths, exact: bool = False) -> DataFrame:
-    """Historical refresh (G1): incremental flatten, then the quantiles."""
+def run_historical(spark: SparkSession, paths: Paths, method: str = "approx") -> DataFrame:
+    """Historical refresh (G1): incremental flatten, then the quantiles.
+
+    ``method``: ``approx`` (percentile sketch over the whole history),
+    ``exact`` (distributed exact quantiles), or ``kll``: a stored KLL sketch
+    per (group, day-file); only day-files without sketches are sketched, and
+    the stored sketches are merged, so the daily cost follows the new files.
+    """
     raw = spark.read.schema(schemas.HIST_RAW).parquet(paths.raw_hist)
     target = read_if_exists(spark, paths.flat)
     new_rows = H.flatten_incremental(raw, target)
     W.append(new_rows, paths.flat, cluster_by=["json_file", "code_site", "date_obs_elab"])
     flat = spark.read.parquet(paths.flat)
-    return W.materialize(H.hist_agg(flat, exact=exact), paths.hist_agg, cluster_by=["code_station"])
+    if method == "kll":
+        stored = read_if_exists(spark, paths.hist_sketches)
+        todo = flat if stored is None else H.not_in_files(flat, stored, strict=False)
+        W.append(H.hist_sketches(todo), paths.hist_sketches)
+        hist = H.hist_agg_from_sketches(spark.read.parquet(paths.hist_sketches))
+    elif method in ("approx", "exact"):
+        hist = H.hist_agg(flat, exact=method == "exact")
+    else:
+        raise ValueError("method must be 'approx', 'exact' or 'kll'")
+    return W.materialize(hist, paths.hist_agg, cluster_by=["code_station"])
 
 
 def ingest_live(spark: SparkSession, pages_path: str, paths: Paths,

@@ -177,3 +177,33 @@ def test_incremental_live_refresh_equals_full(spark, scratch):
     rb = {(r.code_station, r.month): r.avg_resultat_obs for r in full["live_avg"].collect()}
     assert ra.keys() == rb.keys()
     assert all(ra[k] == pytest.approx(rb[k], rel=1e-12) for k in ra)
+
+
+def test_historical_pipeline_kll_incremental(spark, scratch):
+    import math
+    env = fx.fx_hist_envelopes(spark, SF_SMALL)
+    W.land_hist(env.where(F.col("json_file") < "obs_elab_QmJ_1998-01-01.json"), f"{scratch}/l1")
+    W.land_hist(env, f"{scratch}/l2")
+    paths = P.Paths(f"{scratch}/out")
+    P.load_hist_files(spark, f"{scratch}/l1", paths)
+    P.run_historical(spark, paths, method="kll")
+    n_sketches = spark.read.parquet(paths.hist_sketches).count()
+    P.load_hist_files(spark, f"{scratch}/l2", paths)
+    rows = P.run_historical(spark, paths, method="kll").collect()
+    grown = spark.read.parquet(paths.hist_sketches).count()
+    P.run_historical(spark, paths, method="kll")  # nothing new: no new sketches
+    assert spark.read.parquet(paths.hist_sketches).count() == grown > n_sketches
+    exact = {tuple(r[:4]): r for r in H.hist_agg(fx.fx_hist_flat(spark, SF_SMALL), exact=True).collect()}
+    values = {}
+    for r in H.positive_measure(fx.fx_hist_flat(spark, SF_SMALL)).collect():
+        values.setdefault((r.code_station, r.latitude, r.longitude, r.grandeur_hydro_elab), []).append(
+            r.resultat_obs_elab)
+    assert len(rows) == len(exact)
+    for r in rows:
+        key = tuple(r[:4])
+        v = sorted(values[key])
+        assert r.minimum_date_window == exact[key].minimum_date_window
+        for c, p in zip(schemas.QUANTILE_COLUMNS, [999, 990, 900, 100, 10, 1]):
+            target = max(1, math.ceil(len(v) * p / 1000))
+            got = v.index(r[c]) + 1  # rank of the returned value
+            assert abs(got - target) <= max(2, math.ceil(0.01 * len(v))), (key, c)
