@@ -90,6 +90,8 @@ def previous_day(d: ColumnOrName) -> Column:
     return F.date_sub(_c(d), 1)
 
 
+# The day-file name pattern obs_elab_<measure>_<YYYY-MM-DD>.json
+# and the daily mean-flow measure code QmJ.
 def file_tag(day: ColumnOrName, param: str = "QmJ") -> Column:
     """Name of a day's landed history file: ``obs_elab_<param>_<YYYY-MM-DD>.json``."""
     return F.concat(F.lit("obs_elab_"), F.lit(param), F.lit("_"),
