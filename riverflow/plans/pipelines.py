@@ -130,36 +130,61 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
     }
 
 
+def _folded_mark(df: DataFrame | None):
+    """Highest ingest batch a stored derived table has folded in (or None)."""
+    if df is None:
+        return None
+    return df.agg(F.max("folded_batch")).first()[0]
+
+
 def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
-                         as_of: Column | _dt.datetime | None = None) -> dict[str, DataFrame]:
+                         as_of: Column | _dt.datetime | None = None,
+                         run_id: int | None = None) -> dict[str, DataFrame]:
     """Live refresh whose cost follows the new rows, not the whole history.
 
     Same tables as ``run_live`` over all raw rows seen so far:
-    - ``live_dedup``: append ``live_dedup_increment(new_raw, stored)``;
-    - ``live_latest``: ``latest`` over the stored latest rows plus the new
-      de-duplicated rows (the pick is a maximum, so it composes);
-    - ``live_avg``: from per (station, month) sum/count parts, merged.
-    Each replaced table is first staged (written under
-    ``spark.checkpoint.dir``) and then overwritten from the stage, so no job
-    reads the files it replaces.
+    - ``live_dedup``: ``live_dedup_increment(new_raw, stored)`` appended with
+      its ``ingest_batch`` (this run's id, increasing across runs);
+    - ``live_latest``: ``latest`` over the stored latest rows plus the dedup
+      rows of batches it has not folded in yet (the pick is a maximum, so it
+      composes);
+    - ``live_avg``: from per (station, month) sum/count parts, folded the
+      same way.
+    The derived tables record the last batch they folded in
+    (``folded_batch``), so a run that stopped half-way is completed by the
+    next one, and replaying a batch changes nothing.  Each replaced table is
+    first staged (written under ``spark.checkpoint.dir``) and then
+    overwritten from the stage, so no job reads the files it replaces.
     """
+    run_id = run_id if run_id is not None else int(_dt.datetime.now(_dt.UTC).timestamp() * 1e6)
     stored = read_if_exists(spark, paths.live_dedup)
-    inc = stage(L.live_dedup_increment(new_raw, stored), "live_dedup_increment")
-    W.append(inc, paths.live_dedup)
-    dedup = spark.read.parquet(paths.live_dedup)
+    inc = L.live_dedup_increment(new_raw, stored.select(*schemas.LIVE_DEDUP_COLUMNS)
+                                 if stored is not None else None)
+    W.append(inc.withColumn("ingest_batch", F.lit(run_id).cast("bigint")), paths.live_dedup)
+    dedup_all = spark.read.parquet(paths.live_dedup)
+
+    def pending(mark):
+        rows = dedup_all if mark is None else dedup_all.where(F.col("ingest_batch") > F.lit(mark))
+        return rows.select(*schemas.LIVE_DEDUP_COLUMNS)
 
+    mark = F.lit(run_id).cast("bigint").alias("folded_batch")
     prev_latest = read_if_exists(spark, paths.live_latest)
-    cand = inc if prev_latest is None else prev_latest.drop("row_num").unionByName(inc)
-    W.overwrite(stage(L.latest(cand), "live_latest"), paths.live_latest)
-    latest = spark.read.parquet(paths.live_latest)
+    new_rows = pending(_folded_mark(prev_latest))
+    cand = new_rows if prev_latest is None else (
+        prev_latest.select(*schemas.LIVE_DEDUP_COLUMNS).unionByName(new_rows))
+    latest_next = L.latest(cand).select("*", mark)
+    W.overwrite(stage(latest_next, "live_latest"), paths.live_latest)
 
     prev_parts = read_if_exists(spark, paths.live_avg_parts)
-    new_parts = L.live_avg_parts(inc)
-    parts = new_parts if prev_parts is None else L.merge_avg_parts(prev_parts, new_parts)
-    W.overwrite(stage(parts, "live_avg_parts"), paths.live_avg_parts)
+    new_parts = L.live_avg_parts(pending(_folded_mark(prev_parts)))
+    parts = new_parts if prev_parts is None else L.merge_avg_parts(
+        prev_parts.drop("folded_batch"), new_parts)
+    W.overwrite(stage(parts.select("*", mark), "live_avg_parts"), paths.live_avg_parts)
     avg = W.materialize(L.avg_from_parts(spark.read.parquet(paths.live_avg_parts)),
                         paths.live_avg)
 
+    dedup = dedup_all.select(*schemas.LIVE_DEDUP_COLUMNS)
+    latest = spark.read.parquet(paths.live_latest).drop("folded_batch")
     recent = W.as_view(L.recent(dedup, as_of=as_of), "live_recent")
     hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
     return {

@@ -163,9 +163,14 @@ def test_incremental_live_refresh_equals_full(spark, scratch):
     second = raw.where(F.col("ingestion_timestamp") >= F.lit(cut))
     paths = P.Paths(f"{scratch}/inc")
     paths.hist_agg = hist_path
-    P.run_live_incremental(spark, paths, first)
-    P.run_live_incremental(spark, paths, second)
-    inc = P.run_live_incremental(spark, paths, second)  # replay: no change
+    P.run_live_incremental(spark, paths, first, run_id=1)
+    # a run that stopped right after appending its dedup increment ...
+    W.append(L.live_dedup_increment(second, spark.read.parquet(paths.live_dedup)
+                                    .select(*schemas.LIVE_DEDUP_COLUMNS))
+             .withColumn("ingest_batch", F.lit(2).cast("bigint")), paths.live_dedup)
+    # ... is completed by the next run, and a replay changes nothing
+    P.run_live_incremental(spark, paths, second, run_id=3)
+    inc = P.run_live_incremental(spark, paths, second, run_id=4)
     full_paths = P.Paths(f"{scratch}/full")
     full_paths.hist_agg = hist_path
     W.append(raw, full_paths.raw_live)
