@@ -29,11 +29,13 @@ def indicator(live: DataFrame, hist: DataFrame, coords: str = "live", measure: s
     Inner equi-join on ``code_station``: a station whose history has several
     coordinate pairs yields one row per pair (kept on purpose).  ``coords``
     picks where longitude/latitude come from: the live rows, or the history
-    (the recent view carries none).  No join hint: ``hist`` holds one row per
-    station and coordinate pair, and the planner broadcasts it when its size,
-    from file statistics or from the finished aggregate stage under AQE, is
-    below the broadcast threshold; otherwise it shuffles both sides.  Filters
-    on the measure and the box are pushed below the join into the scans.
+    (the recent view carries none).  No join hint here: ``hist`` holds one
+    row per station and coordinate pair; AQE broadcasts a side once its
+    finished stage measures under the adaptive threshold, callers holding a
+    stored history broadcast it after counting it
+    (``pipelines.checked_broadcast``), and otherwise both sides are shuffled
+    (with skewed partitions split).  Filters on the measure and the box are
+    pushed below the join into the scans.
     """
     if coords not in ("live", "history"):
         raise ValueError("coords must be 'live' or 'history'")
