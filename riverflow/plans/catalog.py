@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverflow import fixtures as fx
+from riverflow import schemas
 from riverflow.functions import basename, file_tag, hist_landing_path, iso_utc, year_of
 from riverflow.operators import historical as H
 from riverflow.operators import live as L
@@ -252,7 +253,7 @@ def q_stream_dedup_exact(spark, sf):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
-    return _as_ntz(spark.read.parquet(f"{d}/out"))
+    return _as_ntz(spark.read.parquet(f"{d}/out").select(*schemas.LIVE_DEDUP_COLUMNS))
 
 
 def q_stream_latest(spark, sf):

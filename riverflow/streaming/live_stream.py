@@ -13,6 +13,8 @@ checkpoint), so the batch truth can always be recomputed.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,7 +41,8 @@ def stream_live_raw(spark: SparkSession, path: str, with_stamp: bool = True,
 
 
 def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
-                   checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+                   checkpoint: str | None = None, available_now: bool = True,
+                   processing_time: str | None = None) -> StreamingQuery:
     """Exact incremental de-duplication into a stored table.
 
     Each micro-batch appends only rows the table does not hold yet
@@ -52,12 +55,22 @@ def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
 
     def write(batch: DataFrame, _epoch: int) -> None:
         existing = read_if_exists(spark, dedup_path)
-        live_dedup_increment(batch, existing).write.mode("append").parquet(dedup_path)
+        if existing is not None:
+            existing = existing.select(*schemas.LIVE_DEDUP_COLUMNS)
+        # Same batch mark as pipelines.run_live_incremental, so the latest
+        # and average tables can fold in what the stream appended.
+        batch_id = int(_dt.datetime.now(_dt.UTC).timestamp() * 1e6)
+        (live_dedup_increment(batch, existing)
+         .withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
+         .write.mode("append").parquet(dedup_path))
 
     w = (stream.writeStream.queryName(name)
          .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
          .foreachBatch(write))
-    w = w.trigger(availableNow=True) if available_now else w
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
     return w.start()
 
 
@@ -131,10 +144,12 @@ def start(df: DataFrame, name: str, sink: str = "memory", mode: str = "append",
 
 
 def ingest(stream: DataFrame, raw_path: str, name: str = "live_ingest",
-           checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+           checkpoint: str | None = None, available_now: bool = True,
+           processing_time: str | None = None) -> StreamingQuery:
     """Append every landed record to the raw table exactly once."""
     return start(stream, name, sink="parquet", mode="append", path=raw_path,
-                 checkpoint=checkpoint, available_now=available_now)
+                 checkpoint=checkpoint, available_now=available_now,
+                 processing_time=processing_time)
 
 
 def run_to_table(df: DataFrame, out_path: str, name: str, mode: str = "append",
