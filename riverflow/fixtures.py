@@ -164,18 +164,31 @@ def fx_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(mapped, schemas.STATION)
 
 
-def fx_hist_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Day envelopes as landed: one row per day-file with its records.
+# Records per landed envelope page (a day-file larger than this is landed
+# as several pages carrying the same json_file).
+ENVELOPE_MAX_RECORDS = 5000
 
-    The grouping key is the day-file, i.e. one API response; an envelope is
-    bounded by what one day of the source returns.
+
+def fx_hist_envelopes(spark: SparkSession, sf_dir: str,
+                      max_records: int = ENVELOPE_MAX_RECORDS) -> DataFrame:
+    """Day envelopes as landed: rows of one day-file with their records.
+
+    A day-file is cut into ceil(n / max_records) pages by a hash of each
+    record, so no envelope (one row, built by one task) grows with the data:
+    a day holding a third of all rows becomes many bounded pages.  The day
+    sizes (one row per day-file, map-side counted) are joined back; AQE
+    broadcasts them once measured small, or splits the hot day's partition.
     """
     flat = fx_hist_flat(spark, sf_dir)
+    sizes = flat.groupBy("json_file").agg(F.count(F.lit(1)).alias("_n"))
+    sized = flat.join(sizes, on="json_file", how="inner")
+    pages = F.ceil(F.col("_n") / F.lit(max_records))
+    page = F.pmod(F.xxhash64(*[F.col(c) for c in flat.columns]), pages)
     record = F.struct(*[
         (F.col(n) if n != "date_prod" else F.lit(None).cast(t)).alias(n)
         for n, t in schemas.HIST_RECORD_FIELDS
     ])
-    env = flat.groupBy("json_file").agg(
+    env = sized.groupBy("json_file", page.alias("_page")).agg(
         F.collect_list(record).alias("data"),
         F.count(F.lit(1)).alias("count"),
     )

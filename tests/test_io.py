@@ -212,3 +212,13 @@ def test_historical_pipeline_kll_incremental(spark, scratch):
             target = max(1, math.ceil(len(v) * p / 1000))
             got = v.index(r[c]) + 1  # rank of the returned value
             assert abs(got - target) <= max(2, math.ceil(0.01 * len(v))), (key, c)
+
+
+def test_envelope_pages_are_bounded(spark):
+    env = fx.fx_hist_envelopes(spark, SF_SMALL, max_records=5)
+    flat = fx.fx_hist_flat(spark, SF_SMALL)
+    sizes = [r["count"] for r in env.select("count").collect()]
+    assert max(sizes) <= 4 * 5  # hash pages: about max_records each
+    assert env.select("json_file").distinct().count() < env.count()  # days were split
+    got = H.hist_flatten(env)
+    assert got.count() == flat.count() and got.exceptAll(flat).count() == 0
