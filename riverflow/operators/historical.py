@@ -129,19 +129,20 @@ def hist_agg(flat: DataFrame, exact: bool = False, accuracy: int = 10000,
         agg = src.groupBy(*HIST_KEYS).agg(q.alias("_q"), *dates)
         return agg.select(*HIST_KEYS, *[quantile_at("_q", i).alias(c) for i, c in enumerate(qcols)],
                           "minimum_date_window", "maximum_date_window")
+    # The date window rides along the per-value counts (every row has a
+    # positive value here), so no second aggregate and join are needed.
     quant = exact_quantiles(src, HIST_KEYS, "resultat_obs_elab",
                             [int(round(f * 1000)) for f in schemas.QUANTILE_FRACTIONS], qcols,
-                            checkpoint=checkpoint)
-    window = src.groupBy(*HIST_KEYS).agg(*dates)
-    cond = [window[k].eqNullSafe(quant[k]) for k in HIST_KEYS]
-    return (window.join(quant, on=cond, how="inner")
-            .select(*[window[k] for k in HIST_KEYS], *[quant[c] for c in qcols],
-                    "minimum_date_window", "maximum_date_window"))
+                            checkpoint=checkpoint,
+                            carry=[("min", "date_obs_elab", "minimum_date_window"),
+                                   ("max", "date_obs_elab", "maximum_date_window")])
+    return quant.select(*HIST_KEYS, *qcols, "minimum_date_window", "maximum_date_window")
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, permille: list[int],
                     names: list[str], partitions: int | None = None,
-                    checkpoint: bool = True) -> DataFrame:
+                    checkpoint: bool = True,
+                    carry: list[tuple[str, str, str]] = ()) -> DataFrame:
     """Exact discrete quantiles per group without a per-group task.
 
     1. Count each distinct (group, value): map-side combined, hashed on the
@@ -155,10 +156,17 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, permille: list[i
        from a small (slice -> total) table.
     4. The value whose cumulative count first reaches ceil(n * p / 1000) is
        picked by a grouped ``max`` over the rows that straddle that rank.
+    ``carry`` adds per-group ``min``/``max`` of other columns, given as
+    (function, column, output name), computed along the same aggregates.
+    Rows with a NULL value are left out.
     """
     spark = df.sparkSession
     v = F.col(value)
-    counts = df.where(v.isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    fns = {"min": F.min, "max": F.max}
+    carried = [f"_carry{i}" for i in range(len(carry))]
+    counts = df.where(v.isNotNull()).groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_c"),
+        *[fns[fn](col).alias(c) for (fn, col, _), c in zip(carry, carried)])
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (counts.repartitionByRange(n_parts, *keys, value)
               .withColumn("_pid", F.spark_partition_id()))
@@ -180,7 +188,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, permille: list[i
     )
     cond = [local[k].eqNullSafe(offsets[k]) for k in slice_keys]
     ranked = local.join(offsets, on=cond, how="inner").select(
-        *[local[k] for k in keys], local[value], local["_c"],
+        *[local[k] for k in keys], local[value], local["_c"], *[local[c] for c in carried],
         (local["_cum_local"] + offsets["_offset"]).alias("_cum"), offsets["_n"])
 
     picks = []
@@ -188,6 +196,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, permille: list[i
         rank = F.greatest(F.lit(1), F.ceil(F.col("_n") * F.lit(p) / F.lit(1000)))
         hit = ((F.col("_cum") - F.col("_c")) < rank) & (rank <= F.col("_cum"))
         picks.append(F.max(F.when(hit, v)).alias(name))
+    picks += [fns[fn](c).alias(out) for (fn, _, out), c in zip(carry, carried)]
     return ranked.groupBy(*keys).agg(*picks)
 
 
