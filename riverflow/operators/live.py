@@ -36,7 +36,29 @@ def live_dedup(raw: DataFrame) -> DataFrame:
     return raw.select(*schemas.LIVE_DEDUP_COLUMNS).distinct()
 
 
-def live_dedup_increment(new_raw: DataFrame, existing: DataFrame | None) -> DataFrame:
+# Partition column of the stored live tables: the UTC day of the observation.
+OBS_DAY = "obs_day"
+
+
+def with_obs_day(df: DataFrame) -> DataFrame:
+    """Add the storage partition column (day of ``date_obs``, UTC)."""
+    return df.withColumn(OBS_DAY, F.to_date("date_obs"))
+
+
+def from_day(stored: DataFrame, since: Column | _dt.datetime | _dt.date | None,
+             keep_null: bool = False) -> DataFrame:
+    """Restrict a table stored by ``obs_day`` to the days that can hold
+    observations at or after ``since``: a partition filter, so older days
+    are never listed or read.  ``keep_null`` keeps the NULL-time partition."""
+    if since is None or OBS_DAY not in stored.columns:
+        return stored
+    lit = since if isinstance(since, Column) else F.lit(since)
+    cond = F.col(OBS_DAY) >= F.to_date(lit)
+    return stored.where(cond | F.col(OBS_DAY).isNull() if keep_null else cond)
+
+
+def live_dedup_increment(new_raw: DataFrame, existing: DataFrame | None,
+                         since: _dt.datetime | None = None) -> DataFrame:
     """Rows of ``new_raw`` to append to a stored ``live_dedup`` table.
 
     The new rows are de-duplicated first (partial + final aggregate, so even
@@ -44,16 +66,19 @@ def live_dedup_increment(new_raw: DataFrame, existing: DataFrame | None) -> Data
     map-side), then anti-joined on all 16 columns with NULL-safe equality
     (GROUP BY treats NULLs as equal) against the stored rows.  Only stored
     rows that can match are read: those at or after the batch's earliest
-    ``date_obs``, plus those without one.  Appending the result keeps the
+    ``date_obs``, plus those without one.  When the caller passes that
+    earliest time as ``since`` and the table is stored by ``obs_day``, the
+    restriction is also a partition filter.  Appending the result keeps the
     table equal to ``live_dedup`` over all raw rows, and re-running a batch
     appends nothing.
     """
     new = live_dedup(new_raw)
     if existing is None:
         return new
-    since = new.select(F.min("date_obs")).scalar()
-    cand = existing.select(*schemas.LIVE_DEDUP_COLUMNS).where(
-        (F.col("date_obs") >= since) | F.col("date_obs").isNull())
+    first = new.select(F.min("date_obs")).scalar()
+    cand = (from_day(existing, since, keep_null=True)
+            .select(*schemas.LIVE_DEDUP_COLUMNS)
+            .where((F.col("date_obs") >= first) | F.col("date_obs").isNull()))
     cond = [new[c].eqNullSafe(cand[c]) for c in schemas.LIVE_DEDUP_COLUMNS]
     return new.join(cand, on=cond, how="left_anti")
 

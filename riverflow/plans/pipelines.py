@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverflow import schemas
+from riverflow.functions import horizon
 from riverflow.operators import historical as H
 from riverflow.operators import live as L
 from riverflow.operators.indicator import indicator
@@ -108,15 +109,26 @@ def ingest_live(spark: SparkSession, pages_path: str, paths: Paths,
     return W.append(L.stamp_ingestion(records, now), paths.raw_live)
 
 
+def _recent_from_store(stored: DataFrame, as_of, hours: int = 24) -> DataFrame:
+    """The recent view over the day-partitioned dedup table: only the day
+    partitions the window can touch are read."""
+    clock = (F.current_timestamp() if as_of is None
+             else as_of if isinstance(as_of, Column) else F.lit(as_of))
+    window = L.from_day(stored, horizon(clock, hours)).select(*schemas.LIVE_DEDUP_COLUMNS)
+    return L.recent(window, as_of=clock, hours=hours)
+
+
 def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | None = None,
              ) -> dict[str, DataFrame]:
     """Live refresh (G2): dedup once, then latest / avg tables and the
     indicator views.  Returns every model by name."""
     raw = spark.read.schema(schemas.LIVE_RAW).parquet(paths.raw_live)
-    dedup = W.materialize(L.live_dedup(raw), paths.live_dedup, cluster_by=["code_station"])
+    stored = W.materialize(L.with_obs_day(L.live_dedup(raw)), paths.live_dedup,
+                           cluster_by=[L.OBS_DAY, "code_station"], partition_by=[L.OBS_DAY])
+    dedup = stored.select(*schemas.LIVE_DEDUP_COLUMNS)
     latest = W.materialize(L.latest(dedup), paths.live_latest, cluster_by=["code_station"])
     avg = W.materialize(L.live_avg(dedup), paths.live_avg)
-    recent = W.as_view(L.recent(dedup, as_of=as_of), "live_recent")
+    recent = W.as_view(_recent_from_store(stored, as_of), "live_recent")
     hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
     return {
         "live_dedup": dedup,
@@ -158,9 +170,10 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
     """
     run_id = run_id if run_id is not None else int(_dt.datetime.now(_dt.UTC).timestamp() * 1e6)
     stored = read_if_exists(spark, paths.live_dedup)
-    inc = L.live_dedup_increment(new_raw, stored.select(*schemas.LIVE_DEDUP_COLUMNS)
-                                 if stored is not None else None)
-    W.append(inc.withColumn("ingest_batch", F.lit(run_id).cast("bigint")), paths.live_dedup)
+    since = new_raw.agg(F.min("date_obs")).first()[0] if stored is not None else None
+    inc = L.live_dedup_increment(new_raw, stored, since=since)
+    W.append(L.with_obs_day(inc).withColumn("ingest_batch", F.lit(run_id).cast("bigint")),
+             paths.live_dedup, partition_by=[L.OBS_DAY])
     dedup_all = spark.read.parquet(paths.live_dedup)
 
     def pending(mark):
@@ -185,7 +198,7 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
 
     dedup = dedup_all.select(*schemas.LIVE_DEDUP_COLUMNS)
     latest = spark.read.parquet(paths.live_latest).drop("folded_batch")
-    recent = W.as_view(L.recent(dedup, as_of=as_of), "live_recent")
+    recent = W.as_view(_recent_from_store(dedup_all, as_of), "live_recent")
     hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
     return {
         "live_dedup": dedup,

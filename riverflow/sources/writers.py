@@ -87,14 +87,14 @@ def land_live(records: DataFrame, path: str) -> int:
 
 
 def materialize(df: DataFrame, target: str, cluster_by: list[str] | None = None,
-                fmt: str = "parquet") -> DataFrame:
+                fmt: str = "parquet", partition_by: list[str] | None = None) -> DataFrame:
     """Write as a table and return the read-back frame (K5).
 
     Reading back cuts the lineage: downstream models reuse the stored rows
     instead of recomputing the whole plan per action, and a lost executor
     only costs the re-read of its files.
     """
-    overwrite(df, target, fmt=fmt, cluster_by=cluster_by)
+    overwrite(df, target, fmt=fmt, cluster_by=cluster_by, partition_by=partition_by)
     spark: SparkSession = df.sparkSession
     return spark.read.format(fmt).load(target) if _is_path(target) else spark.table(target)
 

@@ -21,7 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riverflow import schemas
 from riverflow.operators.indicator import indicator
-from riverflow.operators.live import LATEST_KEYS, live_dedup_increment, stamp_ingestion
+from riverflow.operators.live import (LATEST_KEYS, OBS_DAY, live_dedup_increment,
+                                      stamp_ingestion, with_obs_day)
 from riverflow.session import scratch_path
 from riverflow.sources.readers import read_if_exists
 
@@ -55,14 +56,13 @@ def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
 
     def write(batch: DataFrame, _epoch: int) -> None:
         existing = read_if_exists(spark, dedup_path)
-        if existing is not None:
-            existing = existing.select(*schemas.LIVE_DEDUP_COLUMNS)
-        # Same batch mark as pipelines.run_live_incremental, so the latest
-        # and average tables can fold in what the stream appended.
+        since = batch.agg(F.min("date_obs")).first()[0] if existing is not None else None
+        # Same layout and batch mark as pipelines.run_live_incremental, so the
+        # latest and average tables can fold in what the stream appended.
         batch_id = int(_dt.datetime.now(_dt.UTC).timestamp() * 1e6)
-        (live_dedup_increment(batch, existing)
+        (with_obs_day(live_dedup_increment(batch, existing, since=since))
          .withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
-         .write.mode("append").parquet(dedup_path))
+         .write.mode("append").partitionBy(OBS_DAY).parquet(dedup_path))
 
     w = (stream.writeStream.queryName(name)
          .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))

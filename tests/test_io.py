@@ -222,3 +222,17 @@ def test_envelope_pages_are_bounded(spark):
     assert env.select("json_file").distinct().count() < env.count()  # days were split
     got = H.hist_flatten(env)
     assert got.count() == flat.count() and got.exceptAll(flat).count() == 0
+
+
+def test_recent_view_prunes_day_partitions(spark, scratch):
+    paths = P.Paths(f"{scratch}/out")
+    W.materialize(H.hist_agg(fx.fx_hist_flat(spark, SF_SMALL)), paths.hist_agg)
+    raw = fx.fx_live_raw(spark, SF_SMALL)
+    W.append(raw.select(*[F.col(f.name).cast(f.dataType) for f in schemas.LIVE_RAW.fields]),
+             paths.raw_live)
+    models = P.run_live(spark, paths, as_of=dt.datetime(2024, 1, 20))
+    text = plan_text(models["live_recent"])
+    assert "PartitionFilters: [isnotnull(obs_day" in text and "obs_day#" in text
+    assert models["live_recent"].count() == L.recent(
+        L.live_dedup(raw.select(*[F.col(f.name).cast(f.dataType) for f in schemas.LIVE_RAW.fields])),
+        as_of=dt.datetime(2024, 1, 20)).count()
