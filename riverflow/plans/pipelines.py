@@ -99,7 +99,7 @@ def run_historical(spark: SparkSession, paths: Paths, method: str = "approx") ->
         hist = H.hist_agg(flat, exact=method == "exact")
     else:
         raise ValueError("method must be 'approx', 'exact' or 'kll'")
-    return W.materialize(hist, paths.hist_agg, cluster_by=["code_station"])
+    return W.materialize(hist, paths.hist_agg)
 
 
 def ingest_live(spark: SparkSession, pages_path: str, paths: Paths,
@@ -126,7 +126,8 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
     stored = W.materialize(L.with_obs_day(L.live_dedup(raw)), paths.live_dedup,
                            cluster_by=[L.OBS_DAY, "code_station"], partition_by=[L.OBS_DAY])
     dedup = stored.select(*schemas.LIVE_DEDUP_COLUMNS)
-    latest = W.materialize(L.latest(dedup), paths.live_latest, cluster_by=["code_station"])
+    # latest and hist_agg hold one row per station: no clustering needed
+    latest = W.materialize(L.latest(dedup), paths.live_latest)
     avg = W.materialize(L.live_avg(dedup), paths.live_avg)
     recent = W.as_view(_recent_from_store(stored, as_of), "live_recent")
     hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
