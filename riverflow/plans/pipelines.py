@@ -18,27 +18,12 @@ from riverflow.functions import horizon
 from riverflow.operators import historical as H
 from riverflow.operators import live as L
 from riverflow.operators.indicator import indicator
+from riverflow.operators.joins import HIST_BROADCAST_MAX_ROWS, checked_broadcast
 from riverflow.sources import readers as R
 from riverflow.sources.readers import read_if_exists
 from riverflow.session import stage
 from riverflow.sources import writers as W
 
-# Broadcast the history only up to this many rows (~120 bytes each, about
-# 60 MB); it holds one row per station and coordinate pair, and a national
-# network has a few thousand stations.
-HIST_BROADCAST_MAX_ROWS = 500_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a stored table only after counting it.
-
-    ``df`` must be a read of written files, so the count is a metadata-level
-    scan.  Above ``max_rows`` the frame is returned unhinted and the planner
-    (with AQE) chooses a shuffled join.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 @dataclass
 class Paths:
     out: str

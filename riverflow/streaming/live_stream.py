@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riverflow import schemas
 from riverflow.operators.indicator import indicator
+from riverflow.operators.joins import HIST_BROADCAST_MAX_ROWS, checked_broadcast
 from riverflow.operators.live import (LATEST_KEYS, OBS_DAY, live_dedup_increment,
                                       stamp_ingestion, with_obs_day)
 from riverflow.session import scratch_path
@@ -107,10 +108,16 @@ def stream_latest(stream: DataFrame) -> DataFrame:
                       F.lit(1).cast("bigint").alias("row_num"))
 
 
-def stream_indicator(stream: DataFrame, hist: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
+def stream_indicator(stream: DataFrame, hist: DataFrame, delay: str = DEFAULT_DELAY,
+                     max_broadcast_rows: int = HIST_BROADCAST_MAX_ROWS) -> DataFrame:
     """Stream-static inner join of de-duplicated readings with the history's
-    quantiles (T5).  Append mode; the static side is re-read per batch."""
-    return indicator(stream_dedup(stream, delay), hist)
+    quantiles (T5), append mode.
+
+    ``hist`` should be the stored history.  AQE does not run inside
+    micro-batches, so the static side is counted once here and broadcast
+    when small; otherwise every micro-batch would shuffle it again.
+    """
+    return indicator(stream_dedup(stream, delay), checked_broadcast(hist, max_broadcast_rows))
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
