@@ -53,6 +53,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
     )
+    # catalog tables of local runs go to a scratch warehouse, never the cwd
+    builder = builder.config("spark.sql.warehouse.dir",
+                             tempfile.mkdtemp(prefix="riverflow-warehouse-", dir="/tmp"))
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
                    .config("spark.eventLog.dir", event_log_dir))

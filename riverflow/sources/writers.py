@@ -40,7 +40,8 @@ TEXT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _write(df: DataFrame, target: str, mode: str, fmt: str, cluster_by: list[str] | None,
-           partition_by: list[str] | None) -> int:
+           partition_by: list[str] | None,
+           bucket_by: tuple[int, list[str]] | None = None) -> int:
     obs = Observation("rows_written")
     out = clustered(df, cluster_by).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode)
@@ -48,6 +49,11 @@ def _write(df: DataFrame, target: str, mode: str, fmt: str, cluster_by: list[str
         writer = writer.option("timestampFormat", TEXT_TIMESTAMP_FORMAT)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        if _is_path(target):
+            raise ValueError("bucketing needs a catalog table name, not a path")
+        n, cols = bucket_by
+        writer = writer.bucketBy(n, *cols).sortBy(*cols)
     if _is_path(target):
         writer.format(fmt).save(target)
     else:
@@ -56,15 +62,22 @@ def _write(df: DataFrame, target: str, mode: str, fmt: str, cluster_by: list[str
 
 
 def append(df: DataFrame, target: str, fmt: str = "parquet",
-           cluster_by: list[str] | None = None, partition_by: list[str] | None = None) -> int:
+           cluster_by: list[str] | None = None, partition_by: list[str] | None = None,
+           bucket_by: tuple[int, list[str]] | None = None) -> int:
     """Append rows, creating the target on first use (K1)."""
-    return _write(df, target, "append", fmt, cluster_by, partition_by)
+    return _write(df, target, "append", fmt, cluster_by, partition_by, bucket_by)
 
 
 def overwrite(df: DataFrame, target: str, fmt: str = "parquet",
-              cluster_by: list[str] | None = None, partition_by: list[str] | None = None) -> int:
-    """Replace the target's content (K2)."""
-    return _write(df, target, "overwrite", fmt, cluster_by, partition_by)
+              cluster_by: list[str] | None = None, partition_by: list[str] | None = None,
+              bucket_by: tuple[int, list[str]] | None = None) -> int:
+    """Replace the target's content (K2).
+
+    ``bucket_by=(n, keys)`` stores a catalog table in ``n`` buckets sorted
+    by ``keys`` (K8): two tables bucketed alike on the join key join
+    without any shuffle, whatever their sizes.
+    """
+    return _write(df, target, "overwrite", fmt, cluster_by, partition_by, bucket_by)
 
 
 def land_hist(envelopes: DataFrame, root: str, date_col: str = "json_file") -> int:

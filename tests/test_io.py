@@ -236,3 +236,22 @@ def test_recent_view_prunes_day_partitions(spark, scratch):
     assert models["live_recent"].count() == L.recent(
         L.live_dedup(raw.select(*[F.col(f.name).cast(f.dataType) for f in schemas.LIVE_RAW.fields])),
         as_of=dt.datetime(2024, 1, 20)).count()
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from riverflow.operators.indicator import indicator
+    raw = fx.fx_live_raw(spark, SF_SMALL)
+    dedup = L.live_dedup(raw)
+    hist = H.hist_agg(fx.fx_hist_flat(spark, SF_SMALL))
+    W.overwrite(dedup, "t_live_dedup_b", bucket_by=(4, ["code_station"]))
+    W.overwrite(hist, "t_hist_agg_b", bucket_by=(4, ["code_station"]))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # show the planned join itself
+    try:
+        joined = indicator(spark.table("t_live_dedup_b"), spark.table("t_hist_agg_b"))
+        text = plan_text(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert joined.count() == indicator(dedup, hist).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    with pytest.raises(ValueError):
+        W.overwrite(dedup, "/tmp/not-a-table", bucket_by=(4, ["code_station"]))
