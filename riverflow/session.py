@@ -58,7 +58,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                              tempfile.mkdtemp(prefix="riverflow-warehouse-", dir="/tmp"))
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
-                   .config("spark.eventLog.dir", event_log_dir))
+                   .config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     configure(spark)
