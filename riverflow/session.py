@@ -27,6 +27,11 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # Streaming state (dedup keys within the watermark, latest row per key)
+    # lives in RocksDB off the JVM heap and is checkpointed incrementally.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -102,3 +107,44 @@ def stage(df, name: str):
     path = scratch_path(spark, f"stage/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+MB = 1024 * 1024
+GB = 1024 * MB
+TB = 1024 * GB
+# Cap on reduce partitions of one shuffle: map tasks x reduce partitions is
+# the number of shuffle blocks, which must stay manageable.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def sizing(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.5) -> dict[str, str]:
+    """Partition settings for an input of ``input_bytes`` on ``total_cores``.
+
+    - scan splits of 128 MB, 512 MB beyond 10 TB (fewer, still streaming,
+      tasks);
+    - initial shuffle partitions for ~200 MB of shuffled data each (the
+      shuffled volume estimated as ``shuffle_fraction`` of the input), at
+      least two per core, at most MAX_SHUFFLE_PARTITIONS (partitions grow
+      beyond 200 MB then); AQE coalesces small ones to the advisory size.
+    """
+    split = 512 * MB if input_bytes > 10 * TB else 128 * MB
+    shuffled = max(1, int(input_bytes * shuffle_fraction))
+    parts = -(-shuffled // (200 * MB))
+    parts = max(2 * total_cores, min(MAX_SHUFFLE_PARTITIONS, parts))
+    parts = -(-parts // total_cores) * total_cores  # whole waves
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MB),
+    }
+
+
+def apply_sizing(spark: SparkSession, input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Set ``sizing`` values the session has not set explicitly."""
+    applied = {}
+    for key, value in sizing(input_bytes, total_cores).items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied

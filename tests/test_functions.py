@@ -28,3 +28,17 @@ def test_month_horizon_offset(spark):
     assert (r.q0, r.q2) == (3.0, 1.0)
     assert df.select(month_of("t")).schema.fields[0].dataType.simpleString() == "bigint"
     assert df.select(F.lit(1)).count() == 1
+
+
+def test_sizing_rule():
+    from riverflow.session import GB, MAX_SHUFFLE_PARTITIONS, MB, TB, sizing
+    small = sizing(600 * MB, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"  # two per core
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * MB)
+    big = sizing(100 * TB, 8000)
+    parts = int(big["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts <= MAX_SHUFFLE_PARTITIONS + 8000
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 * MB)
+    mid = sizing(2 * TB, 1000)
+    assert int(mid["spark.sql.shuffle.partitions"]) * 200 * MB >= 1 * TB
+    assert GB == 1024 * MB
