@@ -255,3 +255,11 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     with pytest.raises(ValueError):
         W.overwrite(dedup, "/tmp/not-a-table", bucket_by=(4, ["code_station"]))
+
+
+def test_stations_multiline_document(spark, scratch):
+    doc = {"count": 1, "data": [{"code_station": "S9", "libelle_commune": "Ville",
+                                 "en_service": False, "coordonnee_x_station": 650000}]}
+    write_lines(f"{scratch}/st/a.json", [json.dumps(doc, indent=2)])
+    [row] = R.read_stations(spark, f"{scratch}/st", multiline=True).collect()
+    assert (row.code_station, row.en_service, row.coordonnee_x_station) == ("S9", False, 650000.0)
