@@ -74,9 +74,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a scratch folder is created
-    and registered, so ``DataFrame.checkpoint`` and streaming checkpoints
-    always land in the folder the session names.
+    Only a local session without one (tests) gets a scratch folder; on a
+    cluster a missing setting is an error, never a driver-local folder.
+    Staged tables and streaming checkpoints always land in this folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -86,6 +86,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        # A folder on the driver's disk is invisible to executors on other
+        # machines: a cluster must name its shared folder.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     scratch = tempfile.mkdtemp(prefix="riverflow-ckpt-", dir="/tmp")
     sc.setCheckpointDir(scratch)
     return sc.getCheckpointDir() or scratch
