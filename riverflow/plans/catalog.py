@@ -71,64 +71,78 @@ def _file_before(day: str):
 # ------------------------------------------------------------------ queries ---
 
 def q_indicator(spark, sf):
+    """Flood indicator over all de-duplicated live readings."""
     return indicator(_obs_dedup(spark, sf), _hist(spark, sf))
 
 
 def q_indicator_latest(spark, sf):
+    """Indicator of the latest reading per station."""
     return _ind_latest_obs(spark, sf)
 
 
 def q_indicator_recent(spark, sf):
+    """Indicator of the last 24 hours, coordinates from history."""
     return indicator(_recent_events(spark, sf), _hist(spark, sf), coords="history")
 
 
 def q_hist_agg(spark, sf):
+    """Six quantiles and date window per station history, approximate."""
     return _hist(spark, sf)
 
 
 def q_hist_agg_exact(spark, sf):
+    """Same, exact discrete quantiles computed without a per-group task (A1, A2)."""
     return H.hist_agg(fx.fx_hist_flat(spark, sf), exact=True)
 
 
 def q_live_dedup(spark, sf):
+    """Exact-row de-duplication of overlapping pulls (A3, Q1, Q2)."""
     return _live_dedup(spark, sf)
 
 
 def q_live_latest(spark, sf):
+    """Latest row per (station, measure) with row_num."""
     return L.latest(_live_dedup(spark, sf))
 
 
 def q_live_recent(spark, sf):
+    """Last 24 hours, stations only, sorted."""
     dedup = _live_dedup(spark, sf)
     return L.recent(dedup, as_of=L.as_of_max(dedup), ordered=True)
 
 
 def q_live_avg(spark, sf):
+    """Monthly mean of the H measure, year ignored, rounded to 6 digits."""
     avg = L.live_avg(_obs_dedup(spark, sf), ordered=True)
     return avg.withColumn("avg_resultat_obs", F.round("avg_resultat_obs", AVG_DIGITS))
 
 
 def q_not_in_files(spark, sf):
+    """Null-aware NOT IN on day-files."""
     flat = fx.fx_hist_flat(spark, sf)
     target = flat.where(_file_before(NOT_IN_TARGET_BEFORE))
     return H.not_in_files(flat, target, strict=True)
 
 
 def q_load_new_files(spark, sf):
+    """Rows of day-files not loaded yet (K9)."""
     flat = fx.fx_hist_flat(spark, sf)
     target = flat.where(_file_before(NOT_IN_TARGET_BEFORE))
     return H.load_new_files(flat, target)
 
 
 def q_loaded_files(spark, sf):
+    """Distinct loaded day-files (A5)."""
     return H.loaded_files(fx.fx_hist_flat(spark, sf))
 
 
 def q_file_row_counts(spark, sf):
+    """Rows per day-file."""
     return H.file_row_counts(fx.fx_hist_flat(spark, sf))
 
 
 def q_hist_flatten(spark, sf):
+    """Unnest of day envelopes into flat rows."""
     return H.hist_flatten(fx.fx_hist_envelopes(spark, sf))
 
 
@@ -145,11 +159,13 @@ def q_flatten_incremental(spark, sf):
 
 
 def q_backfill_days(spark, sf):
+    """Backfill calendar minus loaded day-files."""
     loaded = V.by_station(fx.fx_hist_flat(spark, sf), STATION)
     return H.backfill_days(spark, loaded, BACKFILL_START, BACKFILL_END)
 
 
 def q_file_tag(spark, sf):
+    """Day-file name, landing path, basename and year."""
     days = fx.fx_hist_flat(spark, sf).select("date_obs_elab").distinct()
     path = hist_landing_path("date_obs_elab")
     return days.select(
@@ -162,11 +178,13 @@ def q_file_tag(spark, sf):
 
 
 def q_stamp_ingestion(spark, sf):
+    """Ingestion stamp with an injected clock, whole seconds."""
     out = L.stamp_ingestion(fx.fx_live_base(spark, sf), now=FIXED_CLOCK)
     return out.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast(fx.NTZ))
 
 
 def q_pull_windows(spark, sf):
+    """Overlapping 10-minute pull windows every 5 minutes."""
     ev = fx.table(spark, sf, "events")
     w = pull_windows(ev, "ts")
     return w.select("window_start", "window_end",
@@ -175,41 +193,50 @@ def q_pull_windows(spark, sf):
 
 
 def q_merge_pages(spark, sf):
+    """Bag union of the records of all API pages."""
     return merge_pages(fx.fx_live_pages(spark, sf))
 
 
 def q_json_roundtrip(spark, sf):
+    """Embedded JSON decoded to typed columns."""
     ev = fx.table(spark, sf, "events").select("event_id", "props")
     dec = decode_json_column(ev, "props", "k bigint")
     return dec.select("event_id", F.col("props.k").alias("k"))
 
 
 def q_bbox_filter(spark, sf):
+    """Inclusive bounding box."""
     return bbox_filter(fx.fx_obs(spark, sf))
 
 
 def q_station_history(spark, sf):
+    """One station's history with commune and department."""
     return V.station_history(fx.fx_hist_flat(spark, sf), fx.fx_stations(spark, sf), STATION)
 
 
 def q_station_live(spark, sf):
+    """One station's recent series of measure Q."""
     return V.station_live(_recent_events(spark, sf), STATION)
 
 
 def q_station_ymax(spark, sf):
+    """Shared y-axis maximum of history and live."""
     return V.station_ymax(fx.fx_hist_flat(spark, sf), _recent_events(spark, sf), STATION)
 
 
 def q_station_thresholds(spark, sf):
+    """Current value and upper quantiles of one station."""
     return V.station_thresholds(_ind_latest_obs(spark, sf), STATION)
 
 
 def q_map_stations(spark, sf):
+    """Map markers: ratio, radius, colour position, newest first."""
     ind = _ind_latest_events(spark, sf)
     return V.map_stations(ind, as_of=L.as_of_max(ind))
 
 
 def q_live_top20(spark, sf):
+    """Newest 20 latest rows."""
     return V.live_top20(L.latest(_live_dedup(spark, sf)))
 
 
@@ -240,6 +267,7 @@ def _live_raw_stream(spark, sf):
 
 
 def q_stream_dedup(spark, sf):
+    """Watermarked stream de-duplication, run to the end."""
     d = _run_dir(spark, "stream_dedup")
     out = S.run_to_table(S.stream_dedup(_live_raw_stream(spark, sf)), f"{d}/out",
                          f"stream_dedup_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt")
@@ -247,6 +275,7 @@ def q_stream_dedup(spark, sf):
 
 
 def q_stream_dedup_exact(spark, sf):
+    """Exact incremental stream de-duplication into a table."""
     d = _run_dir(spark, "stream_dedup_exact")
     q = S.dedup_to_table(_live_raw_stream(spark, sf), f"{d}/out",
                          name=f"stream_dedup_exact_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt")
@@ -257,6 +286,7 @@ def q_stream_dedup_exact(spark, sf):
 
 
 def q_stream_latest(spark, sf):
+    """Latest row per key kept in stream state (T4)."""
     d = _run_dir(spark, "stream_latest")
     out = S.run_to_table(S.stream_latest(_live_raw_stream(spark, sf)), f"{d}/out",
                          f"stream_latest_{uuid.uuid4().hex}", mode="complete",
@@ -265,6 +295,7 @@ def q_stream_latest(spark, sf):
 
 
 def q_stream_indicator(spark, sf):
+    """Stream-static indicator join (T5)."""
     d = _run_dir(spark, "stream_indicator")
     hist = W.materialize(_hist(spark, sf), f"{d}/hist_agg")
     out = S.run_to_table(S.stream_indicator(_live_raw_stream(spark, sf), hist), f"{d}/out",
@@ -273,6 +304,7 @@ def q_stream_indicator(spark, sf):
 
 
 def q_stream_pull_windows(spark, sf):
+    """Pull windows as a watermarked stream."""
     d = _run_dir(spark, "stream_pull_windows")
     ev = _as_ltz(fx.stream_table(spark, sf, "events")).withWatermark("ts", S.DEFAULT_DELAY)
     out = _as_ntz(S.run_to_table(pull_windows(ev, "ts"), f"{d}/out",
