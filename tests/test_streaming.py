@@ -136,3 +136,21 @@ def test_dedup_increment_null_safe(spark):
                           {"code_station": "S1", "date_obs": T0, "resultat_obs": 3.0}])
     out = L.live_dedup_increment(new, old).collect()
     assert [r.resultat_obs for r in out] == [3.0]
+
+
+def test_stream_indicator_broadcasts_counted_history(spark, scratch):
+    import contextlib
+    import io
+    _, path = landed_raw(spark, scratch, files=1)
+    hist = W.materialize(H.hist_agg(fx.fx_hist_flat(spark, SF_SMALL)), f"{scratch}/hist")
+    q = S.start(S.stream_indicator(S.stream_live_raw(spark, path), hist), "t_ind_plan",
+                sink="memory", available_now=True, checkpoint=f"{scratch}/ck-plan")
+    q.awaitTermination(300)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    text = buf.getvalue()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    # above the row cap the static side is not broadcast
+    unhinted = S.stream_indicator(S.stream_live_raw(spark, path), hist, max_broadcast_rows=1)
+    assert unhinted.isStreaming
