@@ -33,7 +33,7 @@ def indicator(live: DataFrame, hist: DataFrame, coords: str = "live", measure: s
     row per station and coordinate pair; AQE broadcasts a side once its
     finished stage measures under the adaptive threshold, callers holding a
     stored history broadcast it after counting it
-    (``pipelines.checked_broadcast``), and otherwise both sides are shuffled
+    (``operators.joins.checked_broadcast``), and otherwise both sides are shuffled
     (with skewed partitions split).  Filters on the measure and the box are
     pushed below the join into the scans.
     """
