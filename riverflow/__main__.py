@@ -84,11 +84,15 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"stations": P.refresh_stations(spark, args.landed, paths)}))
     elif args.cmd == "stream-live":
         # Raw append (exactly once) and exact incremental dedup, one query each.
+        # Checkpoints live next to the tables, so every run resumes.
         once = args.every is None
+        ckpt = f"{args.out.rstrip('/')}/_checkpoints"
         q1 = S.ingest(S.stream_live_raw(spark, args.landed, with_stamp=False), paths.raw_live,
-                      name="live_ingest", available_now=once, processing_time=args.every)
+                      name="live_ingest", checkpoint=f"{ckpt}/live_ingest",
+                      available_now=once, processing_time=args.every)
         q2 = S.dedup_to_table(S.stream_live_raw(spark, args.landed, with_stamp=False),
-                              paths.live_dedup, name="live_dedup", available_now=once,
+                              paths.live_dedup, name="live_dedup",
+                              checkpoint=f"{ckpt}/live_dedup", available_now=once,
                               processing_time=args.every)
         for q in (q1, q2):
             q.awaitTermination()

@@ -121,7 +121,16 @@ def stream_indicator(stream: DataFrame, hist: DataFrame, delay: str = DEFAULT_DE
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
-    """Checkpoint of a named stream inside the session's checkpoint folder."""
+    """Checkpoint of a named stream under the configured shared folder.
+
+    The configured ``spark.checkpoint.dir`` itself is used, not the
+    per-application subfolder Spark creates in it, so the same stream name
+    resumes from its checkpoint in the next application.  Callers that own a
+    table root should rather keep the checkpoint next to the table.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/") + f"/streams/{name}"
     return scratch_path(spark, f"streams/{name}")
 
 

@@ -1,6 +1,7 @@
 """End to end through the command line, from landed JSON files."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -42,3 +43,22 @@ def test_cli_end_to_end(spark, scratch, capsys):
 
     raw = spark.read.parquet(f"{out}/live_raw")
     assert raw.count() == 1000 and raw.schema["ingestion_timestamp"].dataType == schemas.TS
+
+
+def test_cli_stream_live(spark, scratch):
+    out = f"{scratch}/tables"
+    records = fx.fx_live_raw(spark, SF_SMALL).select(
+        *[F.col(f.name).cast(f.dataType) for f in schemas.LIVE_RECORD.fields])
+    W.land_live(records.repartition(3), f"{scratch}/landed")  # no ingestion stamp yet
+    assert main(["stream-live", "--out", out, "--landed", f"{scratch}/landed"]) == 0
+    raw = spark.read.parquet(f"{out}/live_raw")
+    assert raw.count() == 2000 and raw.where("ingestion_timestamp IS NULL").count() == 0
+    dedup = spark.read.parquet(f"{out}/live_dedup")
+    assert {"obs_day", "ingest_batch"} <= set(dedup.columns)
+    assert dedup.select(*schemas.LIVE_DEDUP_COLUMNS).distinct().count() == dedup.count() == 1000
+    # a second run over the same landing adds nothing: the checkpoints sit
+    # next to the tables, so a new application resumes from them
+    assert os.path.isdir(f"{out}/_checkpoints/live_ingest")
+    assert main(["stream-live", "--out", out, "--landed", f"{scratch}/landed"]) == 0
+    assert spark.read.parquet(f"{out}/live_dedup").count() == 1000
+    assert spark.read.parquet(f"{out}/live_raw").count() == 2000
