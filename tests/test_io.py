@@ -263,3 +263,26 @@ def test_stations_multiline_document(spark, scratch):
     write_lines(f"{scratch}/st/a.json", [json.dumps(doc, indent=2)])
     [row] = R.read_stations(spark, f"{scratch}/st", multiline=True).collect()
     assert (row.code_station, row.en_service, row.coordonnee_x_station) == ("S9", False, 650000.0)
+
+
+def test_read_api_style_envelope(spark, scratch):
+    rec = {"code_site": "A0010101", "code_station": "A001010101", "date_obs_elab": "2023-05-01",
+           "resultat_obs_elab": 1234.5, "date_prod": "2023-05-02T06:00:00Z",
+           "code_statut": 4, "libelle_statut": "Donnee validee", "code_methode": 12,
+           "libelle_methode": "Interpolee", "code_qualification": 20,
+           "libelle_qualification": "Bonne", "longitude": 7.1, "latitude": 47.9,
+           "grandeur_hydro_elab": "QmJ", "extra_field": "ignored"}
+    env = {"count": 2, "first": "f", "prev": None, "next": None, "api_version": "1.0.1",
+           "data": [rec, dict(rec, resultat_obs_elab=0)],
+           "json_file": "obs_elab_QmJ_2023-05-01.json"}
+    write_lines(f"{scratch}/env/2023/obs_elab_QmJ_2023-05-01.json", [json.dumps(env)])
+    raw = R.read_hist_raw(spark, f"{scratch}/env/2023")
+    flat = H.hist_flatten(raw)
+    rows = flat.collect()
+    assert len(rows) == 2 and flat.columns == schemas.HIST_FLAT_COLUMNS
+    r = rows[0]
+    assert r.date_obs_elab == dt.date(2023, 5, 1) and r.code_statut == 4
+    assert r.json_file == "obs_elab_QmJ_2023-05-01.json"
+    # only the positive value enters the quantiles
+    [q] = H.hist_agg(flat).collect()
+    assert q.quantile_999 == q.quantile_001 == 1234.5
