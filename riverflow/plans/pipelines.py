@@ -103,17 +103,33 @@ def _recent_from_store(stored: DataFrame, as_of, hours: int = 24) -> DataFrame:
     return L.recent(window, as_of=clock, hours=hours)
 
 
+def _run_id() -> int:
+    """Batch id of a refresh: microseconds since the epoch (increasing)."""
+    return int(_dt.datetime.now(_dt.UTC).timestamp() * 1e6)
+
+
 def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | None = None,
-             ) -> dict[str, DataFrame]:
+             run_id: int | None = None) -> dict[str, DataFrame]:
     """Live refresh (G2): dedup once, then latest / avg tables and the
-    indicator views.  Returns every model by name."""
+    indicator views.  Returns every model by name.
+
+    The tables have the same layout as ``run_live_incremental`` writes
+    (batch id on dedup rows, fold mark on latest and avg parts), so the two
+    refresh modes can follow each other on the same tables.
+    """
+    run_id = run_id if run_id is not None else _run_id()
+    mark = F.lit(run_id).cast("bigint")
     raw = spark.read.schema(schemas.LIVE_RAW).parquet(paths.raw_live)
-    stored = W.materialize(L.with_obs_day(L.live_dedup(raw)), paths.live_dedup,
-                           cluster_by=[L.OBS_DAY, "code_station"], partition_by=[L.OBS_DAY])
+    stored = W.materialize(
+        L.with_obs_day(L.live_dedup(raw)).withColumn("ingest_batch", mark), paths.live_dedup,
+        cluster_by=[L.OBS_DAY, "code_station"], partition_by=[L.OBS_DAY])
     dedup = stored.select(*schemas.LIVE_DEDUP_COLUMNS)
     # latest and hist_agg hold one row per station: no clustering needed
-    latest = W.materialize(L.latest(dedup), paths.live_latest)
-    avg = W.materialize(L.live_avg(dedup), paths.live_avg)
+    latest = W.materialize(L.latest(dedup).withColumn("folded_batch", mark),
+                           paths.live_latest).drop("folded_batch")
+    parts = W.materialize(L.live_avg_parts(dedup).withColumn("folded_batch", mark),
+                          paths.live_avg_parts)
+    avg = W.materialize(L.avg_from_parts(parts), paths.live_avg)
     recent = W.as_view(_recent_from_store(stored, as_of), "live_recent")
     hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
     return {
@@ -129,8 +145,9 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
 
 
 def _folded_mark(df: DataFrame | None):
-    """Highest ingest batch a stored derived table has folded in (or None)."""
-    if df is None:
+    """Highest ingest batch a stored derived table has folded in (or None,
+    then every stored dedup row is folded again: the fold is idempotent)."""
+    if df is None or "folded_batch" not in df.columns:
         return None
     return df.agg(F.max("folded_batch")).first()[0]
 
@@ -154,7 +171,7 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
     first staged (written under ``spark.checkpoint.dir``) and then
     overwritten from the stage, so no job reads the files it replaces.
     """
-    run_id = run_id if run_id is not None else int(_dt.datetime.now(_dt.UTC).timestamp() * 1e6)
+    run_id = run_id if run_id is not None else _run_id()
     stored = read_if_exists(spark, paths.live_dedup)
     since = new_raw.agg(F.min("date_obs")).first()[0] if stored is not None else None
     inc = L.live_dedup_increment(new_raw, stored, since=since)

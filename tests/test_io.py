@@ -286,3 +286,27 @@ def test_read_api_style_envelope(spark, scratch):
     # only the positive value enters the quantiles
     [q] = H.hist_agg(flat).collect()
     assert q.quantile_999 == q.quantile_001 == 1234.5
+
+
+def test_full_then_incremental_refresh(spark, scratch):
+    hist_path = f"{scratch}/hist"
+    W.materialize(H.hist_agg(fx.fx_hist_flat(spark, SF_SMALL)), hist_path)
+    raw = fx.fx_live_raw(spark, SF_SMALL)
+    raw = raw.select(*[F.col(f.name).cast(f.dataType) for f in schemas.LIVE_RAW.fields])
+    cut = dt.datetime(2024, 1, 15)
+    paths = P.Paths(f"{scratch}/mixed")
+    paths.hist_agg = hist_path
+    W.append(raw.where(F.col("ingestion_timestamp") < F.lit(cut)), paths.raw_live)
+    P.run_live(spark, paths, run_id=10)
+    mixed = P.run_live_incremental(spark, paths, raw.where(F.col("ingestion_timestamp") >= F.lit(cut)),
+                                   run_id=11)
+    full_paths = P.Paths(f"{scratch}/full")
+    full_paths.hist_agg = hist_path
+    W.append(raw, full_paths.raw_live)
+    full = P.run_live(spark, full_paths)
+    for key in ("live_dedup", "live_latest", "indicator_latest"):
+        a, b = mixed[key], full[key].select(*mixed[key].columns)
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0, key
+    ra = {(r.code_station, r.month): r.avg_resultat_obs for r in mixed["live_avg"].collect()}
+    rb = {(r.code_station, r.month): r.avg_resultat_obs for r in full["live_avg"].collect()}
+    assert ra.keys() == rb.keys() and all(ra[k] == pytest.approx(rb[k], rel=1e-12) for k in ra)
