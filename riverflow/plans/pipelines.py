@@ -33,7 +33,6 @@ class Paths:
     hist_agg: str = field(init=False)
     live_dedup: str = field(init=False)
     live_latest: str = field(init=False)
-    live_avg: str = field(init=False)
     stations: str = field(init=False)
     live_avg_parts: str = field(init=False)
     hist_sketches: str = field(init=False)
@@ -46,7 +45,6 @@ class Paths:
         self.hist_agg = f"{base}/hist_agg"
         self.live_dedup = f"{base}/live_dedup"
         self.live_latest = f"{base}/live_latest"
-        self.live_avg = f"{base}/live_avg"
         self.stations = f"{base}/stations"
         self.live_avg_parts = f"{base}/live_avg_parts"
         self.hist_sketches = f"{base}/hist_sketches"
@@ -110,8 +108,9 @@ def _run_id() -> int:
 
 def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | None = None,
              run_id: int | None = None) -> dict[str, DataFrame]:
-    """Live refresh (G2): dedup once, then latest / avg tables and the
-    indicator views.  Returns every model by name.
+    """Live refresh (G2): dedup once, then the latest table, the average
+    parts and the views (average, recent, indicators).  Returns every model
+    by name.
 
     The tables have the same layout as ``run_live_incremental`` writes
     (batch id on dedup rows, fold mark on latest and avg parts), so the two
@@ -129,7 +128,7 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
                            paths.live_latest).drop("folded_batch")
     parts = W.materialize(L.live_avg_parts(dedup).withColumn("folded_batch", mark),
                           paths.live_avg_parts)
-    avg = W.materialize(L.avg_from_parts(parts), paths.live_avg)
+    avg = W.as_view(L.avg_from_parts(parts), "live_avg")
     recent = W.as_view(_recent_from_store(stored, as_of), "live_recent")
     hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
     return {
@@ -163,8 +162,9 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
     - ``live_latest``: ``latest`` over the stored latest rows plus the dedup
       rows of batches it has not folded in yet (the pick is a maximum, so it
       composes);
-    - ``live_avg``: from per (station, month) sum/count parts, folded the
-      same way.
+    - ``live_avg``: a view over stored per (station, month) sum/count
+      parts, folded the same way (the parts are the stored, mergeable form
+      of the average).
     The derived tables record the last batch they folded in
     (``folded_batch``), so a run that stopped half-way is completed by the
     next one, and replaying a batch changes nothing.  Each replaced table is
@@ -196,8 +196,7 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
     parts = new_parts if prev_parts is None else L.merge_avg_parts(
         prev_parts.drop("folded_batch"), new_parts)
     W.overwrite(stage(parts.select("*", mark), "live_avg_parts"), paths.live_avg_parts)
-    avg = W.materialize(L.avg_from_parts(spark.read.parquet(paths.live_avg_parts)),
-                        paths.live_avg)
+    avg = W.as_view(L.avg_from_parts(spark.read.parquet(paths.live_avg_parts)), "live_avg")
 
     dedup = dedup_all.select(*schemas.LIVE_DEDUP_COLUMNS)
     latest = spark.read.parquet(paths.live_latest).drop("folded_batch")
