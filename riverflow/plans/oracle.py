@@ -243,6 +243,8 @@ ORACLE: dict[str, str] = {
 # Streaming forms: the same rows as their batch models.  Pull windows in
 # append mode are emitted once the watermark (newest time - 15 minutes)
 # passes their end, so only those windows are expected.
+ORACLE["live_dedup_incremental"] = ORACLE["live_dedup"]
+ORACLE["live_latest_incremental"] = ORACLE["live_latest"]
 ORACLE["stream_dedup"] = ORACLE["live_dedup"]
 ORACLE["stream_dedup_exact"] = ORACLE["live_dedup"]
 ORACLE["stream_latest"] = ORACLE["live_latest"]
