@@ -325,9 +325,7 @@ def _incremental_live(spark, sf, name):
     """Two incremental live refreshes into tables under the checkpoint
     folder: rows landed before LIVE_INCREMENT_CUT, then the rest."""
     d = _run_dir(spark, name)
-    W.materialize(_hist(spark, sf), f"{d}/hist_agg")
-    paths = P.Paths(f"{d}/tables")
-    paths.hist_agg = f"{d}/hist_agg"
+    paths = P.Paths(f"{d}/tables")  # no stored history: only the live tables
     raw = _as_ltz(fx.fx_live_raw(spark, sf))
     cut = F.col("ingestion_timestamp") < F.lit(LIVE_INCREMENT_CUT)
     P.run_live_incremental(spark, paths, raw.where(cut), run_id=1)

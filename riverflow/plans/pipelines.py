@@ -201,17 +201,19 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
     dedup = dedup_all.select(*schemas.LIVE_DEDUP_COLUMNS)
     latest = spark.read.parquet(paths.live_latest).drop("folded_batch")
     recent = W.as_view(_recent_from_store(dedup_all, as_of), "live_recent")
-    hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
-    return {
-        "live_dedup": dedup,
-        "live_latest": latest,
-        "live_avg": avg,
-        "live_recent": recent,
+    models = {"live_dedup": dedup, "live_latest": latest, "live_avg": avg,
+              "live_recent": recent}
+    stored_hist = read_if_exists(spark, paths.hist_agg)
+    if stored_hist is None:
+        return models  # no history yet: the indicator views wait for G1
+    hist = checked_broadcast(stored_hist, HIST_BROADCAST_MAX_ROWS)
+    models.update({
         "indicator": W.as_view(indicator(dedup, hist), "indicator"),
         "indicator_latest": W.as_view(indicator(latest, hist), "indicator_latest"),
         "indicator_recent": W.as_view(indicator(recent, hist, coords="history"),
                                       "indicator_recent"),
-    }
+    })
+    return models
 
 
 def refresh_stations(spark: SparkSession, landed: str, paths: Paths) -> int:
