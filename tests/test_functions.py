@@ -42,3 +42,19 @@ def test_sizing_rule():
     mid = sizing(2 * TB, 1000)
     assert int(mid["spark.sql.shuffle.partitions"]) * 200 * MB >= 1 * TB
     assert GB == 1024 * MB
+
+
+def test_settings_never_override_explicit_values(spark):
+    from riverflow.session import apply_sizing, configure
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "12345")
+    try:
+        applied = apply_sizing(spark, 10 * 1024 ** 4, 100)
+        assert key not in applied and spark.conf.get(key) == "12345"
+        configure(spark)
+        assert spark.conf.get(key) == "12345"
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.unset(key)
+        for k in applied:
+            spark.conf.unset(k)
