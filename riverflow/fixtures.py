@@ -1,9 +1,11 @@
 """Domain-shaped views over the driver's test tables.
 
 The reference ships no data; these views map the generic test tables onto
-the river-flow schemas so that every query reads real, growing tables.  Each
-view is a plain projection/filter of one scan (the modulo arithmetic assigns
-synthetic station codes and coordinates; nothing is sampled or capped).
+the river-flow schemas so that every query reads real, growing tables.  The
+live, observation and history views are projections/filters of one scan
+(the modulo arithmetic assigns synthetic station codes and coordinates;
+nothing is sampled or capped); the stations are a dimension join, and the
+landed envelopes and API pages group those rows into bounded pages.
 Columns the mapping cannot fill are typed NULLs, so the frames carry the full
 domain schema; timestamps stay ``timestamp_ntz`` like the test tables.
 """
