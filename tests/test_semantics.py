@@ -248,3 +248,25 @@ def test_top20_since(spark):
     top = V.live_top20(latest).collect()
     assert [r.code_station for r in top] == [f"S{i}" for i in range(29, 9, -1)]
     assert V.live_top20(latest, since=T0 + dt.timedelta(minutes=25)).count() == 4
+
+
+def test_null_station_never_joins(spark):
+    live = live_df(spark, [
+        {"code_station": None, "grandeur_hydro": "Q", "date_obs": T0, "resultat_obs": 5.0,
+         "latitude": 45.0, "longitude": 2.0}])
+    hist = spark.createDataFrame(
+        [(None, 45.0, 2.0, "QmJ") + (1.0,) * 6 + (dt.date(2000, 1, 1), dt.date(2000, 1, 2))],
+        schemas.HIST_AGG)
+    assert indicator(live, hist).count() == 0
+
+
+def test_null_coordinates_form_their_own_group(spark):
+    rows = [("S1", None, None, "QmJ", float(v), dt.date(2000, 1, v), "f") for v in (1, 2, 3)]
+    rows += [("S1", 45.0, 2.0, "QmJ", float(v), dt.date(2000, 2, v), "f") for v in (7, 8)]
+    flat = spark.createDataFrame(rows, "code_station string, latitude double, longitude double, "
+                                       "grandeur_hydro_elab string, resultat_obs_elab double, "
+                                       "date_obs_elab date, json_file string")
+    for exact in (False, True):
+        got = {(r.latitude, r.longitude): (r.quantile_001, r.quantile_999)
+               for r in H.hist_agg(flat, exact=exact).collect()}
+        assert got == {(None, None): (1.0, 3.0), (45.0, 2.0): (7.0, 8.0)}
