@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the transforms assume.  Broadcasts are decided on measured sizes
 # only: no plan-time broadcast from file-size estimates (a compressed file
@@ -101,11 +102,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name if "://" in base else os.path.join(base, name)
 
 
-def stage(df, name: str):
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the checkpoint folder and return
     the read-back frame: a lineage cut in the shared folder that, unlike an
     eager ``checkpoint()``, computes its input only once."""
-    import uuid
     spark = df.sparkSession
     path = scratch_path(spark, f"stage/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
