@@ -36,3 +36,10 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[0] == "flood_indicateur"
     assert df.count() > 0
+
+
+def test_every_query_names_its_survey_ids():
+    import re
+    for name, fn in E.queries().items():
+        doc = fn.__doc__ or ""
+        assert re.search(r"\b([A-Z]\d+[a-c]?|G2 incremental)\b", doc), name
