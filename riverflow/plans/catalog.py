@@ -153,7 +153,7 @@ def q_hist_flatten(spark, sf):
 def q_flatten_incremental(spark, sf):
     """Two runs of the incremental model into a stored table: the first
     (table absent) loads the early day-files, the second appends only the
-    day-files the table does not hold yet."""
+    day-files the table does not hold yet (K7, J3)."""
     table = _run_dir(spark, "flatten_incremental")
     raw = fx.fx_hist_envelopes(spark, sf)
     W.append(H.flatten_incremental(raw.where(_file_before(INCREMENTAL_FIRST_RUN_BEFORE)), None),
