@@ -17,6 +17,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riverflow import schemas
@@ -31,11 +32,17 @@ DEFAULT_DELAY = "15 minutes"
 
 
 def stream_live_raw(spark: SparkSession, path: str, with_stamp: bool = True,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None, mode: str = "FAILFAST",
+                    corrupt_column: str | None = None) -> DataFrame:
     """Landed live NDJSON as a stream (S3).  Files without an ingestion
-    stamp get one per micro-batch (the statement clock of that batch)."""
+    stamp get one per micro-batch (the statement clock of that batch).
+    ``mode``/``corrupt_column`` behave as in the batch readers (S7)."""
     schema = schemas.LIVE_RAW if with_stamp else schemas.LIVE_RECORD
-    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
+    if corrupt_column:
+        schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
+    reader = spark.readStream.schema(schema).option("mode", mode)
+    if corrupt_column:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.json(path)

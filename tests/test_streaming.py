@@ -154,3 +154,15 @@ def test_stream_indicator_broadcasts_counted_history(spark, scratch):
     # above the row cap the static side is not broadcast
     unhinted = S.stream_indicator(S.stream_live_raw(spark, path), hist, max_broadcast_rows=1)
     assert unhinted.isStreaming
+
+
+def test_stream_permissive_keeps_bad_lines_visible(spark, scratch):
+    land = f"{scratch}/bad"
+    os.makedirs(land)
+    with open(f"{land}/1.json", "w") as f:
+        f.write(json.dumps({"code_station": "S1", "date_obs": "2024-01-01T00:00:00Z"}) + "\n")
+        f.write("{broken\n")
+    stream = S.stream_live_raw(spark, land, mode="PERMISSIVE", corrupt_column="_corrupt_record")
+    out = run_to_end(stream, "t_bad", "append", scratch)
+    assert out.count() == 2
+    assert out.where(F.col("_corrupt_record").isNotNull()).count() == 1
