@@ -6,10 +6,13 @@ round trip or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from riverflow.llm import superminhash, winnow
+from riverflow.llm import langid, pfair, superminhash, tokenbin, winnow
 
 QUERIES = {
     "op2_winnowing": winnow.op2_winnowing,
+    "op3_token_ids": tokenbin.op3_token_ids,
+    "op4_langid": langid.op4_langid,
+    "op5_pfair": pfair.op5_pfair,
     "op10_superminhash": superminhash.op10_superminhash,
 }
 
