@@ -61,3 +61,26 @@ def contamination(docs, items, k=13):
                     found |= got
         out[d] = (len(w), len(hit), sorted(map(str, found)))
     return out
+
+
+def line_dedup(docs, min_lines=3, long_words=20):
+    """docs: list of (doc_id, text) in order -> {doc_id: kept text}: every run
+    that also occurs earlier, tried at every place and length."""
+    seqs = {d: [(i, x) for i, x in enumerate(t.split("\n")) if x.strip()] for d, t in docs}
+    first = {}
+    for d in sorted(seqs):
+        s = seqs[d]
+        for a in range(len(s)):
+            for n in range(1, len(s) - a + 1):
+                first.setdefault(tuple(x for _, x in s[a:a + n]), (d, a))
+    out = {}
+    for d, t in docs:
+        s, gone = seqs[d], set()
+        for a in range(len(s)):
+            for n in range(1, len(s) - a + 1):
+                run = tuple(x for _, x in s[a:a + n])
+                if first[run] < (d, a) and (n >= min_lines or any(len(x.split()) >= long_words for x in run)):
+                    gone |= {i for i, _ in s[a:a + n]}
+        lines = t.split("\n")
+        out[d] = (len(lines), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
