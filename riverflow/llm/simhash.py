@@ -2,11 +2,11 @@
 
 Every pair of neighbouring words (lower-cased, split at white space) is a term;
 each occurrence votes with its hash: plus its weight on the one bits, minus on
-the others.  The weight is the term's length in characters, so rare long terms
+the others.  The weight is the term's length in characters (255 at most), so rare long terms
 count more than pairs of short function words.  A fingerprint bit is the sign
 of its sum.  Sums of all 64 bits are kept two to a number: ``(hash >> k) &
-0x100000001`` holds bits k and k + 32, and a text's characters number less
-than 2**32, so the lower half never runs over.
+0x100000001`` holds bits k and k + 32; a text of less than 2**30 characters
+(Spark's rows end there) has less than 2**31 votes, so neither half runs over.
 
 ``near_search`` finds all fingerprints within a Hamming radius: the 64 bits are
 cut into radius + 2 blocks; two fingerprints within the radius agree on at
@@ -34,26 +34,34 @@ from riverflow.session import stage
 
 RADIUS = 3
 GROUP = 256          # fingerprints per packed group
-SLICE_DOCS = 2_000   # documents in one slice of the neighbour order
+SLICE_DOCS = 2_000   # least documents in one slice of the neighbour order
+SLICES_PER_PARTITION = 4
 HALVES = (1 << 32) | 1
 
 
-def terms(text: Column) -> Column:
-    """Neighbouring word pairs as structs (a, b); one word alone pairs with NULL."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
-    return F.when(F.size(words) > 1, F.arrays_zip(
-        F.slice(words, F.lit(1), F.size(words) - 1).alias("a"), F.slice(words, F.lit(2), F.size(words) - 1).alias("b"))
-    ).otherwise(F.arrays_zip(words.alias("a"), F.array().cast("array<string>").alias("b")))
+def split_words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: w != "")
+
+
+def terms(words: Column) -> Column:
+    """Neighbouring word pairs, each packed into one number: its hash with the
+    low byte replaced by its length (at most 255); one word alone is a term."""
+    def pack(a, b, length):
+        return F.xxhash64(a, b).bitwiseAND(~255).bitwiseOR(F.least(length, F.lit(255)).cast("long"))
+    return F.when(F.size(words) > 1, F.zip_with(
+        F.slice(words, F.lit(1), F.size(words) - 1), F.slice(words, F.lit(2), F.size(words) - 1),
+        lambda a, b: pack(a, b, F.char_length(a) + F.char_length(b)))
+    ).otherwise(F.transform(words, lambda a: pack(a, F.lit(""), F.char_length(a))))
 
 
 def fingerprints(df: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     """``keys`` (unique per row) with the 64-bit ``fingerprint`` of each text.
     If ``df`` is already distributed by some of the keys, nothing is shuffled."""
-    words = df.select(*keys, F.explode_outer(terms(F.col(text_col))).alias("t_"))
-    hashed = words.select(
-        *keys, F.xxhash64("t_.a", "t_.b").alias("h_"),
-        (F.coalesce(F.char_length("t_.a"), F.lit(0)) + F.coalesce(F.char_length("t_.b"), F.lit(0)))
-        .cast("long").alias("w_"))
+    # words are split in a projection of their own, so once per text
+    words = df.select(*keys, split_words(F.col(text_col)).alias("words_"))
+    words = words.select(*keys, F.explode_outer(terms(F.col("words_"))).alias("t_"))
+    hashed = words.select(*keys, F.xxhash64("t_").alias("h_"),
+                          F.coalesce(F.col("t_").bitwiseAND(255), F.lit(0)).alias("w_"))
     sums = hashed.groupBy(*keys).agg(F.sum("w_").alias("all_"), *[
         F.sum(F.shiftrightunsigned("h_", k).bitwiseAND(HALVES) * F.col("w_")).alias(f"s{k}_") for k in range(32)])
     bits = F.lit(0).cast("long")
@@ -83,25 +91,24 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     n = base.count()
-    # slice borders: doc_ids at equal ranks (as many numbers as slices)
-    cuts = max(1, -(-n // SLICE_DOCS))
+    # slice borders: doc_ids at equal ranks, a few slices per shuffle partition
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = max(1, min(-(-n // SLICE_DOCS), SLICES_PER_PARTITION * parts))
     borders = base.agg(F.percentile_approx("doc_id", [i / cuts for i in range(1, cuts)] or [0.5], 10 * cuts + 1000)
                        .alias("b")).first()[0] or []
     borders = sorted(set(borders)) if cuts > 1 else []
     listed = F.lit(borders).cast("array<long>") if borders else F.array().cast("array<long>")
+    steps = F.array(*[F.lit(1 << k) for k in range(len(borders).bit_length() - 1, -1, -1)])
 
     def slice_of(doc_id):
         """Number of borders below the doc_id, by halving."""
         if not borders:
             return F.lit(0).cast("long")
-        found = F.lit(0).cast("long")
-        step = 1 << (len(borders).bit_length() - 1)
-        while step:
+
+        def halve(found, step):
             at = found + step
-            found = F.when((at <= len(borders)) & (F.element_at(listed, F.least(at, F.lit(len(borders))).cast("int"))
-                                                   < doc_id), at).otherwise(found)
-            step >>= 1
-        return F.coalesce(found, F.lit(0).cast("long"))
+            return F.when((at <= len(borders)) & (F.get(listed, at - 1) < doc_id), at).otherwise(found)
+        return F.aggregate(steps, F.lit(0), halve).cast("long")
 
     ids = stage(base.select("doc_id").withColumn("slice_", slice_of(F.col("doc_id"))).groupBy("slice_").agg(
         F.max("doc_id").alias("last_"), F.count(F.lit(1)).alias("n_")), "slices")
