@@ -91,6 +91,12 @@ def schedule(docs: DataFrame, weights: dict | None = None, source_col: str = "so
     number in its source) and place_ (the document's place in the block);
     (slot_, place_) orders the mixture."""
     spark = ready(docs.sparkSession)
+    names_in = docs.columns
+    # the caller's columns go by number inside, so none can clash
+    inner = dict(zip(names_in, (f"in{i}_" for i in range(len(names_in)))))
+    kind = docs.schema[source_col].dataType.simpleString()
+    docs = docs.toDF(*inner.values())
+    source_col, id_col, text_col = inner[source_col], inner[id_col], inner[text_col]
     sizes = {r[0]: r[1] for r in docs.groupBy(source_col).count().limit(MAX_SOURCES + 1).collect()}
     if len(sizes) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
@@ -111,7 +117,7 @@ def schedule(docs: DataFrame, weights: dict | None = None, source_col: str = "so
             rows += [(names[s], p, j, first, ph["slot"], ph["share"][s], ph["total"], t)
                      for j, t in enumerate(ph["places"][s])]
     begins = spark.createDataFrame([(names[s], s, v) for s, v in firsts.items()],
-                                   f"k_ int, s_ {docs.schema[source_col].dataType.simpleString()}, "
+                                   f"k_ int, s_ {kind}, "
                                    "begins_ array<struct<first:long,phase:int>>")
     slots = spark.createDataFrame(rows, "k2_ int, phase_ int, j2_ long, first_ long, base_ long, "
                                         "share_ long, total_ long, t_ long")
@@ -129,7 +135,8 @@ def schedule(docs: DataFrame, weights: dict | None = None, source_col: str = "so
                    (out.k_ == slots.k2_) & (out.phase1_ == slots.phase_)
                    & (F.pmod(out.j_, out.share3_) == slots.j2_))
     slot = F.col("base_") + F.floor(F.col("j_") / F.col("share_")).cast("long") * F.col("total_") + F.col("t_")
-    return out.withColumn("slot_", slot).select(*docs.columns, "slot_", "block_", "place_")
+    return out.withColumn("slot_", slot).select(
+        *[F.col(c).alias(n) for n, c in inner.items()], "slot_", "block_", "place_")
 
 
 def op5_pfair(spark, sf_dir):
