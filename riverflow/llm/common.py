@@ -11,6 +11,8 @@ from riverflow.session import stage
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 # A side is broadcast only when it has been counted and has at most this many
 # narrow rows (ids and a few numbers, about 40 bytes each: 20 MB).
 BROADCAST_ROWS = 500_000
@@ -22,6 +24,9 @@ def ready(spark: SparkSession) -> SparkSession:
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, env.get("PYTHONPATH", "")]))
+    # whole texts go through Arrow: batches small enough for two tasks' buffers
+    if spark.conf.get(ARROW_ROWS, "10000") == "10000":
+        spark.conf.set(ARROW_ROWS, "1000")
     return spark
 
 

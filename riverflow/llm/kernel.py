@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _P = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 _P_INV = pow(_P, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
@@ -124,6 +124,35 @@ class Words:
         return self.data[self.start[i]:self.end[i]].tobytes().decode("utf-8", "replace")
 
 
+# What workers keep from task to task, by operator.
+HELD: dict[str, dict] = {}
+
+
+def lean(name: str, run):
+    """``run`` as a task that drops what other operators keep in this worker
+    before it starts, and gives freed memory back to the system at its end."""
+    def task(batches):
+        for other, kept in HELD.items():
+            if other != name:
+                kept.clear()
+        _give_back()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+    return task
+
+
+def _give_back():
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def strings(batch, name: str):
     """Yield (first, last, raw, offsets) for the runs of a batch's column."""
     raw, off = utf8(batch.column(batch.schema.get_field_index(name)))

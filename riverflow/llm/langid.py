@@ -62,13 +62,15 @@ class Model:
         self.keys = keys[order]
         total = np.array([max(1.0, totals.get((lang, 0), 0)) for lang in langs], np.float32)
         self.logs = np.log((values[rows[order]] + 0.1) / total).astype(np.float32)
-        self.grams: dict[str, np.ndarray] = {}
-        counts: dict[str, np.ndarray] = {}
+        grams = list(grams)
+        self.grams = {gram: i for i, gram in enumerate(dict.fromkeys(g for _, g, _ in grams))}
+        counts = np.zeros((len(self.grams), len(langs)), np.float32)
         for lang, gram, n in grams:
-            counts.setdefault(gram, np.zeros(len(langs), np.float32))[at[lang]] += n
-        for gram, c in counts.items():
-            total = np.array([max(1.0, totals.get((lang, len(gram)), 0)) for lang in langs], np.float32)
-            self.grams[gram] = np.log((c + 0.1) / total).astype(np.float32)
+            counts[self.grams[gram], at[lang]] += n
+        totals_by_length = np.array([[max(1.0, totals.get((lang, k), 0)) for lang in langs]
+                                     for k in range(LONGEST + 1)], np.float32).reshape(LONGEST + 1, len(langs))
+        length = np.array([len(g) for g in self.grams], np.int64)
+        self.gram_logs = np.log((counts + 0.1) / totals_by_length[length]).astype(np.float32)
 
     def unseen(self, word: str) -> np.ndarray:
         bordered = f"<{word}>"
@@ -76,14 +78,13 @@ class Model:
             got = [g for i in range(len(bordered) - n + 1)
                    if (g := self.grams.get(bordered[i:i + n])) is not None]
             if got:
-                return np.mean(got, axis=0)
+                return self.gram_logs[got].mean(axis=0)
         return np.zeros(len(self.langs), np.float32)
 
 
 def _predict(shared):
     def run(batches):
-        import pickle
-        model: Model = pickle.loads(shared.value)
+        model: Model = shared.value     # read once per worker
         order = np.argsort(np.array(model.langs)) if model.langs else None
         for batch in batches:
             ids = batch.column(0)
@@ -162,11 +163,10 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of every row."""
-    import pickle
     spark = ready(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(pickle.dumps(model))
+    shared = spark.sparkContext.broadcast(model)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(_predict(shared),
+    return texts.mapInArrow(K.lean("langid", _predict(shared)),
                             f"doc_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double")
 
 

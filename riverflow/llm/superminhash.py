@@ -214,7 +214,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = ready(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sig = stage(texts.mapInArrow(_sign(shingle, bands, rows),
+    sig = stage(texts.mapInArrow(K.lean("minhash", _sign(shingle, bands, rows)),
                                  "doc_id long, n_shingles long, digest binary, bands array<long>"), "signatures")
     named = sig.where("doc_id is not null and n_shingles > 0")
     # classes of equal sets; all members have the same bands
@@ -237,13 +237,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "cid", "cc", "blocks", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block")), "members")
     wanted = texts.join(counted_broadcast(member), texts.doc_id == member.cid).select(
         "cid", "cc", "blocks", "block", "text")
-    full = wanted.mapInArrow(_resign(shingle, bands * rows),
+    full = wanted.mapInArrow(K.lean("minhash", _resign(shingle, bands * rows)),
                              "cid long, cc long, blocks long, block long, shingles binary, sig binary")
     dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "cc", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
         "cid", "block", "shingles", "sig")
     dealt = dealt.repartition("cc", "p", "q").sortWithinPartitions("cc", "p", "q", "block", "cid")
-    confirmed = dealt.mapInArrow(_confirm(percent, bands * rows, MARGIN), "u long, v long")
+    confirmed = dealt.mapInArrow(K.lean("minhash", _confirm(percent, bands * rows, MARGIN)), "u long, v long")
     # versions of one document and members of one class are linked too
     versions = named.select("digest", "doc_id").distinct().join(
         classes.select("digest", "cid"), "digest").where("doc_id <> cid")

@@ -43,7 +43,7 @@ from riverflow.session import scratch_path
 END_ID = 2
 BLOCK_TOKENS = 1 << 20      # a block is closed at the first document end beyond
 CACHE_PIECES = 1_200_000    # ids of so many distinct pieces are kept per worker
-TABLE = 1 << 22
+TABLE = 1 << 21
 SAMPLE = 256
 
 
@@ -264,7 +264,7 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Encoder] = K.HELD.setdefault("tokens", {})
 
 SCHEMA = ("shard int, block int, first_token long, n_tokens long, width int, ids binary, ef_low_bits int, "
           "ef_low binary, ef_high binary, ef_samples binary, doc_ids array<long>")
@@ -315,7 +315,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                         *[k.alias(n) for k, n in zip([*keys, F.xxhash64(text_col)], names)])
     dealt = keyed.repartitionByRange(*names).sortWithinPartitions(*names).select("doc_id", "text")
-    dealt.mapInArrow(_write(tokenizer_path, end_id, block_tokens), SCHEMA).write.parquet(path)
+    dealt.mapInArrow(K.lean("tokens", _write(tokenizer_path, end_id, block_tokens)), SCHEMA).write.parquet(path)
 
 
 def _read(with_ids: bool):
@@ -348,7 +348,7 @@ def read_tokens(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     base = sizes.select(F.col("shard").alias("shard_"), F.coalesce(F.sum("n").over(
         Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     kind = "shard int, doc_id long, at long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    found = blocks.mapInArrow(_read(with_ids), kind)
+    found = blocks.mapInArrow(K.lean("tokens", _read(with_ids)), kind)
     # bounded by the number of part files
     out = found.join(F.broadcast(base), found.shard == base.shard_)
     return out.select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32",

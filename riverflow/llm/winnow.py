@@ -146,7 +146,7 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     """
     spark = ready(docs.sparkSession)
     bench = stage(items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-                  .mapInArrow(_item_prints(gram, window),
+                  .mapInArrow(K.lean("winnow", _item_prints(gram, window)),
                               f"item_id {items.schema[item_col].dataType.simpleString()}, len int, gram long, "
                               "before array<string>, after array<string>"), "item_prints")
     lengths = sorted(r[0] for r in bench.select("len").distinct().collect())  # at most ``window`` values
@@ -158,7 +158,7 @@ def occurrences(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     marked = spark.sparkContext.broadcast(bitmap.tobytes())
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    seen = stage(texts.mapInArrow(_text_prints(gram, window, BITMAP_BITS, lengths, marked),
+    seen = stage(texts.mapInArrow(K.lean("winnow", _text_prints(gram, window, BITMAP_BITS, lengths, marked)),
                                   f"doc_id {id_type}, n_words long, cands {_CAND}")
                  .withColumn("row_", F.monotonically_increasing_id()), "text_prints")
     cand = seen.where(F.size("cands") > 0).select("row_", F.inline("cands"))
