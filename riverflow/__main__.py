@@ -23,7 +23,6 @@ import json
 
 from pyspark.sql import SparkSession
 
-from riverflow.operators import live as L
 from riverflow.operators.indicator import indicator
 from riverflow.operators import serving as V
 from riverflow.plans import pipelines as P
@@ -35,8 +34,9 @@ def _session() -> SparkSession:
     return configure(SparkSession.builder.appName("riverflow").getOrCreate())
 
 
-def _show(df, n: int = 50) -> None:
-    for row in df.limit(n).toLocalIterator():
+def _show(df) -> None:
+    """Print every row, one partition at a time."""
+    for row in df.toLocalIterator():
         print(json.dumps(row.asDict(), default=str))
 
 
@@ -99,14 +99,13 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "map":
         latest = spark.read.parquet(paths.live_latest).drop("folded_batch")
         hist = P.checked_broadcast(spark.read.parquet(paths.hist_agg), P.HIST_BROADCAST_MAX_ROWS)
-        _show(V.map_stations(indicator(latest, hist), quantile=args.quantile, as_of=args.as_of),
-              n=100_000)
+        _show(V.map_stations(indicator(latest, hist), quantile=args.quantile, as_of=args.as_of))
     elif args.cmd == "station":
         flat = spark.read.parquet(paths.flat)
         stations = spark.read.parquet(paths.stations)
-        recent = L.recent(spark.read.parquet(paths.live_dedup), as_of=args.as_of)
-        _show(V.station_history(flat, stations, args.code), n=100_000)
-        _show(V.station_live(recent, args.code), n=100_000)
+        recent = P.recent_from_store(spark.read.parquet(paths.live_dedup), as_of=args.as_of)
+        _show(V.station_history(flat, stations, args.code))
+        _show(V.station_live(recent, args.code))
         _show(V.station_ymax(flat, recent, args.code))
     elif args.cmd == "top20":
         _show(V.live_top20(spark.read.parquet(paths.live_latest)))

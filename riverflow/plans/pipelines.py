@@ -92,7 +92,7 @@ def ingest_live(spark: SparkSession, pages_path: str, paths: Paths,
     return W.append(L.stamp_ingestion(records, now), paths.raw_live)
 
 
-def _recent_from_store(stored: DataFrame, as_of, hours: int = 24) -> DataFrame:
+def recent_from_store(stored: DataFrame, as_of, hours: int = 24) -> DataFrame:
     """The recent view over the day-partitioned dedup table: only the day
     partitions the window can touch are read."""
     clock = (F.current_timestamp() if as_of is None
@@ -129,7 +129,7 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
     parts = W.materialize(L.live_avg_parts(dedup).withColumn("folded_batch", mark),
                           paths.live_avg_parts)
     avg = W.as_view(L.avg_from_parts(parts), "live_avg")
-    recent = W.as_view(_recent_from_store(stored, as_of), "live_recent")
+    recent = W.as_view(recent_from_store(stored, as_of), "live_recent")
     hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
     return {
         "live_dedup": dedup,
@@ -200,7 +200,7 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
 
     dedup = dedup_all.select(*schemas.LIVE_DEDUP_COLUMNS)
     latest = spark.read.parquet(paths.live_latest).drop("folded_batch")
-    recent = W.as_view(_recent_from_store(dedup_all, as_of), "live_recent")
+    recent = W.as_view(recent_from_store(dedup_all, as_of), "live_recent")
     models = {"live_dedup": dedup, "live_latest": latest, "live_avg": avg,
               "live_recent": recent}
     stored_hist = read_if_exists(spark, paths.hist_agg)

@@ -8,8 +8,6 @@ malformed line; PERMISSIVE keeps it as NULLs, with the raw text in
 
 from __future__ import annotations
 
-import os
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,17 +78,20 @@ def table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataF
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The stored table at ``path``, or None when it was never written.
 
-    Local paths are checked on the file system first, so the usual case of a
-    first run does not go through a failing read.
+    The path's own file system is asked (the default one for a path without a
+    scheme).  Only a missing path means None; any other failure is raised, so
+    it cannot pass for a first run.
     """
-    if path.startswith("file:") or "://" not in path:
-        local = path[len("file:"):] if path.startswith("file:") else path
-        if not os.path.exists(local):
-            return None
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = location.getFileSystem(spark._jsc.sc().hadoopConfiguration())
+    if not fs.exists(location):
+        return None
     try:
         return spark.read.format(fmt).load(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as exc:
+        if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None  # a folder without a data file holds no rows yet
+        raise
 
 
 def decode_json_column(df: DataFrame, col: str, schema: str | T.DataType,
