@@ -126,15 +126,16 @@ def link(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     edges = stage(edges, "replies")
     # root and depth by pointer doubling: log2(longest chain) rounds
     state = stage(edges.select("conv_id", "turn", F.coalesce("reply_to", "turn").alias("up"),
-                               F.col("reply_to").isNotNull().cast("long").alias("depth")), "chains")
+                               F.col("reply_to").isNotNull().cast("long").alias("depth"),
+                               F.col("reply_to").isNotNull().alias("moved")), "chains")
     while True:
         over = state.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        state = stage(state.join(over, ["conv_id", "up"]).select(
+        # messages that have reached their root stay out of the join
+        state = stage(state.where("moved").join(over, ["conv_id", "up"]).select(
             "conv_id", "turn", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth"),
-            (F.col("up2") != F.col("up")).alias("moved")), "chains")
+            (F.col("up2") != F.col("up")).alias("moved")).union(state.where("not moved")), "chains")
         if not state.where("moved").limit(1).count():
             break
-        state = state.drop("moved")
     found = edges.join(state.select("conv_id", "turn", F.col("up").alias("thread"), "depth"), ["conv_id", "turn"])
     found = found.select(F.col("conv_id").alias("c_"), F.col("turn").alias("t_"), "n_quotes", "n_linked", "reply_to",
                          "thread", "depth")
