@@ -27,6 +27,7 @@ from riverflow.operators.indicator import indicator
 from riverflow.operators import serving as V
 from riverflow.plans import pipelines as P
 from riverflow.session import configure
+from riverflow.sources import readers as R
 from riverflow.streaming import live_stream as S
 
 
@@ -75,7 +76,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"rows_loaded": P.ingest_live(spark, args.pages, paths)}))
     elif args.cmd == "refresh-live":
         if args.incremental:
-            new = spark.read.parquet(args.new or paths.raw_live)
+            new = R.read_live_table(spark, args.new or paths.raw_live)
             models = P.run_live_incremental(spark, paths, new)
         else:
             models = P.run_live(spark, paths)
@@ -97,7 +98,7 @@ def main(argv: list[str] | None = None) -> int:
         for q in (q1, q2):
             q.awaitTermination()
     elif args.cmd == "map":
-        latest = spark.read.parquet(paths.live_latest).drop("folded_batch")
+        latest = P.fold_rows(spark.read.parquet(paths.live_latest))
         hist = P.checked_broadcast(spark.read.parquet(paths.hist_agg), P.HIST_BROADCAST_MAX_ROWS)
         _show(V.map_stations(indicator(latest, hist), quantile=args.quantile, as_of=args.as_of))
     elif args.cmd == "station":
@@ -108,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
         _show(V.station_live(recent, args.code))
         _show(V.station_ymax(flat, recent, args.code))
     elif args.cmd == "top20":
-        _show(V.live_top20(spark.read.parquet(paths.live_latest)))
+        _show(V.live_top20(P.fold_rows(spark.read.parquet(paths.live_latest))))
     return 0
 
 

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 
 from riverflow import schemas
 from riverflow.functions import file_tag, quantile_at
+from riverflow.operators.joins import checked_broadcast
 from riverflow.session import stage
 
 HIST_KEYS = ["code_station", "latitude", "longitude", "grandeur_hydro_elab"]
+# Broadcast the list of loaded day-files up to this many names (about 60 bytes
+# each, 30 MB); a measure has one per day.
+FILES_BROADCAST_MAX_ROWS = 500_000
 
 
 # ---------------------------------------------------------------- flatten ---
@@ -37,24 +41,27 @@ def not_in_files(src: DataFrame, target: DataFrame, strict: bool = True) -> Data
 
     ``strict`` keeps SQL's null-aware meaning: a NULL file in the target
     blocks every row, a NULL file in the source never passes, and an empty
-    target passes everything.  The two existence tests are scalar subqueries
-    evaluated once; the row test is a plain anti join on non-NULL files, which
-    the planner broadcasts when the distinct file list is measured small.
+    target passes everything.  The distinct file list is stored once (one
+    column of the target is read) and broadcast after counting it, so the source
+    is not shuffled; the existence tests are scalar subqueries on that list.
     Without ``strict`` only the anti join on non-NULL files is applied.
     """
-    files = target.where(F.col("json_file").isNotNull()).select("json_file").distinct()
-    kept = src.join(files, on="json_file", how="left_anti").select(*src.columns)
+    files = stage(loaded_files(target), "files")
+    named = checked_broadcast(files.where(F.col("json_file").isNotNull()), FILES_BROADCAST_MAX_ROWS)
+    kept = src.join(named, on="json_file", how="left_anti").select(*src.columns)
     if not strict:
         return kept.where(F.col("json_file").isNotNull())
-    target_empty = ~target.select("json_file").exists()
-    target_has_null = target.where(F.col("json_file").isNull()).select("json_file").exists()
+    target_empty = ~files.select("json_file").exists()
+    target_has_null = files.where(F.col("json_file").isNull()).select("json_file").exists()
     return kept.where(target_empty | (F.col("json_file").isNotNull() & ~target_has_null))
 
 
 def load_new_files(df: DataFrame, target: DataFrame) -> DataFrame:
     """Rows whose day-file is not loaded yet (K9): the per-file lookup of
-    the loader done for a whole batch as one anti join on ``json_file``."""
-    return df.join(loaded_files(target), on="json_file", how="left_anti").select(*df.columns)
+    the loader done for a whole batch as one anti join on ``json_file``
+    against the stored, counted file list; ``df`` is not shuffled."""
+    files = checked_broadcast(stage(loaded_files(target), "files"), FILES_BROADCAST_MAX_ROWS)
+    return df.join(files, on="json_file", how="left_anti").select(*df.columns)
 
 
 def flatten_incremental(raw: DataFrame, target: DataFrame | None = None) -> DataFrame:

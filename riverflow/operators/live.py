@@ -57,8 +57,23 @@ def from_day(stored: DataFrame, since: Column | _dt.datetime | _dt.date | None,
     return stored.where(cond | F.col(OBS_DAY).isNull() if keep_null else cond)
 
 
+def batch_days(new_raw: DataFrame) -> list[_dt.date | None]:
+    """The days that a batch observes (a few; None for rows without a time)."""
+    return [r[0] for r in new_raw.select(F.to_date("date_obs")).distinct().toLocalIterator()]
+
+
+def on_days(stored: DataFrame, days: list[_dt.date | None]) -> DataFrame:
+    """Restrict a table stored by ``obs_day`` to those days: a partition
+    filter, so one late row reads its own day and no later ones."""
+    if OBS_DAY not in stored.columns:
+        return stored
+    cond = F.col(OBS_DAY).isin([F.lit(d) for d in days if d is not None])
+    return stored.where(cond | F.col(OBS_DAY).isNull() if None in days else cond)
+
+
 def live_dedup_increment(new_raw: DataFrame, existing: DataFrame | None,
-                         since: _dt.datetime | None = None) -> DataFrame:
+                         since: _dt.datetime | None = None,
+                         days: list[_dt.date | None] | None = None) -> DataFrame:
     """Rows of ``new_raw`` to append to a stored ``live_dedup`` table.
 
     The new rows are de-duplicated first (partial + final aggregate, so even
@@ -68,17 +83,21 @@ def live_dedup_increment(new_raw: DataFrame, existing: DataFrame | None,
     rows that can match are read: those at or after the batch's earliest
     ``date_obs``, plus those without one.  When the caller passes that
     earliest time as ``since`` and the table is stored by ``obs_day``, the
-    restriction is also a partition filter.  Appending the result keeps the
+    restriction is also a partition filter; with the batch's ``days``
+    (``batch_days``) only those days are read.  Appending the result keeps the
     table equal to ``live_dedup`` over all raw rows, and re-running a batch
     appends nothing.
     """
     new = live_dedup(new_raw)
     if existing is None:
         return new
-    first = new.select(F.min("date_obs")).scalar()
-    cand = (from_day(existing, since, keep_null=True)
-            .select(*schemas.LIVE_DEDUP_COLUMNS)
-            .where((F.col("date_obs") >= first) | F.col("date_obs").isNull()))
+    if days is not None:
+        cand = on_days(existing, days).select(*schemas.LIVE_DEDUP_COLUMNS)
+    else:
+        first = new.select(F.min("date_obs")).scalar()
+        cand = (from_day(existing, since, keep_null=True)
+                .select(*schemas.LIVE_DEDUP_COLUMNS)
+                .where((F.col("date_obs") >= first) | F.col("date_obs").isNull()))
     cond = [new[c].eqNullSafe(cand[c]) for c in schemas.LIVE_DEDUP_COLUMNS]
     return new.join(cand, on=cond, how="left_anti")
 

@@ -24,18 +24,19 @@ from riverflow.operators import live as L
 from riverflow.operators import serving as V
 from riverflow.operators.indicator import bbox_filter, indicator
 from riverflow.plans import pipelines as P
-from riverflow.session import scratch_path
+from riverflow.session import scratch_path, stage
 from riverflow.streaming import live_stream as S
 from riverflow.streaming.windows import pull_windows
 from riverflow.sources import writers as W
-from riverflow.sources.readers import decode_json_column, merge_pages
+from riverflow.sources.readers import decode_json_column, encode_json_column, merge_pages
 
 # Parameters of the registered queries (shared with the oracle SQL).
 STATION = "S7"
 NOT_IN_TARGET_BEFORE = "2000-12-01"          # not_in_files / load_new_files target
 INCREMENTAL_FIRST_RUN_BEFORE = "1998-01-01"  # flatten_incremental: files of the first run
-BACKFILL_START = _dt.date(1999, 1, 1)
-BACKFILL_END = _dt.date(2000, 12, 31)
+BACKFILL_MARGIN_DAYS = 31
+STATION_COLUMNS = ["code_station", "libelle_station", "libelle_commune", "code_departement",
+                   "libelle_region"]
 FIXED_CLOCK = _dt.datetime(2024, 2, 1, 12, 30, 45, 678000)
 AVG_DIGITS = 6
 # Incremental live refresh: rows landed before this instant form the first
@@ -163,9 +164,53 @@ def q_flatten_incremental(spark, sf):
 
 
 def q_backfill_days(spark, sf):
-    """Backfill calendar minus loaded day-files."""
-    loaded = V.by_station(fx.fx_hist_flat(spark, sf), STATION)
-    return H.backfill_days(spark, loaded, BACKFILL_START, BACKFILL_END)
+    """Backfill calendar, from a month before the first loaded day to a month
+    after the last, minus the day-files loaded (T1)."""
+    loaded = fx.fx_hist_flat(spark, sf)
+    first, last = loaded.agg(F.min("date_obs_elab"), F.max("date_obs_elab")).first()
+    margin = _dt.timedelta(days=BACKFILL_MARGIN_DAYS)
+    return H.backfill_days(spark, loaded, first - margin, last + margin)
+
+
+def _loaded_history(spark, sf, name):
+    """Day envelopes landed as JSON and loaded in two runs; the second finds
+    the day-files of the first among its own and skips them."""
+    d = _run_dir(spark, name)
+    paths = P.Paths(f"{d}/tables")
+    env = stage(fx.fx_hist_envelopes(spark, sf), "envelopes")
+    W.land_hist(env.where(_file_before(INCREMENTAL_FIRST_RUN_BEFORE)), f"{d}/first")
+    W.land_hist(env, f"{d}/all")
+    for landed in ("first", "all"):
+        P.load_hist_files(spark, f"{d}/{landed}", paths)
+    return paths
+
+
+def q_land_load_hist(spark, sf):
+    """Envelopes landed, loaded by new day-file and unnested."""
+    paths = _loaded_history(spark, sf, "land_load_hist")
+    return H.hist_flatten(spark.read.parquet(paths.raw_hist))
+
+
+def q_hist_refresh(spark, sf):
+    """Historical refresh of landed day-files, exact quantiles."""
+    return P.run_historical(spark, _loaded_history(spark, sf, "hist_refresh"), method="exact")
+
+
+def q_stations_refresh(spark, sf):
+    """Station list landed as API responses, loaded and replaced."""
+    d = _run_dir(spark, "stations_refresh")
+    paths = P.Paths(f"{d}/tables")
+    stations = fx.fx_stations(spark, sf)
+    W.append(stations.select(F.array(F.struct(*stations.columns)).alias("data")), f"{d}/landed", fmt="json")
+    P.refresh_stations(spark, f"{d}/landed", paths)
+    return spark.read.parquet(paths.stations).select(*STATION_COLUMNS)
+
+
+def q_json_encode(spark, sf):
+    """Rows encoded as JSON text and decoded again."""
+    ev = fx.table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    text = encode_json_column(ev, ev.columns).select("json")
+    return decode_json_column(text, "json", ev.schema).select("json.*")
 
 
 def q_file_tag(spark, sf):
@@ -266,16 +311,40 @@ def _run_dir(spark, name: str) -> str:
     return scratch_path(spark, f"registered/{name}-{uuid.uuid4().hex}")
 
 
+# The landed files of a stream are taken in this many micro-batches or more.
+MICRO_BATCHES = 4
+
+
+def _split_events(spark, sf, folder):
+    """``events`` landed anew in shuffled order over several files, as a stream
+    of several micro-batches: late and repeated rows cross their borders."""
+    ev = fx.table(spark, sf, "events")
+    files = max(MICRO_BATCHES, spark.sparkContext.defaultParallelism)
+    ev.repartition(files, F.xxhash64("event_id")).write.parquet(folder)
+    return (spark.readStream.schema(ev.schema)
+            .option("maxFilesPerTrigger", max(1, files // MICRO_BATCHES)).parquet(folder))
+
+
+def _split_live_raw(spark, sf, folder):
+    return _as_ltz(fx.live_raw_from(_split_events(spark, sf, folder)))
+
+
+def _finished(query):
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+
+
 def _live_raw_stream(spark, sf):
     return _as_ltz(fx.live_raw_from(fx.stream_table(spark, sf, "events")))
 
 
 def q_stream_dedup(spark, sf):
-    """Watermarked stream de-duplication, run to the end."""
+    """Stream de-duplication over several micro-batches in any order."""
     d = _run_dir(spark, "stream_dedup")
-    out = S.run_to_table(S.stream_dedup(_live_raw_stream(spark, sf)), f"{d}/out",
-                         f"stream_dedup_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt")
-    return _as_ntz(out)
+    _finished(S.dedup_to_table(_split_live_raw(spark, sf, f"{d}/landed"), f"{d}/out",
+                               name=f"stream_dedup_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt"))
+    return _as_ntz(spark.read.parquet(f"{d}/out").select(*schemas.LIVE_DEDUP_COLUMNS))
 
 
 def q_stream_dedup_exact(spark, sf):
@@ -299,21 +368,22 @@ def q_stream_latest(spark, sf):
 
 
 def q_stream_indicator(spark, sf):
-    """Stream-static indicator join (T5)."""
+    """Stream-static indicator join over several micro-batches (T5)."""
     d = _run_dir(spark, "stream_indicator")
     hist = W.materialize(_hist(spark, sf), f"{d}/hist_agg")
-    out = S.run_to_table(S.stream_indicator(_live_raw_stream(spark, sf), hist), f"{d}/out",
-                         f"stream_indicator_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt")
-    return _as_ntz(out)
+    _finished(S.indicator_to_table(_split_live_raw(spark, sf, f"{d}/landed"), hist, f"{d}/out",
+                                   name=f"stream_indicator_{uuid.uuid4().hex}",
+                                   checkpoint=f"{d}/ckpt"))
+    return _as_ntz(spark.read.parquet(f"{d}/out/indicator").drop("load"))
 
 
 def q_stream_pull_windows(spark, sf):
-    """Pull windows as a watermarked stream."""
+    """Pull windows of a stream, all of them, over several micro-batches."""
     d = _run_dir(spark, "stream_pull_windows")
-    ev = _as_ltz(fx.stream_table(spark, sf, "events")).withWatermark("ts", S.DEFAULT_DELAY)
-    out = _as_ntz(S.run_to_table(pull_windows(ev, "ts"), f"{d}/out",
-                                 f"stream_pull_windows_{uuid.uuid4().hex}",
+    ev = _as_ltz(_split_events(spark, sf, f"{d}/landed"))
+    _finished(S.windows_to_table(ev, f"{d}/out", "ts", name=f"stream_pull_windows_{uuid.uuid4().hex}",
                                  checkpoint=f"{d}/ckpt"))
+    out = _as_ntz(S.stored_windows(spark, f"{d}/out"))
     return out.select("window_start", "window_end",
                       iso_utc("window_start").alias("date_debut_obs"),
                       iso_utc("window_end").alias("date_fin_obs"), "n_obs")
@@ -328,8 +398,9 @@ def _incremental_live(spark, sf, name):
     paths = P.Paths(f"{d}/tables")  # no stored history: only the live tables
     raw = _as_ltz(fx.fx_live_raw(spark, sf))
     cut = F.col("ingestion_timestamp") < F.lit(LIVE_INCREMENT_CUT)
-    P.run_live_incremental(spark, paths, raw.where(cut), run_id=1)
-    return P.run_live_incremental(spark, paths, raw.where(~cut), run_id=2)
+    # the later run has the smaller id: batches may commit in any order
+    P.run_live_incremental(spark, paths, raw.where(cut), run_id=2)
+    return P.run_live_incremental(spark, paths, raw.where(~cut), run_id=1)
 
 
 def q_live_dedup_incremental(spark, sf):
@@ -342,6 +413,29 @@ def q_live_latest_incremental(spark, sf):
     return _as_ntz(_incremental_live(spark, sf, "live_latest_incremental")["live_latest"])
 
 
+def q_live_avg_incremental(spark, sf):
+    """Monthly averages kept by two incremental refreshes (A4, G2 incremental)."""
+    avg = _incremental_live(spark, sf, "live_avg_incremental")["live_avg"]
+    return avg.withColumn("avg_resultat_obs", F.round("avg_resultat_obs", AVG_DIGITS))
+
+
+def q_live_shared_load(spark, sf):
+    """One raw table loaded by a stream and by landed API pages, then the full
+    refresh (S2, S5, K4, G2, G4): the stream brings the observations before
+    LIVE_INCREMENT_CUT, the pages the rest."""
+    d = _run_dir(spark, "live_shared_load")
+    paths = P.Paths(f"{d}/tables")
+    early = F.coalesce(F.col("date_obs") < F.lit(LIVE_INCREMENT_CUT), F.lit(False))
+    _finished(S.ingest(_split_live_raw(spark, sf, f"{d}/landed").where(early), paths.raw_live,
+                       name=f"live_shared_load_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt"))
+    pages = fx.fx_live_pages(spark, sf).withColumn("data", F.filter(
+        "data", lambda r: ~F.coalesce(r["date_obs"] < F.lit(LIVE_INCREMENT_CUT), F.lit(False))))
+    W.append(pages, f"{d}/pages", fmt="json")
+    P.ingest_live(spark, f"{d}/pages", paths)
+    W.materialize(_hist(spark, sf), paths.hist_agg)
+    return _as_ntz(P.run_live(spark, paths)["live_dedup"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "indicator": q_indicator,
     "indicator_latest": q_indicator_latest,
@@ -378,4 +472,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest": q_stream_latest,
     "stream_indicator": q_stream_indicator,
     "stream_pull_windows": q_stream_pull_windows,
+    "land_load_hist": q_land_load_hist,
+    "hist_refresh": q_hist_refresh,
+    "stations_refresh": q_stations_refresh,
+    "json_encode": q_json_encode,
+    "live_avg_incremental": q_live_avg_incremental,
+    "live_shared_load": q_live_shared_load,
 }

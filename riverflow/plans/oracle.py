@@ -180,10 +180,11 @@ ORACLE: dict[str, str] = {
     "backfill_days": _with(FX_HIST_FLAT)
     + "SELECT CAST(d AS DATE) AS day, 'obs_elab_QmJ_' || strftime(d, '%Y-%m-%d') || '.json' "
       "AS json_file\n"
-      f"FROM generate_series(DATE '{C.BACKFILL_START}', DATE '{C.BACKFILL_END}', "
-      "INTERVAL 1 DAY) g(d)\n"
+      f"FROM generate_series((SELECT min(date_obs_elab) FROM fx_hist_flat) - "
+      f"INTERVAL {C.BACKFILL_MARGIN_DAYS} DAY, (SELECT max(date_obs_elab) FROM fx_hist_flat) + "
+      f"INTERVAL {C.BACKFILL_MARGIN_DAYS} DAY, INTERVAL 1 DAY) g(d)\n"
       "WHERE 'obs_elab_QmJ_' || strftime(d, '%Y-%m-%d') || '.json' NOT IN "
-      f"(SELECT json_file FROM fx_hist_flat WHERE code_station = '{S}')",
+      "(SELECT json_file FROM fx_hist_flat)",
     "file_tag": _with(FX_HIST_FLAT)
     + "SELECT day, json_file, landing_path, string_split(landing_path, '/')[-1] AS basename, "
       "year FROM (\n"
@@ -240,16 +241,23 @@ ORACLE: dict[str, str] = {
       "LIMIT 20",
 }
 
-# Streaming forms: the same rows as their batch models.  Pull windows in
-# append mode are emitted once the watermark (newest time - 15 minutes)
-# passes their end, so only those windows are expected.
+# Streaming and incremental forms: the same rows as their batch models.
 ORACLE["live_dedup_incremental"] = ORACLE["live_dedup"]
 ORACLE["live_latest_incremental"] = ORACLE["live_latest"]
+ORACLE["live_avg_incremental"] = (
+    _with(FX_LIVE_BASE, FX_LIVE_RAW, _dedup("dedup", "fx_live_raw"))
+    + f"SELECT code_station, CAST(month(date_obs) AS BIGINT) AS month, "
+      f"round(avg(resultat_obs), {C.AVG_DIGITS}) AS avg_resultat_obs\n"
+      "FROM dedup WHERE grandeur_hydro = 'H' GROUP BY code_station, month(date_obs)")
+ORACLE["live_shared_load"] = ORACLE["live_dedup"]
 ORACLE["stream_dedup"] = ORACLE["live_dedup"]
 ORACLE["stream_dedup_exact"] = ORACLE["live_dedup"]
 ORACLE["stream_latest"] = ORACLE["live_latest"]
 ORACLE["stream_indicator"] = (_with(FX_LIVE_BASE, FX_LIVE_RAW, FX_HIST_FLAT, HIST_AGG,
                                     _dedup("dedup", "fx_live_raw")) + _indicator("dedup"))
-ORACLE["stream_pull_windows"] = (
-    "SELECT * FROM (" + ORACLE["pull_windows"] + ") pw\n"
-    "WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 15 MINUTE")
+ORACLE["stream_pull_windows"] = ORACLE["pull_windows"]
+ORACLE["land_load_hist"] = ORACLE["hist_flatten"]
+ORACLE["hist_refresh"] = ORACLE["hist_agg_exact"]
+ORACLE["stations_refresh"] = (_with(FX_STATIONS)
+                              + f"SELECT {', '.join(C.STATION_COLUMNS)} FROM fx_stations")
+ORACLE["json_encode"] = "SELECT event_id, user_id, event_type FROM events"

@@ -8,6 +8,7 @@ cheap single-reader models stay views.  Paths live under ``out``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -89,7 +90,8 @@ def ingest_live(spark: SparkSession, pages_path: str, paths: Paths,
                 now: _dt.datetime | None = None) -> int:
     """Live load (G4): merge the landed pages, stamp, append."""
     records = R.read_live_pages(spark, pages_path)
-    return W.append(L.stamp_ingestion(records, now), paths.raw_live)
+    return W.append(L.stamp_ingestion(records, now),
+                    W.load_path(paths.raw_live, f"batch-{uuid.uuid4().hex}"))
 
 
 def recent_from_store(stored: DataFrame, as_of, hours: int = 24) -> DataFrame:
@@ -113,21 +115,20 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
     by name.
 
     The tables have the same layout as ``run_live_incremental`` writes
-    (batch id on dedup rows, fold mark on latest and avg parts), so the two
-    refresh modes can follow each other on the same tables.
+    (batch id on dedup rows, log of folded batches with latest and avg
+    parts), so the two refresh modes can follow each other on the same tables.
     """
     run_id = run_id if run_id is not None else _run_id()
     mark = F.lit(run_id).cast("bigint")
-    raw = spark.read.schema(schemas.LIVE_RAW).parquet(paths.raw_live)
     stored = W.materialize(
-        L.with_obs_day(L.live_dedup(raw)).withColumn("ingest_batch", mark), paths.live_dedup,
+        L.with_obs_day(L.live_dedup(R.read_live_table(spark, paths.raw_live)))
+        .withColumn("ingest_batch", mark), paths.live_dedup,
         cluster_by=[L.OBS_DAY, "code_station"], partition_by=[L.OBS_DAY])
     dedup = stored.select(*schemas.LIVE_DEDUP_COLUMNS)
     # latest and hist_agg hold one row per station: no clustering needed
-    latest = W.materialize(L.latest(dedup).withColumn("folded_batch", mark),
-                           paths.live_latest).drop("folded_batch")
-    parts = W.materialize(L.live_avg_parts(dedup).withColumn("folded_batch", mark),
-                          paths.live_avg_parts)
+    log = _fold_log(spark, [run_id])
+    latest = fold_rows(W.materialize(_with_log(L.latest(dedup), log), paths.live_latest))
+    parts = fold_rows(W.materialize(_with_log(L.live_avg_parts(dedup), log), paths.live_avg_parts))
     avg = W.as_view(L.avg_from_parts(parts), "live_avg")
     recent = W.as_view(recent_from_store(stored, as_of), "live_recent")
     hist = checked_broadcast(spark.read.parquet(paths.hist_agg), HIST_BROADCAST_MAX_ROWS)
@@ -143,12 +144,48 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
     }
 
 
-def _folded_mark(df: DataFrame | None):
-    """Highest ingest batch a stored derived table has folded in (or None,
-    then every stored dedup row is folded again: the fold is idempotent)."""
-    if df is None or "folded_batch" not in df.columns:
-        return None
-    return df.agg(F.max("folded_batch")).first()[0]
+# A derived table holds its rows (FOLD_LOG NULL) and, in the same write, one
+# row per ingest batch it has folded in (FOLD_LOG set, all else NULL).
+FOLD_LOG = "fold_log"
+
+
+def _fold_log(spark: SparkSession, batches: list[int]) -> DataFrame:
+    return spark.createDataFrame([(b,) for b in batches], f"{FOLD_LOG} bigint")
+
+
+def _with_log(rows: DataFrame, log: DataFrame) -> DataFrame:
+    return rows.withColumn(FOLD_LOG, F.lit(None).cast("bigint")).unionByName(
+        log, allowMissingColumns=True)
+
+
+def fold_rows(stored: DataFrame) -> DataFrame:
+    """The rows of a derived table, without its log of folded batches."""
+    return stored.where(F.col(FOLD_LOG).isNull()).drop(FOLD_LOG)
+
+
+def _stored_fold(spark: SparkSession, path: str) -> DataFrame | None:
+    """A derived table with its log, or None if it has none (then every stored
+    dedup row is folded into a new one)."""
+    stored = read_if_exists(spark, path)
+    return stored if stored is not None and FOLD_LOG in stored.columns else None
+
+
+def _fold(spark: SparkSession, dedup: DataFrame, path: str, make, merge) -> DataFrame:
+    """Bring a derived table up to ``dedup``: the rows of every batch that its
+    log does not name, in whatever order the batches were committed.  ``make``
+    derives rows from dedup rows, ``merge`` combines stored and new ones."""
+    stored = _stored_fold(spark, path)
+    batches = dedup.select(F.col("ingest_batch").alias(FOLD_LOG)).distinct()
+    log = _fold_log(spark, [])
+    if stored is not None:
+        log = stored.where(F.col(FOLD_LOG).isNotNull()).select(FOLD_LOG)
+        batches = batches.join(log, FOLD_LOG, "left_anti")
+    # one id per refresh since the last fold
+    todo = [r[0] for r in batches.collect()]
+    new = dedup.where(F.col("ingest_batch").isin(todo)).select(*schemas.LIVE_DEDUP_COLUMNS)
+    rows = make(new) if stored is None else merge(fold_rows(stored), new)
+    W.overwrite(stage(_with_log(rows, log.union(_fold_log(spark, todo))), "fold"), path)
+    return fold_rows(spark.read.parquet(path))
 
 
 def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
@@ -165,41 +202,27 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
     - ``live_avg``: a view over stored per (station, month) sum/count
       parts, folded the same way (the parts are the stored, mergeable form
       of the average).
-    The derived tables record the last batch they folded in
-    (``folded_batch``), so a run that stopped half-way is completed by the
-    next one, and replaying a batch changes nothing.  Each replaced table is
-    first staged (written under ``spark.checkpoint.dir``) and then
+    The derived tables log the batches they folded in, so a run that stopped
+    half-way is completed by the next one, a batch that commits late is folded
+    by the next run, and replaying a batch changes nothing.  Each replaced
+    table is first staged (written under ``spark.checkpoint.dir``) and then
     overwritten from the stage, so no job reads the files it replaces.
     """
     run_id = run_id if run_id is not None else _run_id()
     stored = read_if_exists(spark, paths.live_dedup)
-    since = new_raw.agg(F.min("date_obs")).first()[0] if stored is not None else None
-    inc = L.live_dedup_increment(new_raw, stored, since=since)
+    inc = L.live_dedup_increment(new_raw, stored,
+                                 days=L.batch_days(new_raw) if stored is not None else None)
     W.append(L.with_obs_day(inc).withColumn("ingest_batch", F.lit(run_id).cast("bigint")),
              paths.live_dedup, partition_by=[L.OBS_DAY])
     dedup_all = spark.read.parquet(paths.live_dedup)
 
-    def pending(mark):
-        rows = dedup_all if mark is None else dedup_all.where(F.col("ingest_batch") > F.lit(mark))
-        return rows.select(*schemas.LIVE_DEDUP_COLUMNS)
-
-    mark = F.lit(run_id).cast("bigint").alias("folded_batch")
-    prev_latest = read_if_exists(spark, paths.live_latest)
-    new_rows = pending(_folded_mark(prev_latest))
-    cand = new_rows if prev_latest is None else (
-        prev_latest.select(*schemas.LIVE_DEDUP_COLUMNS).unionByName(new_rows))
-    latest_next = L.latest(cand).select("*", mark)
-    W.overwrite(stage(latest_next, "live_latest"), paths.live_latest)
-
-    prev_parts = read_if_exists(spark, paths.live_avg_parts)
-    new_parts = L.live_avg_parts(pending(_folded_mark(prev_parts)))
-    parts = new_parts if prev_parts is None else L.merge_avg_parts(
-        prev_parts.drop("folded_batch"), new_parts)
-    W.overwrite(stage(parts.select("*", mark), "live_avg_parts"), paths.live_avg_parts)
-    avg = W.as_view(L.avg_from_parts(spark.read.parquet(paths.live_avg_parts)), "live_avg")
+    latest = _fold(spark, dedup_all, paths.live_latest, L.latest,
+                   lambda old, new: L.latest(old.select(*schemas.LIVE_DEDUP_COLUMNS).unionByName(new)))
+    parts = _fold(spark, dedup_all, paths.live_avg_parts, L.live_avg_parts,
+                  lambda old, new: L.merge_avg_parts(old, L.live_avg_parts(new)))
+    avg = W.as_view(L.avg_from_parts(parts), "live_avg")
 
     dedup = dedup_all.select(*schemas.LIVE_DEDUP_COLUMNS)
-    latest = spark.read.parquet(paths.live_latest).drop("folded_batch")
     recent = W.as_view(recent_from_store(dedup_all, as_of), "live_recent")
     models = {"live_dedup": dedup, "live_latest": latest, "live_avg": avg,
               "live_recent": recent}

@@ -17,12 +17,14 @@ from riverflow import schemas
 
 
 def _json(spark: SparkSession, schema: T.StructType, path: str | list[str], mode: str,
-          multiline: bool, corrupt_column: str | None) -> DataFrame:
+          multiline: bool, corrupt_column: str | None, nested: bool = False) -> DataFrame:
     if corrupt_column:
         schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType(), True)])
     # No explicit timestampFormat: Spark's default ISO parsing accepts
     # "...Z" and offsets with any number of fractional digits.
     reader = spark.read.schema(schema).option("mode", mode).option("multiLine", multiline)
+    if nested:
+        reader = reader.option("recursiveFileLookup", True)
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
     return reader.json(path)
@@ -30,8 +32,9 @@ def _json(spark: SparkSession, schema: T.StructType, path: str | list[str], mode
 
 def read_hist_raw(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST",
                   multiline: bool = False, corrupt_column: str | None = None) -> DataFrame:
-    """Day envelopes, one JSON document per file."""
-    return _json(spark, schemas.HIST_RAW, path, mode, multiline, corrupt_column)
+    """Day envelopes, one JSON document per file (S1), of every sub-folder:
+    ``<root>/<year>/<json_file>`` and ``<root>/year=<year>/...`` alike."""
+    return _json(spark, schemas.HIST_RAW, path, mode, multiline, corrupt_column, nested=True)
 
 
 def read_live_raw(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST",
@@ -68,6 +71,14 @@ def read_stations(spark: SparkSession, path: str | list[str], mode: str = "FAILF
     return resp.select(F.inline("data"))
 
 
+def read_live_table(spark: SparkSession, path: str) -> DataFrame:
+    """The stored raw live rows of every load, whoever wrote it.
+
+    Loads are sub-folders of ``path`` (``writers.load_path``); all files under
+    the root are read, with the fixed schema."""
+    return spark.read.schema(schemas.LIVE_RAW).option("recursiveFileLookup", True).parquet(path)
+
+
 def table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataFrame:
     """Named table read (S6): a catalog table name, or a path of ``fmt``."""
     if "/" in name_or_path or "://" in name_or_path:

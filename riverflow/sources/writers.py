@@ -37,6 +37,7 @@ def clustered(df: DataFrame, cluster_by: list[str] | None,
 
 # Text formats keep microseconds and the UTC offset of every timestamp.
 TEXT_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+TEXT_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def _write(df: DataFrame, target: str, mode: str, fmt: str, cluster_by: list[str] | None,
@@ -46,7 +47,8 @@ def _write(df: DataFrame, target: str, mode: str, fmt: str, cluster_by: list[str
     out = clustered(df, cluster_by).observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(mode)
     if fmt in ("json", "csv"):
-        writer = writer.option("timestampFormat", TEXT_TIMESTAMP_FORMAT)
+        writer = (writer.option("timestampFormat", TEXT_TIMESTAMP_FORMAT)
+                  .option("timestampNTZFormat", TEXT_TIMESTAMP_NTZ_FORMAT))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
@@ -99,6 +101,14 @@ def land_live(records: DataFrame, path: str) -> int:
     return append(records, path, fmt="json")
 
 
+def load_path(root: str, load: str) -> str:
+    """Folder of one load of a table that several writers share.
+
+    Each load owns its folder: a repeated load replaces its own rows, and no
+    writer's file list hides the rows of another."""
+    return f"{root.rstrip('/')}/load={load}"
+
+
 def materialize(df: DataFrame, target: str, cluster_by: list[str] | None = None,
                 fmt: str = "parquet", partition_by: list[str] | None = None) -> DataFrame:
     """Write as a table and return the read-back frame (K5).

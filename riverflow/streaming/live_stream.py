@@ -5,10 +5,12 @@ rows.  Here landed NDJSON files are a file stream; each micro-batch stamps,
 de-duplicates within a watermark, keeps the latest value per key in state,
 and scores readings against the static history.
 
-Batch ``live_dedup`` over the whole raw table stays the reference result: a
-row later than the watermark is dropped by the stream (T6).  ``ingest``
-writes every micro-batch to the raw table exactly once (file sink with a
-checkpoint), so the batch truth can always be recomputed.
+The exact forms (``dedup_to_table``, ``indicator_to_table``,
+``windows_to_table``) keep stored tables equal to the batch models over
+everything landed.  ``stream_dedup`` and ``stream_indicator`` are low-latency
+options that drop rows later than their watermark (T6).  ``ingest`` writes
+every micro-batch to the raw table exactly once, so the batch truth can always
+be recomputed.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ from pyspark.sql.streaming import StreamingQuery
 from riverflow import schemas
 from riverflow.operators.indicator import indicator
 from riverflow.operators.joins import HIST_BROADCAST_MAX_ROWS, checked_broadcast
-from riverflow.operators.live import (LATEST_KEYS, OBS_DAY, live_dedup_increment,
+from riverflow.operators.live import (LATEST_KEYS, OBS_DAY, batch_days, live_dedup_increment,
                                       stamp_ingestion, with_obs_day)
 from riverflow.session import scratch_path
 from riverflow.sources.readers import read_if_exists
+from riverflow.sources.writers import load_path
+from riverflow.streaming.windows import pull_windows
 
 DEFAULT_DELAY = "15 minutes"
 
@@ -49,6 +53,73 @@ def stream_live_raw(spark: SparkSession, path: str, with_stamp: bool = True,
     return df if with_stamp else stamp_ingestion(df)
 
 
+def _each_batch(stream: DataFrame, write, name: str, checkpoint: str | None,
+                available_now: bool, processing_time: str | None) -> StreamingQuery:
+    """Start ``write(batch, load)`` on every micro-batch.  ``load`` names the
+    micro-batch: a replay has the same name, another stream or a stream with
+    a new checkpoint never has it."""
+    spark = stream.sparkSession
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the micro-batch does not name its query")
+        write(batch, f"{query}-{epoch}")
+
+    w = (stream.writeStream.queryName(name)
+         .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
+         .foreachBatch(run))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def indicator_to_table(stream: DataFrame, hist: DataFrame, path: str, name: str = "indicator",
+                       checkpoint: str | None = None, available_now: bool = True,
+                       processing_time: str | None = None,
+                       max_broadcast_rows: int = HIST_BROADCAST_MAX_ROWS) -> StreamingQuery:
+    """Exact stream-static indicator (T5, T6): ``<path>/indicator`` always
+    equals the batch indicator over everything landed.
+
+    Each micro-batch stores the rows that no other micro-batch holds under
+    ``<path>/dedup`` and their indicator rows, both in its own folder, which a
+    replay replaces.  No watermark: no row is too late.
+    """
+    spark = stream.sparkSession
+    rows, out = f"{path.rstrip('/')}/dedup", f"{path.rstrip('/')}/indicator"
+
+    def write(batch: DataFrame, load: str) -> None:
+        stored = read_if_exists(spark, rows)
+        if stored is not None:
+            stored = stored.where(F.col("load") != load)
+        mine = load_path(rows, load)
+        live_dedup_increment(batch, stored).write.mode("overwrite").parquet(mine)
+        found = indicator(spark.read.parquet(mine), checked_broadcast(hist, max_broadcast_rows))
+        found.write.mode("overwrite").parquet(load_path(out, load))
+
+    return _each_batch(stream, write, name, checkpoint, available_now, processing_time)
+
+
+def windows_to_table(stream: DataFrame, path: str, ts: str = "date_obs", name: str = "pull_windows",
+                     checkpoint: str | None = None, available_now: bool = True,
+                     processing_time: str | None = None) -> StreamingQuery:
+    """Exact pull-window counts (T2): every micro-batch stores its own count
+    per window, in a folder that a replay replaces; ``stored_windows`` adds
+    them up.  Open windows and late rows are counted too."""
+    def write(batch: DataFrame, load: str) -> None:
+        pull_windows(batch, ts).write.mode("overwrite").parquet(load_path(path, load))
+
+    return _each_batch(stream, write, name, checkpoint, available_now, processing_time)
+
+
+def stored_windows(spark: SparkSession, path: str) -> DataFrame:
+    """Observations per pull window over all micro-batches stored so far."""
+    parts = spark.read.parquet(path)
+    return parts.groupBy("window_start", "window_end").agg(F.sum("n_obs").alias("n_obs"))
+
+
 def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
                    checkpoint: str | None = None, available_now: bool = True,
                    processing_time: str | None = None) -> StreamingQuery:
@@ -62,24 +133,17 @@ def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
     """
     spark = stream.sparkSession
 
-    def write(batch: DataFrame, _epoch: int) -> None:
+    def write(batch: DataFrame, _load: str) -> None:
         existing = read_if_exists(spark, dedup_path)
-        since = batch.agg(F.min("date_obs")).first()[0] if existing is not None else None
+        days = batch_days(batch) if existing is not None else None
         # Same layout and batch mark as pipelines.run_live_incremental, so the
         # latest and average tables can fold in what the stream appended.
         batch_id = int(_dt.datetime.now(_dt.UTC).timestamp() * 1e6)
-        (with_obs_day(live_dedup_increment(batch, existing, since=since))
+        (with_obs_day(live_dedup_increment(batch, existing, days=days))
          .withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
          .write.mode("append").partitionBy(OBS_DAY).parquet(dedup_path))
 
-    w = (stream.writeStream.queryName(name)
-         .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
-         .foreachBatch(write))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    return _each_batch(stream, write, name, checkpoint, available_now, processing_time)
 
 
 def stream_dedup(stream: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
@@ -169,10 +233,15 @@ def start(df: DataFrame, name: str, sink: str = "memory", mode: str = "append",
 def ingest(stream: DataFrame, raw_path: str, name: str = "live_ingest",
            checkpoint: str | None = None, available_now: bool = True,
            processing_time: str | None = None) -> StreamingQuery:
-    """Append every landed record to the raw table exactly once."""
-    return start(stream, name, sink="parquet", mode="append", path=raw_path,
-                 checkpoint=checkpoint, available_now=available_now,
-                 processing_time=processing_time)
+    """Append every landed record to the raw table exactly once.
+
+    Each micro-batch writes its own load folder, as ``pipelines.ingest_live``
+    does, so streamed and batch loads share one table; a replay replaces its
+    folder."""
+    def write(batch: DataFrame, load: str) -> None:
+        batch.write.mode("overwrite").parquet(load_path(raw_path, load))
+
+    return _each_batch(stream, write, name, checkpoint, available_now, processing_time)
 
 
 def run_to_table(df: DataFrame, out_path: str, name: str, mode: str = "append",

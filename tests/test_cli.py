@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riverflow import fixtures as fx
 from riverflow import schemas
 from riverflow.__main__ import main
+from riverflow.operators import live as L
 from riverflow.sources import writers as W
 
 from tests.conftest import SF_SMALL
@@ -62,3 +63,22 @@ def test_cli_stream_live(spark, scratch):
     assert main(["stream-live", "--out", out, "--landed", f"{scratch}/landed"]) == 0
     assert spark.read.parquet(f"{out}/live_dedup").count() == 1000
     assert spark.read.parquet(f"{out}/live_raw").count() == 2000
+
+
+def test_cli_stream_and_batch_share_one_root(spark, scratch):
+    out = f"{scratch}/tables"
+    records = fx.fx_live_raw(spark, SF_SMALL).select(
+        *[F.col(f.name).cast(f.dataType) for f in schemas.LIVE_RECORD.fields])
+    early = F.col("date_obs") < F.lit("2024-01-15").cast("timestamp")
+    W.land_live(records.where(early), f"{scratch}/landed")
+    W.append(fx.fx_live_pages(spark, SF_SMALL).select("count", "next", "data"), f"{scratch}/pages",
+             fmt="json")
+    W.land_hist(fx.fx_hist_envelopes(spark, SF_SMALL), f"{scratch}/hist")
+    assert main(["load-hist", "--out", out, "--landed", f"{scratch}/hist"]) == 0
+    assert main(["refresh-hist", "--out", out]) == 0
+    assert main(["stream-live", "--out", out, "--landed", f"{scratch}/landed"]) == 0
+    assert main(["ingest-live", "--out", out, "--pages", f"{scratch}/pages"]) == 0
+    assert main(["refresh-live", "--out", out]) == 0
+    want = L.live_dedup(records)
+    got = spark.read.parquet(f"{out}/live_dedup").select(*schemas.LIVE_DEDUP_COLUMNS)
+    assert got.count() == want.count() == 1000 and got.exceptAll(want).count() == 0

@@ -165,9 +165,9 @@ def test_incremental_live_refresh_equals_full(spark, scratch):
     paths.hist_agg = hist_path
     P.run_live_incremental(spark, paths, first, run_id=1)
     # a run that stopped right after appending its dedup increment ...
-    W.append(L.live_dedup_increment(second, spark.read.parquet(paths.live_dedup)
-                                    .select(*schemas.LIVE_DEDUP_COLUMNS))
-             .withColumn("ingest_batch", F.lit(2).cast("bigint")), paths.live_dedup)
+    W.append(L.with_obs_day(L.live_dedup_increment(second, spark.read.parquet(paths.live_dedup)))
+             .withColumn("ingest_batch", F.lit(2).cast("bigint")), paths.live_dedup,
+             partition_by=[L.OBS_DAY])
     # ... is completed by the next run, and a replay changes nothing
     P.run_live_incremental(spark, paths, second, run_id=3)
     inc = P.run_live_incremental(spark, paths, second, run_id=4)
@@ -310,3 +310,53 @@ def test_full_then_incremental_refresh(spark, scratch):
     ra = {(r.code_station, r.month): r.avg_resultat_obs for r in mixed["live_avg"].collect()}
     rb = {(r.code_station, r.month): r.avg_resultat_obs for r in full["live_avg"].collect()}
     assert ra.keys() == rb.keys() and all(ra[k] == pytest.approx(rb[k], rel=1e-12) for k in ra)
+
+
+def _typed_raw(spark):
+    raw = fx.fx_live_raw(spark, SF_SMALL)
+    return raw.select(*[F.col(f.name).cast(f.dataType) for f in schemas.LIVE_RAW.fields])
+
+
+def test_batch_that_commits_late_is_folded(spark, scratch):
+    """A batch with a smaller id, committed after a refresh, is folded next time."""
+    raw = _typed_raw(spark)
+    cut = F.col("ingestion_timestamp") < F.lit(dt.datetime(2024, 1, 15))
+    paths = P.Paths(f"{scratch}/late")
+    P.run_live_incremental(spark, paths, raw.where(cut), run_id=100)
+    W.append(L.with_obs_day(L.live_dedup_increment(raw.where(~cut), spark.read.parquet(paths.live_dedup)))
+             .withColumn("ingest_batch", F.lit(7).cast("bigint")), paths.live_dedup,
+             partition_by=[L.OBS_DAY])
+    models = P.run_live_incremental(spark, paths, raw.where("false"), run_id=101)
+    batch = L.latest(L.live_dedup(raw))
+    latest = models["live_latest"].select(*batch.columns)
+    assert latest.count() == batch.count() and latest.exceptAll(batch).count() == 0
+    parts = {(r.code_station, r.month): r.avg_resultat_obs for r in models["live_avg"].collect()}
+    want = {(r.code_station, r.month): r.avg_resultat_obs
+            for r in L.live_avg(L.live_dedup(raw)).collect()}
+    assert parts.keys() == want.keys()
+    assert all(parts[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+
+
+def test_late_row_reads_its_own_day_only(spark, scratch):
+    raw = _typed_raw(spark)
+    W.append(L.with_obs_day(L.live_dedup(raw)), f"{scratch}/dedup", partition_by=[L.OBS_DAY])
+    stored = spark.read.parquet(f"{scratch}/dedup")
+    late = raw.orderBy("date_obs").limit(1)
+    days = L.batch_days(late)
+    assert len(days) == 1
+    read = L.on_days(stored, days)
+    assert len(read.inputFiles()) >= 1 and read.select("obs_day").distinct().count() == 1
+    assert "PartitionFilters: [" in plan_text(read) and "obs_day" in plan_text(read)
+    assert L.live_dedup_increment(late, stored, days=days).count() == 0
+    null_time = late.withColumn("date_obs", F.lit(None).cast("timestamp"))
+    assert L.live_dedup_increment(null_time, stored, days=L.batch_days(null_time)).count() == 1
+
+
+def test_landing_tree_with_plain_year_folders(spark, scratch):
+    env = {"count": 0, "data": [], "json_file": "obs_elab_QmJ_2023-05-01.json"}
+    write_lines(f"{scratch}/tree/2023/obs_elab_QmJ_2023-05-01.json", [json.dumps(env)])
+    write_lines(f"{scratch}/tree/2024/obs_elab_QmJ_2024-05-01.json",
+                [json.dumps(env | {"json_file": "obs_elab_QmJ_2024-05-01.json"})])
+    paths = P.Paths(f"{scratch}/out")
+    assert P.load_hist_files(spark, f"{scratch}/tree", paths) == 2
+    assert P.load_hist_files(spark, f"{scratch}/tree", paths) == 0

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from riverflow.plans.catalog import QUERIES
 
 from tests.conftest import SF_SMALL, plan_text
 
@@ -15,7 +16,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "
 @pytest.fixture(scope="module")
 def plans(spark):
     qs = E.queries()
-    return {name: plan_text(fn(spark, SF_SMALL)) for name, fn in qs.items()}
+    return {name: plan_text(qs[name](spark, SF_SMALL)) for name in QUERIES}
 
 
 def test_no_python_evaluation_anywhere(plans):
@@ -59,6 +60,12 @@ def test_not_in_is_anti_join_with_existence_probes(plans):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_file_lists_do_not_shuffle_the_source(plans):
+    for name in ("not_in_files", "load_new_files"):
+        assert "BroadcastHashJoin LeftAnti" in plans[name], name
+        assert "hashpartitioning(json_file" not in plans[name], name
+
+
 def test_no_cross_joins(plans):
     for name, text in plans.items():
         assert "CartesianProduct" not in text, name
