@@ -12,9 +12,12 @@ keys; (2) documents with equal sets become one class, so groups of exact
 copies collapse before anything else; (3) classes sharing a band key are
 joined to the smallest class of that key (no pair is emitted), and their
 connected components bound the comparisons; (4) each candidate component is
-cut into blocks of bounded size, pairs of blocks are compared signature first,
-then on full shingle sets, with union-find inside the task: only a spanning
-forest of confirmed links leaves it; (5) components of the confirmed links.
+cut into blocks of bounded size, twice at random, and each block is compared
+in one task, signature first, then on full shingle sets, with union-find: only
+a spanning forest of confirmed links leaves it; (5) where that left members of
+a component of several blocks outside its largest confirmed part, these meet
+all members of the component, block by block; pairs inside the largest part
+are linked already and are not compared; (6) components of all confirmed links.
 
 Defined cases: NULL or wordless text: empty set, linked with nothing.  Rows
 with equal doc_id are versions of one document and are linked.  A NULL doc_id
@@ -203,6 +206,23 @@ def _confirm(percent: int, slots: int, margin: float):
     return run
 
 
+def _left_over(member: DataFrame, confirmed: DataFrame, block_docs: int, block_shingles: int) -> DataFrame:
+    """Members of the candidate components that are not yet linked to one
+    part: cid, rest (outside the component's largest part), rest_blocks (blocks
+    of bounded size that the rest of its component needs)."""
+    found = components(confirmed)
+    parts = stage(member.join(found, member.cid == found.node, "left").select(
+        "cid", "cc", "n", F.coalesce("component", "cid").alias("part")), "parts")
+    sizes = parts.groupBy("cc", "part").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n"))
+    main = sizes.groupBy("cc").agg(F.max(F.struct("docs", "part", "n")).alias("m"), F.sum("docs").alias("docs"),
+                                   F.sum("n").alias("n"))
+    main = main.withColumns({"docs": F.col("docs") - F.col("m.docs"), "n": F.col("n") - F.col("m.n")}).where("docs > 0")
+    main = stage(main.select("cc", F.col("m.part").alias("main"), F.greatest(
+        F.ceil(F.col("docs") / block_docs), F.ceil(F.col("n") / block_shingles)).cast("long").alias("rest_blocks")), "mains")
+    return stage(parts.join(counted_broadcast(main), "cc").select(
+        "cid", (F.col("part") != F.col("main")).alias("rest"), "rest_blocks"), "left_over")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, percent: int = MIN_PERCENT,
                     bands: int = BANDS, rows: int = ROWS,
@@ -234,21 +254,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.greatest(F.ceil(F.count(F.lit(1)) / block_docs), F.ceil(F.sum("n") / block_shingles))
         .cast("long").alias("blocks"))
     member = stage(member.join(per, "cc").groupBy("cid", "cc", "blocks").agg(F.max("n").alias("n")).select(
-        "cid", "cc", "blocks", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block")), "members")
+        "cid", "cc", "n", "blocks", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block")), "members")
     wanted = texts.join(counted_broadcast(member), texts.doc_id == member.cid).select(
         "cid", "cc", "blocks", "block", "text")
-    full = wanted.mapInArrow(K.lean("minhash", _resign(shingle, bands * rows)),
-                             "cid long, cc long, blocks long, block long, shingles binary, sig binary")
-    dealt = full.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "cc", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
-        "cid", "block", "shingles", "sig")
-    dealt = dealt.repartition("cc", "p", "q").sortWithinPartitions("cc", "p", "q", "block", "cid")
-    confirmed = dealt.mapInArrow(K.lean("minhash", _confirm(percent, bands * rows, MARGIN)), "u long, v long")
+    full = stage(wanted.mapInArrow(K.lean("minhash", _resign(shingle, bands * rows)),
+                                   "cid long, cc long, blocks long, block long, shingles binary, sig binary"), "sets")
+
+    def confirm(dealt):
+        dealt = dealt.select("cc", "p", "q", "cid", "block", "shingles", "sig")
+        dealt = dealt.repartition("cc", "p", "q").sortWithinPartitions("cc", "p", "q", "block", "cid")
+        return stage(dealt.mapInArrow(K.lean("minhash", _confirm(percent, bands * rows, MARGIN)), "u long, v long")
+                     .where("u <> v"), "links")
+
+    # each block by itself; members of several blocks also in a second partition
+    second = F.col("blocks") + F.pmod(F.xxhash64("cid", F.lit(1)), F.col("blocks"))
+    places = F.when(F.col("blocks") > 1, F.array(F.col("block"), second)).otherwise(F.array("block"))
+    confirmed = confirm(full.withColumn("block", F.explode(places)).withColumns({"p": F.col("block"), "q": F.col("block")}))
+    large = member.where("blocks > 1")
+    if large.limit(1).count():
+        dealt = full.where("blocks > 1").join(counted_broadcast(_left_over(
+            large, confirmed, block_docs, block_shingles)), "cid")
+        # a pair of blocks (p, q): both of left-over members, or q of the main part
+        others = F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") - 1)
+        mains = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda g: F.col("rest_blocks") + g)
+        own = F.when(F.col("rest"), F.pmod(F.xxhash64("cid"), F.col("rest_blocks"))).otherwise(
+            F.col("rest_blocks") + F.col("block"))
+        dealt = dealt.withColumn("block", own).withColumn(
+            "other", F.explode(F.when(F.col("rest"), F.concat(others, mains)).otherwise(others)))
+        confirmed = confirmed.union(confirm(dealt.withColumns(
+            {"p": F.least("block", "other"), "q": F.greatest("block", "other")})))
     # versions of one document and members of one class are linked too
     versions = named.select("digest", "doc_id").distinct().join(
         classes.select("digest", "cid"), "digest").where("doc_id <> cid")
     versions = versions.select(F.col("doc_id").alias("u"), F.col("cid").alias("v"))
-    final = components(confirmed.where("u <> v").union(versions))
+    final = components(confirmed.union(versions))
     return sig.join(final, sig.doc_id == final.node, "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
