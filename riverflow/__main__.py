@@ -7,7 +7,7 @@
     python -m riverflow refresh-stations --out ROOT --landed PATH
     python -m riverflow stream-live   --out ROOT --landed PATH [--every "5 minutes"]
     python -m riverflow map           --out ROOT [--quantile quantile_990]
-    python -m riverflow station       --out ROOT --code CODE
+    python -m riverflow station       --out ROOT --code CODE   (history, live, maximum, thresholds)
     python -m riverflow top20         --out ROOT
 
 The session comes from the environment (``spark-submit`` / cluster
@@ -108,6 +108,8 @@ def main(argv: list[str] | None = None) -> int:
         _show(V.station_history(flat, stations, args.code))
         _show(V.station_live(recent, args.code))
         _show(V.station_ymax(flat, recent, args.code))
+        latest = P.fold_rows(spark.read.parquet(paths.live_latest))
+        _show(V.station_thresholds(indicator(latest, spark.read.parquet(paths.hist_agg)), args.code))
     elif args.cmd == "top20":
         _show(V.live_top20(P.fold_rows(spark.read.parquet(paths.live_latest))))
     return 0

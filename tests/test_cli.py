@@ -41,6 +41,8 @@ def test_cli_end_to_end(spark, scratch, capsys):
     assert main(["station", "--out", out, "--code", "S7", "--as-of", "2024-01-31T00:00:00"]) == 0
     lines = capsys.readouterr().out.splitlines()
     assert any("libelle_commune" in line for line in lines)
+    assert any(set(json.loads(line)) == {"resultat_obs", "quantile_999", "quantile_990", "quantile_900"}
+               for line in lines)
 
     raw = spark.read.parquet(f"{out}/live_raw")
     assert raw.count() == 1000 and raw.schema["ingestion_timestamp"].dataType == schemas.TS
