@@ -226,7 +226,8 @@ def _left_over(member: DataFrame, confirmed: DataFrame, block_docs: int, block_s
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, percent: int = MIN_PERCENT,
                     bands: int = BANDS, rows: int = ROWS,
-                    block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                    block_docs: int = BLOCK_DOCS, block_shingles: int = BLOCK_SHINGLES,
+                    margin: float = MARGIN) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Documents are linked if 100 * |intersection| >= percent * |union| of their
@@ -263,7 +264,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def confirm(dealt):
         dealt = dealt.select("cc", "p", "q", "cid", "block", "shingles", "sig")
         dealt = dealt.repartition("cc", "p", "q").sortWithinPartitions("cc", "p", "q", "block", "cid")
-        return stage(dealt.mapInArrow(K.lean("minhash", _confirm(percent, bands * rows, MARGIN)), "u long, v long")
+        return stage(dealt.mapInArrow(K.lean("minhash", _confirm(percent, bands * rows, margin)), "u long, v long")
                      .where("u <> v"), "links")
 
     # each block by itself; members of several blocks also in a second partition

@@ -417,6 +417,22 @@ def test_pipeline_stages_match_brute_force(spark, tmp_path_factory):
     assert got == plain_tokens([(d, text[d]) for d in order])
 
 
+def test_pipeline_near_dedup_links_from_080(spark):
+    import corpus_pipeline as cp
+    rnd, rows = random.Random(5), []
+    for g in range(40):      # chains: neighbours at 0.80 to 0.85, the ends below 0.80
+        words = [f"g{g}_{i}" for i in range(104)]
+        for e in range(3):
+            rows.append((10 * g + e, " ".join(words)))
+            for at in ((12, 57) if e == 0 else (34, 80)):
+                words[at] = f"e{g}_{e}_{rnd.randrange(99)}"
+    want = {d for d, f in brute.near_components(rows, 80).items() if f[2]}
+    assert len(want) == 40 and sum(f[2] for f in brute.near_components(rows).values()) == 120
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in cp.near_dedup(spark, docs, SF).collect()} == want
+
+
 def test_pipeline_on_edge_rows(spark):
     import corpus_pipeline as cp
     base = os.path.join("/tmp", f"riverflow-pipe-{random.getrandbits(40):x}")
