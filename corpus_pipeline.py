@@ -31,10 +31,11 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, or text without a letter."""
+    """Drops documents that can have no language: no text, or text without a
+    letter.  Others stay, also if no language was learned."""
     ready(spark)
     found = langid.identify(docs, langid.fit(langid.training_rows(docs)))
-    return _without(docs, found.where(F.col("lang_pred") == langid.UNKNOWN).select("doc_id"))
+    return _without(docs, found.where(~F.col("has_letter")).select("doc_id"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

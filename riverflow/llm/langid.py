@@ -90,7 +90,7 @@ def _predict(shared):
             ids = batch.column(0)
             lower = pc.utf8_lower(batch.column(1))
             raw, off = K.utf8(lower)
-            langs, scores = [], []
+            langs, scores, letters = [], [], []
             for a, b in K.runs(off):
                 words = K.Words(raw, off[a:b + 1], LETTERS)
                 n = b - a
@@ -102,6 +102,7 @@ def _predict(shared):
                     span = words.data[words.start[first]:words.end[last - 1]]
                     if not ((span >= 0x61) & (span <= 0x7A)).any():
                         letter[i] = any(c.isalpha() for c in span.tobytes().decode("utf-8", "replace"))
+                letters += letter.tolist()
                 if model.langs and len(words.hash):
                     uniq, where, back = np.unique(words.hash, return_index=True, return_inverse=True)
                     at = np.searchsorted(model.keys, uniq)
@@ -122,8 +123,9 @@ def _predict(shared):
                     best = int(np.argmax(s))
                     langs.append(model.langs[order[best]])
                     scores.append(float(1.0 / np.exp(s - s[best]).sum()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             names=["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
+                                              pa.array(letters, pa.bool_())],
+                                             names=["doc_id", "lang_pred", "score", "has_letter"])
     return run
 
 
@@ -162,12 +164,14 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score of every row."""
+    """doc_id, lang_pred, score of every row, and has_letter: ``und`` by lack
+    of a letter is told from ``und`` by lack of a model."""
     spark = ready(docs.sparkSession)
     shared = spark.sparkContext.broadcast(model)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return texts.mapInArrow(K.lean("langid", _predict(shared)),
-                            f"doc_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double")
+                            f"doc_id {docs.schema[id_col].dataType.simpleString()}, lang_pred string, score double, "
+                            "has_letter boolean")
 
 
 def fold(id_column: Column, parts: int) -> Column:

@@ -433,6 +433,14 @@ def test_pipeline_near_dedup_links_from_080(spark):
     assert {r.doc_id for r in cp.near_dedup(spark, docs, SF).collect()} == want
 
 
+def test_pipeline_without_labels_keeps_texts_with_letters(spark):
+    import corpus_pipeline as cp
+    docs = edge_docs(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = cp.language_id(spark, docs, SF).where("doc_id is not null")
+    want = [(d, t) for d, t in local(docs) if d is not None and any(c.isalpha() for c in t or "")]
+    assert want and sorted(local(kept)) == sorted(want)
+
+
 def test_pipeline_on_edge_rows(spark):
     import corpus_pipeline as cp
     base = os.path.join("/tmp", f"riverflow-pipe-{random.getrandbits(40):x}")
