@@ -5,10 +5,12 @@ Per path: ratio = characters per node, and marks = punctuation per node; the
 two are fused as ratio * log2(2 + marks).  The fused values are smoothed over
 the page's sequence of nodes (Gaussian, ``RADIUS`` nodes to each side) and
 averaged per path; paths at or above the threshold, a share of the page's
-spread, are content.  Since whole paths are chosen, a short paragraph stays
-with its long siblings.  The element that holds most of the content text (an
-article, where there is one) then bounds the result: headings and other nodes
-in it stay with it, unless their path is boilerplate.
+spread, are content, also inside an article or main element, whose paths (but
+not links) count ``BOOST``-fold.  Since whole paths are chosen, a short
+paragraph stays with its long siblings, and inline parts stay with their block.
+All articles and mains with content text bound the result if they hold at least
+half of it; otherwise the innermost element with half of it does.  Headings inside the innermost
+element around all chosen text stay with it.
 
 Boilerplate by name (fixed lists below) is cut while reading: navigation,
 footers, asides, forms, scripts, and elements whose class, id or role says so.
@@ -34,6 +36,7 @@ from riverflow.llm.common import ready, table
 RADIUS = 2
 SIGMA = 1.0
 SHARE = 0.35       # of the standard deviation of the smoothed values
+BOOST = 4.0        # of paths below an article or main, links excepted
 
 # Elements by name.
 RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "math", "object", "canvas")
@@ -116,16 +119,14 @@ def nodes(page: str):
     return out
 
 
-def content_nodes(found):
-    """The nodes chosen by their paths' smoothed, fused ratios."""
-    real = [(p, b, t) for p, b, t in found if t.strip()]
-    if not real:
-        return []
-    path = [tuple(t for t, _ in p) for p, _, _ in real]
+def _good(real):
+    """The tag path of each node, the paths whose smoothed, fused ratios pass
+    the threshold, and their paths without inline tags."""
+    path = [tuple(t for t, _ in n[0]) for n in real]
     size, marks, count = defaultdict(int), defaultdict(int), defaultdict(int)
-    for k, (_, _, t) in zip(path, real):
-        size[k] += len(t.strip())
-        marks[k] += len(PUNCTUATION.findall(t))
+    for k, n in zip(path, real):
+        size[k] += len(n[2].strip())
+        marks[k] += len(PUNCTUATION.findall(n[2]))
         count[k] += 1
     fused = {k: size[k] / count[k] * math.log2(2 + marks[k] / count[k]) for k in count}
     value = [fused[k] for k in path]
@@ -134,37 +135,61 @@ def content_nodes(found):
     for i in range(len(value)):
         near = [(kernel[d + RADIUS], value[i + d]) for d in range(-RADIUS, RADIUS + 1) if 0 <= i + d < len(value)]
         smooth.append(sum(w * v for w, v in near) / sum(w for w, _ in near))
-    mean = sum(smooth) / len(smooth)
-    spread = math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth))
+    mean = sum(smooth) / len(smooth) if smooth else 0
+    spread = math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth)) if smooth else 0
     total = defaultdict(float)
     for k, s in zip(path, smooth):
         total[k] += s
-    good = {k for k in total if total[k] / count[k] >= SHARE * spread and fused[k] >= SHARE * spread}
-    # the element with most content text: an article or main if one has it,
-    # else the innermost element that holds at least half of it
-    mass, whole = defaultdict(int), 0
+    good = set()
+    for k in total:
+        boost = BOOST if not MAIN.isdisjoint(k) and "a" not in k else 1
+        if boost * min(total[k] / count[k], fused[k]) >= SHARE * spread:
+            good.add(k)
+    return path, good, {_blocks(k) for k in good}
+
+
+def _blocks(path: tuple) -> tuple:
+    return tuple(t for t in path if t not in INLINE)
+
+
+def content_nodes(found):
+    """The nodes chosen by their paths' smoothed, fused ratios."""
+    real = [(p, b, t) for p, b, t in found if t.strip()]
+    if not real:
+        return []
+    path, good, blocks = _good(real)
+    # articles and mains with good text bound the result if they hold most of it
+    mass, inside, whole = defaultdict(int), 0, 0
     for (p, _, t), k in zip(real, path):
         if k in good:
             whole += len(t.strip())
-            for depth, (_, e) in enumerate(p):
-                mass[(e, depth)] += len(t.strip())
-    tag = {(e, d): t for p, _, _ in real for d, (t, e) in enumerate(p)}
-    mains = [x for x in mass if tag[x] in MAIN]
-    if mains:
-        best = max(mains, key=lambda x: (mass[x], -x[1]))
-    else:
-        holders = [x for x in mass if tag[x] not in INLINE and 2 * mass[x] >= whole]
-        best = max(holders, key=lambda x: x[1], default=None)
-        if best and tag[best] in {"p", "li", "td", "tr"}:      # one long paragraph: its parent
-            best = max((x for x in holders if x[1] < best[1] and tag[x] not in {"p", "li", "td", "tr"}),
-                       key=lambda x: x[1], default=None)
-    keep = []
-    for node, k in zip(real, path):
-        p = node[0]
-        inside = best is None or (len(p) > best[1] and p[best[1]][1] == best[0])
-        if inside and (k in good or mains or any(t in HEADING for t in k)):
-            keep.append(node)
-    return keep
+            mains = [e for tag, e in p if tag in MAIN]
+            inside += len(t.strip()) if mains else 0
+            for e in mains:
+                mass[e] += len(t.strip())
+    bound = set(mass) if 2 * inside >= whole else set()
+    chosen = [_blocks(k) in blocks and (not bound or any(e in bound for _, e in n[0])) for n, k in zip(real, path)]
+    if not bound:      # the innermost element that holds at least half of the content text
+        held, tags = defaultdict(int), {}
+        for (p, _, t), k in zip(real, path):
+            for depth, (tag, e) in enumerate(p if k in good else ()):
+                held[(depth, e)] += len(t.strip())
+                tags[(depth, e)] = tag
+        best = max((x for x in held if tags[x] not in INLINE | {"p", "li", "td", "tr"} and 2 * held[x] >= whole),
+                   default=None)
+        chosen = [c and (best is None or any(e == best[1] for _, e in n[0])) for n, c in zip(real, chosen)]
+    # the innermost element around all chosen text: its headings stay with it
+    common = None
+    for (p, _, _), c in zip(real, chosen):
+        if c:
+            common = p if common is None else common[:next(
+                (i for i, (x, y) in enumerate(zip(common, p)) if x != y), min(len(common), len(p)))]
+    common = common or ()
+    while common and common[-1][0] in INLINE | {"p", "li", "td", "tr"}:      # one long paragraph: its parent
+        common = common[:-1]
+    return [n for n, k, c in zip(real, path, chosen)
+            if c or (not HEADING.isdisjoint(k) and n[0][:len(common)] == common
+                     and (not bound or any(e in bound for _, e in n[0])))]
 
 
 def main_text(page: str | None) -> str:

@@ -337,6 +337,25 @@ def test_tagpath_keeps_the_article():
     assert "Short." in tagpath.main_text(plain) and "Buy" not in tagpath.main_text(plain)
 
 
+LONG = "%s sentence, with a good many words in it, and more. It goes on, and on, for a while. " * 4
+
+
+def long_texts(*names):
+    return "".join(f"<p>{LONG.replace('%s', n)}</p>" for n in names)
+
+
+def starts(page):
+    return [x.split()[0] for x in tagpath.main_text(page).split("\n\n") if x]
+
+
+def test_tagpath_selects_inside_articles():
+    page = (f"<body><article><h1>Title</h1>{long_texts('A', 'B')}<div><ul><li><a href=x>Tag one</a><li><a href=y>Tag two</a>"
+            f"</ul></div><ul><li>Take the first item, then wait.</ul><p>Short <a href=z>linked</a> end.</p></article>"
+            f"<article>{long_texts('C')}</article></body>")
+    assert starts(page) == ["Title", "A", "B", "Take", "Short", "C"]
+    assert "Short linked end." in tagpath.main_text(page)
+
+
 def test_tagpath_edges(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain &lt;text&gt;"), (4, "u", "<p>unclosed <b>bold"), (5, "u", "<"),
             (None, "u", "<script>x"), (3, "u", "plain &lt;text&gt;"), (6, "u", "<a href=\"x" * 2000)]
