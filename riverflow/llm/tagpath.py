@@ -9,11 +9,13 @@ spread, are content, also inside an article or main element, whose paths (but
 not links) count ``BOOST``-fold.  Since whole paths are chosen, a short
 paragraph stays with its long siblings, and inline parts stay with their block.
 All articles and mains with content text bound the result if they hold at least
-half of it; otherwise the innermost element with half of it does.  Headings inside the innermost
+half of it; otherwise nothing chosen is left out.  Headings inside the innermost
 element around all chosen text stay with it.
 
 Boilerplate by name (fixed lists below) is cut while reading: navigation,
-footers, asides, forms, scripts, and elements whose class, id or role says so.
+footers, asides, forms, scripts; and elements of which a whole class, id or role
+token is listed, or starts with one of a few words.  Such an element stays if an
+article or main is in it or, on a page without one, most of the good text.
 
 Defined cases: NULL, empty or textless html gives the empty text.  Unclosed
 tags close with their parents, a paragraph with the next one.  Rows are read
@@ -54,6 +56,8 @@ CUT_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "banner",
              "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "popup", "promo",
              "related", "replies", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor",
              "sponsored", "subscribe", "toolbar", "widget"}
+# words that name boilerplate as the first part of a token, too
+CUT_PREFIXES = {"ad", "ads", "advert", "advertisement", "cookie", "disqus", "gdpr", "newsletter", "sponsored"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？]")
 
 _TAG = re.compile(
@@ -62,18 +66,20 @@ _TAG = re.compile(
     r"|<(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/)?(?P<name2>[a-zA-Z][^\s/>]*)[^>]*>", re.S | re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_WORD = re.compile(r"[a-z]+")
+_FIRST = re.compile(r"([a-z]+)[-_]")
 
 
-def nodes(page: str):
+def _read(page: str):
     """Text nodes in page order: (path of (tag, element number), block number,
-    text); boilerplate elements are left out."""
-    stack: list[tuple[str, int, bool]] = []   # tag, element number, cut
-    block, at, elements, out = 0, 0, 0, []
+    text, elements around it that are named as boilerplate); nodes in
+    boilerplate tags are left out.  Also the named elements around an article
+    or main."""
+    stack: list[tuple[str, int, bool, tuple]] = []   # tag, element number, cut, named elements
+    block, at, elements, out, around = 0, 0, 0, [], set()
 
     def text(raw):
         if raw and not (stack and stack[-1][2]):
-            out.append((tuple((t, e) for t, e, _ in stack), block, H.unescape(raw)))
+            out.append((tuple((t, e) for t, e, _, _ in stack), block, H.unescape(raw), stack[-1][3] if stack else ()))
 
     for m in _TAG.finditer(page):
         text(page[at:m.start()])
@@ -104,19 +110,48 @@ def nodes(page: str):
                     break
                 if stack[i][0] not in INLINE:
                     break
-        cut = bool(stack and stack[-1][2])
+        cut, named = stack[-1][2:] if stack else (False, ())
+        elements += 1
         if not cut:
-            inside = any(t in MAIN for t, _, _ in stack)
+            inside = any(t in MAIN for t, *_ in stack)
             cut = name in CUT and not (name == "header" and inside)
-            if not cut and name not in MAIN and name not in ("html", "body") and m["attrs"]:
-                words = {w for g in _NAMES.finditer(m["attrs"])
-                         for w in _WORD.findall((g[1] or g[2] or g[3] or "").lower())}
-                cut = bool(words & CUT_WORDS) and not (words <= {"header"} and inside)
-        elements += 1
+            if name in MAIN:
+                around.update(named)
+            elif not cut and name not in ("html", "body") and m["attrs"]:
+                found = {w for g in _NAMES.finditer(m["attrs"])
+                         for token in (g[1] or g[2] or g[3] or "").lower().split() for w in [_boilerplate(token)] if w}
+                if found and not (found <= {"header"} and inside):
+                    named += (elements,)
         if not (m["attrs"] or "").rstrip().endswith("/") or name in INLINE or name in MAIN:
-            stack.append((name, elements, cut))
+            stack.append((name, elements, cut, named))
     text(page[at:])
-    return out
+    return out, around
+
+
+def _boilerplate(token: str) -> str | None:
+    """The listed word that a whole class token is, or starts with."""
+    if token in CUT_WORDS:
+        return token
+    first = _FIRST.match(token)
+    return first[1] if first and first[1] in CUT_PREFIXES else None
+
+
+def nodes(page: str):
+    """Text nodes in page order: (path of (tag, element number), block number,
+    text), without boilerplate.  An element named as boilerplate stays if it
+    has an article or main in it or, on a page without one, most good text."""
+    found, stays = _read(page)
+    if any(named for *_, named in found) and not any(t in MAIN for p, *_ in found for t, _ in p):
+        real = [n for n in found if n[2].strip()]
+        paths, good, _ = _good(real)
+        mass, whole = defaultdict(int), 0
+        for (_, _, t, named), k in zip(real, paths):
+            if k in good:
+                whole += len(t.strip())
+                for e in named:
+                    mass[e] += len(t.strip())
+        stays |= {e for e in mass if 2 * mass[e] > whole}
+    return [(p, b, t) for p, b, t, named in found if stays.issuperset(named)]
 
 
 def _good(real):
@@ -169,15 +204,6 @@ def content_nodes(found):
                 mass[e] += len(t.strip())
     bound = set(mass) if 2 * inside >= whole else set()
     chosen = [_blocks(k) in blocks and (not bound or any(e in bound for _, e in n[0])) for n, k in zip(real, path)]
-    if not bound:      # the innermost element that holds at least half of the content text
-        held, tags = defaultdict(int), {}
-        for (p, _, t), k in zip(real, path):
-            for depth, (tag, e) in enumerate(p if k in good else ()):
-                held[(depth, e)] += len(t.strip())
-                tags[(depth, e)] = tag
-        best = max((x for x in held if tags[x] not in INLINE | {"p", "li", "td", "tr"} and 2 * held[x] >= whole),
-                   default=None)
-        chosen = [c and (best is None or any(e == best[1] for _, e in n[0])) for n, c in zip(real, chosen)]
     # the innermost element around all chosen text: its headings stay with it
     common = None
     for (p, _, _), c in zip(real, chosen):

@@ -356,6 +356,15 @@ def test_tagpath_selects_inside_articles():
     assert "Short linked end." in tagpath.main_text(page)
 
 
+def test_tagpath_keeps_split_text_and_named_wrappers():
+    assert starts(f"<body><div><div>{long_texts('A', 'B', 'C')}</div></div><div><div>{long_texts('D', 'E')}</div></div></body>") == list("ABCDE")
+    items = long_texts("A", "B", "C").replace("p>", "li>")
+    assert starts(f"<body><div><ul>{items}</ul>{long_texts('D')}</div></body>") == list("ABCD")
+    for name in ("class='layout with-sidebar'", "class=no-comments", "class='post-header'", "id=notice-board", "class=sidebar"):
+        assert starts(f"<body><div {name}><article>{long_texts('A')}</article></div><div class=sidebar>{long_texts('X')}</div></body>") == ["A"]
+        assert starts(f"<body><div {name}>{long_texts('A', 'B')}</div><div class='ad-box'>{LONG}</div></body>") == ["A", "B"]
+
+
 def test_tagpath_edges(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain &lt;text&gt;"), (4, "u", "<p>unclosed <b>bold"), (5, "u", "<"),
             (None, "u", "<script>x"), (3, "u", "plain &lt;text&gt;"), (6, "u", "<a href=\"x" * 2000)]
