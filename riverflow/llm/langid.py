@@ -8,9 +8,9 @@ language with the largest sum over the words, its score the posterior under
 equal priors.
 
 The model is fitted on a bounded sample of labelled documents
-(``docs_per_lang`` per language in expectation, chosen by a hash of the text,
-whole texts) and keeps the ``words_per_lang`` and ``grams_per_lang`` most
-frequent entries of a language.  Prediction reads whole texts.
+(``docs_per_lang`` per language in expectation, chosen by a hash of id and
+text, whole texts), with all its words and n-grams.  A word is a run of letters and
+combining marks, in training and prediction.  Prediction reads whole texts.
 
 Defined cases: NULL text or text without a letter gives ``und`` with score 0,
 and so does every text if nothing was learned.  Equal sums go to the smaller
@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from riverflow.llm import kernel as K
@@ -32,8 +31,7 @@ from riverflow.session import stage
 
 LONGEST = 5
 DOCS_PER_LANG = 4000
-WORDS_PER_LANG = 60_000
-GRAMS_PER_LANG = 20_000     # of each length
+NO_WORD = r"[^\p{L}\p{M}]+"
 UNKNOWN = "und"
 _byte = np.arange(256)
 LETTERS = ((_byte >= 0x61) & (_byte <= 0x7A)) | (_byte >= 0x80)
@@ -88,7 +86,7 @@ def _predict(shared):
         order = np.argsort(np.array(model.langs)) if model.langs else None
         for batch in batches:
             ids = batch.column(0)
-            lower = pc.utf8_lower(batch.column(1))
+            lower = pc.replace_substring_regex(pc.utf8_lower(batch.column(1)), NO_WORD, " ")
             raw, off = K.utf8(lower)
             langs, scores, letters = [], [], []
             for a, b in K.runs(off):
@@ -130,20 +128,19 @@ def _predict(shared):
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
-        docs_per_lang: int = DOCS_PER_LANG, words_per_lang: int = WORDS_PER_LANG,
-        grams_per_lang: int = GRAMS_PER_LANG) -> Model:
+        docs_per_lang: int = DOCS_PER_LANG, id_col: str = "doc_id") -> Model:
     """Word and n-gram log frequencies by language; the counts are made by
     Spark, the driver holds the bounded model."""
-    named = labelled.select(F.col(lang_col).cast("string").alias("lang"),
+    named = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                             F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
     sizes = {r[0]: r[1] for r in named.groupBy("lang").count().collect()}
     if not sizes:
         return Model([], [], [], {})
     share = F.element_at(F.create_map(*[F.lit(v) for lang, n in sizes.items()
                                         for v in (lang, min(1.0, docs_per_lang / n))]), F.col("lang"))
-    place = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 20)) / float(1 << 20)
+    place = F.pmod(F.xxhash64("id", "text", "lang"), F.lit(1 << 20)) / float(1 << 20)
     sample = named.where(place < share)
-    words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
+    words = sample.select("lang", F.explode(F.split(F.lower("text"), NO_WORD)).alias("word")).where("word <> ''")
     counts = stage(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "lang_words")
     bordered = F.concat(F.lit("<"), F.col("word"), F.lit(">"))
     lengths = F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length(bordered)))).alias("k")
@@ -155,10 +152,8 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     grams = stage(grams, "lang_grams")
     totals = {(r[0], 0): r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()}
     totals |= {(r[0], r[1]): r[2] for r in grams.groupBy("lang", "k").agg(F.sum("n")).collect()}
-    top = counts.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word")))
-    kept = top.where(F.col("r") <= words_per_lang).select("lang", "word", "n").toArrow()
-    top = grams.withColumn("r", F.row_number().over(W.partitionBy("lang", "k").orderBy(F.desc("n"), "gram")))
-    kept_grams = top.where(F.col("r") <= grams_per_lang).select("lang", "gram", "n").toArrow()
+    kept = counts.select("lang", "word", "n").toArrow()
+    kept_grams = grams.select("lang", "gram", "n").toArrow()
     rows = lambda t: zip(*(t.column(i).to_pylist() for i in range(3)))
     return Model(sorted(sizes), rows(kept), rows(kept_grams), totals)
 

@@ -211,6 +211,22 @@ def test_langid_edges(spark):
     assert langid.identify(empty_docs(spark), model).count() == 0
 
 
+def test_langid_words_are_the_same_on_both_sides(spark):
+    rows = [(1, "l’eau «quoted» हिन्दी", "fr"), (2, "wind\u00a0blows “hard”", "en")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    model.gram_logs[:] = 0          # only words met in training can decide
+    docs = spark.createDataFrame([(1, "“eau”"), (2, "«hard»"), (3, "हिन्दी—quoted"), (4, "blows…")], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score > 0.5) for r in langid.identify(docs, model).collect()}
+    assert got == {1: ("fr", True), 2: ("en", True), 3: ("fr", True), 4: ("en", True)}
+
+
+def test_langid_keeps_all_words_of_the_sample(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters[:4]]     # 70,304
+    model = langid.fit(spark.createDataFrame([(1, " ".join(words), "en")], "doc_id long, text string, lang string"))
+    assert len(model.keys) == len(words)
+
+
 # --- op5
 
 def test_period_deviates_less_than_one_block():
