@@ -4,14 +4,15 @@ removal, benchmark decontamination, mixing, token files.
 Each stage takes (spark, docs, sf_dir), with docs as its predecessor wrote it,
 and returns a DataFrame; ``run`` writes each result as Parquet in the shared
 checkpoint folder and reads it again for the next.  All stages but the last
-return the columns of ``documents``.  Rows without a doc_id pass the filters.
+return the columns of ``documents``.  Language ID and decontamination judge row
+by row, also rows without a doc_id or of a repeated one.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverflow.llm import langid, pfair, superminhash, tokenbin, winnow
@@ -24,37 +25,47 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 NEAR = {"percent": 80, "bands": 38, "rows": 5, "margin": 0.16}
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``rejected`` (doc_id)."""
-    ids = stage(rejected.where("doc_id is not null").distinct(), "rejected")
-    return docs.select(*COLUMNS).join(counted_broadcast(ids), "doc_id", "left_anti").select(*COLUMNS)
+def _row() -> Column:
+    """128-bit key of a row's doc_id and text: rows equal in both are judged alike."""
+    return F.struct(F.xxhash64(F.lit(1), "doc_id", "text").alias("a"), F.xxhash64(F.lit(2), "doc_id", "text").alias("b"))
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``keyed`` without the rows whose key_ is in ``rejected`` (doc_id)."""
+    keys = stage(rejected.select(F.col("doc_id").alias("key_")).distinct(), "rejected")
+    return keyed.select(*COLUMNS, "key_").join(counted_broadcast(keys), "key_", "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that can have no language: no text, or text without a
     letter.  Others stay, also if no language was learned."""
     ready(spark)
-    found = langid.identify(docs, langid.fit(langid.training_rows(docs)))
-    return _without(docs, found.where(~F.col("has_letter")).select("doc_id"))
+    keyed = docs.withColumn("key_", _row())
+    found = langid.identify(keyed, langid.fit(langid.training_rows(docs)), id_col="key_")
+    return _without(keyed, found.where(~F.col("has_letter"))).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest doc_id of each group of near copies
-    (likeness 0.80 or more); of rows with equal doc_id, one."""
+    (likeness 0.80 or more); of rows with equal doc_id, the one of the smallest
+    text.  Rows without a doc_id come after all others, by a hash of their text."""
     ready(spark)
-    found = superminhash.near_duplicates(docs, **NEAR)
-    kept = _without(docs, found.where(~F.col("kept")).select("doc_id"))
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    unnamed = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
+    keyed = docs.withColumn("key_", F.coalesce(F.col("doc_id").cast("long"), unnamed))
+    found = superminhash.near_duplicates(keyed, id_col="key_", **NEAR)
+    kept = _without(keyed, found.where(~F.col("kept")))
+    repeated = keyed.groupBy("key_").count().where("count > 1").limit(1).count()
     if repeated:
-        named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-        kept = named.unionByName(kept.where("doc_id is null"))
-    return kept
+        rest = ["text", *(c for c in COLUMNS if c != "text")]
+        kept = kept.groupBy("key_").agg(F.min(F.struct(*rest)).alias("r_")).select("r_.*")
+    return kept.select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more is benchmark text."""
-    found = winnow.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id"))
+    keyed = docs.withColumn("key_", _row())
+    found = winnow.decontaminate(keyed, table(spark, sf_dir, "benchmark"), id_col="key_")
+    return _without(keyed, found.where("contaminated")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

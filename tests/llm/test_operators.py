@@ -485,6 +485,22 @@ def test_pipeline_without_labels_keeps_texts_with_letters(spark):
     assert want and sorted(local(kept)) == sorted(want)
 
 
+def test_pipeline_judges_rows_not_ids(spark):
+    import corpus_pipeline as cp
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.length("text").desc()).first().text
+    rows = [(1, "!!!"), (1, "a clean text"), (2, bench), (2, "another clean text"), (None, "123"), (None, bench),
+            (None, "no id here"), (None, "no id here"), (3, "z one"), (3, "b one"), (4, "x y"), (None, "x y")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    key = lambda r: (str(r[0]), r[1])
+    got = {name: sorted(local(step(spark, docs, SF)), key=key) for name, step in cp.STAGES[:3]}
+    assert got["language_id"] == sorted((r for r in rows if any(c.isalpha() for c in r[1])), key=key)
+    assert got["decontamination"] == sorted((r for r in rows if r[1] != bench), key=key)
+    # version 2 has the benchmark's text, and so has a row without an id
+    assert got["near_dedup"] == sorted([(1, "!!!"), min(rows[2:4]), (None, "123"), (None, "no id here"), (3, "b one"),
+                                        (4, "x y")], key=key)
+
+
 def test_pipeline_on_edge_rows(spark):
     import corpus_pipeline as cp
     base = os.path.join("/tmp", f"riverflow-pipe-{random.getrandbits(40):x}")
