@@ -7,7 +7,8 @@ round trip or held-out accuracy in ``tests/llm``.
 from __future__ import annotations
 
 from riverflow.llm import (
-    langid, linedup, pfair, pu, quotes, simhash, superminhash, tagpath, tokenbin, winnow,
+    convrepair, langid, linedup, periodic, pfair, pu, quotes, simhash, superminhash, tagpath, tokenbin, tokencount,
+    winnow,
 )
 
 QUERIES = {
@@ -21,6 +22,9 @@ QUERIES = {
     "op8_pu": pu.op8_pu,
     "op9_tagpath": tagpath.op9_tagpath,
     "op10_superminhash": superminhash.op10_superminhash,
+    "op11_conversation_repair": convrepair.op11_conversation_repair,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
+    "op13_token_counts": tokencount.op13_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
