@@ -12,6 +12,7 @@ from riverflow.session import stage
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # A side is broadcast only when it has been counted and has at most this many
 # narrow rows (ids and a few numbers, about 40 bytes each: 20 MB).
@@ -27,6 +28,8 @@ def ready(spark: SparkSession) -> SparkSession:
     # whole texts go through Arrow: batches small enough for two tasks' buffers
     if spark.conf.get(ARROW_ROWS, "10000") == "10000":
         spark.conf.set(ARROW_ROWS, "1000")
+    if spark.conf.get(ARROW_BYTES, "67108864b") == "67108864b":
+        spark.conf.set(ARROW_BYTES, "4m")
     return spark
 
 
@@ -41,19 +44,23 @@ def counted_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 def ranked(df: DataFrame, group: Column, order: list[Column], size: Column | None = None,
-           rows_per_slice: int = 100_000) -> DataFrame:
+           rows_per_slice: int = 100_000, weight: Column | None = None,
+           weight_per_slice: int = 32 << 20) -> DataFrame:
     """Add ``rank_`` (0-based row number) and, with ``size``, ``before_`` (sum
     of the sizes of earlier rows) within each group, in the order of
     ``order``; its first element must be a 64-bit hash spread evenly.
 
-    A group is cut into equal hash ranges of about ``rows_per_slice`` rows and
-    each slice is numbered on its own, so a group holding most rows is spread
-    over as many tasks as it has slices.  NULL groups are numbered as a group.
+    A group is cut into equal hash ranges of about ``rows_per_slice`` rows, and of
+    about ``weight_per_slice`` of ``weight`` (bytes of a row), and each slice is
+    numbered on its own, so a group holding most rows is spread over as many
+    tasks as it has slices.  NULL groups are numbered as a group.
     """
     spread = order[0]
     keyed = df.withColumns({"group_": group, "spread_": spread})
-    n = keyed.groupBy("group_").count().agg(F.max("count")).first()[0] or 0
-    bits = max(0, (-(-n // rows_per_slice) - 1).bit_length())
+    most = keyed.groupBy("group_").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.lit(0) if weight is None else weight).alias("w")).agg(F.max("n"), F.max("w")).first()
+    slices = max(-(-(most[0] or 0) // rows_per_slice), -(-(most[1] or 0) // weight_per_slice))
+    bits = max(0, (slices - 1).bit_length())
     # top bits of the hash, as an unsigned number, keep the order of the hash
     cut = (F.shiftright(F.col("spread_"), 64 - bits) if bits else F.lit(0).cast("long"))
     keyed = keyed.withColumn("slice_", cut)

@@ -11,9 +11,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 18
-_P = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
-_P_INV = pow(_P, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {}
+_PLACES = 64   # places in a span whose byte values are looked up
 
 _byte = np.arange(256)
 LOWER = np.where((_byte >= 65) & (_byte <= 90), _byte + 32, _byte).astype(np.uint8)
@@ -34,17 +32,39 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(kind: str, n: int) -> np.ndarray:
-    have = _POWERS.get(kind)
-    if have is None or len(have) < n:
-        size = max(n, CHUNK + 1)
-        base = np.full(size, _P if kind == "up" else _P_INV, dtype=np.uint64)
-        base[0] = 1
-        table = np.multiply.accumulate(base)
-        if size > 4 * CHUNK:
-            return table  # one very long text: not kept
-        have = _POWERS[kind] = table
-    return have[:n]
+def _place_value(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return mix((place.astype(np.uint64) << np.uint64(8) | byte.astype(np.uint64))
+               * np.uint64(0x9E3779B97F4A7C55) + np.uint64(0x6A09E667F3BCC909))
+
+
+_TABLE = _place_value(np.repeat(np.arange(_PLACES), 256), np.tile(np.arange(256), _PLACES))
+
+
+def inside(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all bytes of the spans, one span after another, and their
+    places within their span."""
+    ends = np.cumsum(size)
+    within = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - size, size)
+    return np.repeat(start, size) + within, within
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each (not empty) span: the sum of a mixed value for every
+    place and byte, mixed with the length.  Unlike a polynomial modulo 2**64 it
+    has no structure that long regular words could meet."""
+    size = end - start
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    at, within = inside(start, size)
+    byte = data[at]
+    if int(size.max()) <= _PLACES:
+        value = _TABLE[within << 8 | byte]
+    else:
+        value = _TABLE[np.minimum(within, _PLACES - 1) << 8 | byte]
+        far = np.flatnonzero(within >= _PLACES)
+        value[far] = _place_value(within[far], byte[far])
+    sums = np.add.reduceat(value, np.cumsum(size) - size)
+    return mix(sums ^ (size.astype(np.uint64) << np.uint64(48)))
 
 
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
@@ -96,14 +116,7 @@ class Words:
         self.end = np.flatnonzero(end) + 1
         self.ptr = np.searchsorted(self.start, off)  # text i: words ptr[i]..ptr[i+1]
         self.owner = np.repeat(np.arange(len(off) - 1), np.diff(self.ptr))
-        if len(self.start):
-            total = np.empty(n + 1, dtype=np.uint64)
-            total[0] = 0
-            np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * _powers("up", n), out=total[1:])
-            h = (total[self.end] - total[self.start]) * _powers("down", n)[self.start]
-            self.hash = mix(h ^ ((self.end - self.start).astype(np.uint64) << np.uint64(48)))
-        else:
-            self.hash = np.zeros(0, np.uint64)
+        self.hash = span_hashes(self.data, self.start, self.end)
 
     def grams(self, k: int) -> np.ndarray:
         """Hash of the k words from each word on; meaningful where ``fits``."""

@@ -121,7 +121,8 @@ def schedule(docs: DataFrame, weights: dict | None = None, source_col: str = "so
                                    "begins_ array<struct<first:long,phase:int>>")
     slots = spark.createDataFrame(rows, "k2_ int, phase_ int, j2_ long, first_ long, base_ long, "
                                         "share_ long, total_ long, t_ long")
-    out = ranked(docs, F.col(source_col), [F.xxhash64(F.col(id_col), F.lit(seed)), F.xxhash64(text_col)])
+    out = ranked(docs, F.col(source_col), [F.xxhash64(F.col(id_col), F.lit(seed)), F.xxhash64(text_col)],
+                 weight=F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)
     out = out.withColumns({"block_": F.floor(F.col("rank_") / block_docs).cast("long"),
                            "place_": F.pmod(F.col("rank_"), F.lit(block_docs)).cast("int")})
     # both tables are bounded by the number of sources and the resolution

@@ -43,6 +43,7 @@ from riverflow.session import scratch_path
 END_ID = 2
 BLOCK_TOKENS = 1 << 20      # a block is closed at the first document end beyond
 CACHE_PIECES = 1_200_000    # ids of so many distinct pieces are kept per worker
+CACHE_BYTES = 32 << 20      # and about so many bytes of them
 TABLE = 1 << 21
 SAMPLE = 256
 
@@ -141,6 +142,9 @@ class Encoder:
         self.flat = np.zeros(1 << 20, self.kind)
         self.used = 0
         self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        # the pieces themselves, so that an equal hash is never trusted
+        self.bytes, self.held = np.zeros(1 << 20, np.uint8), 0
+        self.byte_first, self.byte_size = np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each piece, -1 if unknown."""
@@ -163,6 +167,15 @@ class Encoder:
             self.keys[slot[won]] = hashes[left[won]]
             left, slot = left[~won], (slot[~won] + 1) & (TABLE - 1)
 
+    def _differs(self, number: np.ndarray, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces whose bytes are not those of their known piece."""
+        size = stop - start
+        odd = self.byte_size[number] != size
+        known = np.where(odd, 0, self.byte_first[number])   # any place: they differ already
+        at, within = K.inside(start, size)
+        unlike = data[at] != self.bytes[np.minimum(np.repeat(known, size) + within, len(self.bytes) - 1)]
+        return np.flatnonzero(odd | np.logical_or.reduceat(unlike, np.cumsum(size) - size))
+
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind) for e in got]
@@ -191,6 +204,15 @@ class Encoder:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
+        ordered = [pieces[i] for i in order + rest]
+        joined = np.frombuffer(b"".join(ordered), np.uint8)
+        long = np.array([len(p) for p in ordered], np.int32)
+        self.byte_first = np.concatenate([self.byte_first, (self.held + np.cumsum(long) - long).astype(np.int32)])
+        self.byte_size = np.concatenate([self.byte_size, long])
+        while self.held + len(joined) > len(self.bytes):
+            self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)])
+        self.bytes[self.held:self.held + len(joined)] = joined
+        self.held += len(joined)
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each text of a run."""
@@ -236,25 +258,27 @@ class Encoder:
             keep = cut[owner]
             start, stop, owner = start[keep], stop[keep], owner[keep]
         if len(start):
-            total = np.empty(n + 1, np.uint64)
-            total[0] = 0
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * K._powers("up", n), out=total[1:])
-            h = (total[stop] - total[start]) * K._powers("down", n)[start]
-            h = K.mix(h ^ ((stop - start).astype(np.uint64) << np.uint64(48)))
+            h = K.span_hashes(data, start, stop)
             number = self._find(h)
             new = np.flatnonzero(number < 0)
             if len(new):
-                if len(self.first) + len(new) > CACHE_PIECES:
+                if len(self.first) + len(new) > CACHE_PIECES or self.held > CACHE_BYTES:
                     self._clear()
                     new = np.arange(len(h))
                 fresh, where = np.unique(h[new], return_index=True)
                 where = new[where]
                 self._learn(fresh, [blob[x:y] for x, y in zip(start[where].tolist(), stop[where].tolist())])
                 number[new] = self._find(h[new])
+            for i in np.unique(owner[self._differs(number, data, start, stop)]):
+                # a piece of it only has the hash of a known one
+                cut[i], out[i] = False, self._whole([blob[off[i]:off[i + 1]].decode("utf-8", "replace")])[0]
+            if not cut[owner].all():
+                keep = cut[owner]
+                number, owner = number[keep], owner[keep]
             size, first = self.size[number], self.first[number]
             ends = np.cumsum(size, dtype=np.int64)
             ids = self.flat[np.repeat((first - (ends - size)).astype(np.int32), size)
-                            + np.arange(int(ends[-1]), dtype=np.int32)]
+                            + np.arange(int(ends[-1]) if len(ends) else 0, dtype=np.int32)]
             per = np.bincount(owner, weights=size, minlength=texts).astype(np.int64)
         else:
             ids, per = np.zeros(0, self.kind), np.zeros(texts, np.int64)
