@@ -38,26 +38,40 @@ def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that can have no language: no text, or text without a
-    letter.  Others stay, also if no language was learned."""
+    letter.  Others stay, also if no language was learned; a NULL lang becomes
+    the predicted one."""
     ready(spark)
-    keyed = docs.withColumn("key_", _row())
+    keyed = docs.withColumn("key_", F.struct(_row().alias("row"), F.col("lang").isNotNull().alias("named")))
     found = langid.identify(keyed, langid.fit(langid.training_rows(docs)), id_col="key_")
-    return _without(keyed, found.where(~F.col("has_letter"))).select(*COLUMNS)
+    found = stage(found.where(~F.col("has_letter") | ~F.col("doc_id.named")).select(
+        F.col("doc_id").alias("key_"), "has_letter", F.nullif("lang_pred", F.lit(langid.UNKNOWN)).alias("pred_")).distinct(), "found")
+    out = keyed.join(counted_broadcast(found), "key_", "left").where(F.coalesce("has_letter", F.lit(True)))
+    return out.withColumn("lang", F.coalesce("lang", "pred_")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the smallest doc_id of each group of near copies
-    (likeness 0.80 or more); of rows with equal doc_id, the one of the smallest
-    text.  Rows without a doc_id come after all others, by a hash of their text."""
+    (likeness 0.80 or more).  Different texts of one doc_id are documents of
+    their own: the one of the least hash has the doc_id; the others come after
+    all ids (by a 61-bit hash of doc_id and text), then rows without a doc_id (by
+    a 62-bit hash of the text)."""
     ready(spark)
-    unnamed = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
-    keyed = docs.withColumn("key_", F.coalesce(F.col("doc_id").cast("long"), unnamed))
+    text = F.xxhash64("text")
+    several = stage(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("id_")).agg(
+        F.min(text).alias("least_"), F.max(text).alias("most_")).where("least_ <> most_").drop("most_"), "several")
+    mark = F.xxhash64(F.lit(3), "doc_id", "text")
+    other = F.when(F.col("doc_id").isNull(), F.shiftrightunsigned(mark, 2) + F.lit(1 << 62)).otherwise(
+        F.shiftrightunsigned(mark, 3) + F.lit(1 << 61))
+    keyed = docs.join(counted_broadcast(several), docs.doc_id == several.id_, "left").withColumn(
+        "key_", F.when(F.col("doc_id").isNotNull() & (F.col("least_").isNull() | (text == F.col("least_"))),
+                       F.col("doc_id").cast("long")).otherwise(other))
+    keyed = keyed.select(*COLUMNS, "key_")
     found = superminhash.near_duplicates(keyed, id_col="key_", **NEAR)
     kept = _without(keyed, found.where(~F.col("kept")))
+    # rows of one key are copies of one row
     repeated = keyed.groupBy("key_").count().where("count > 1").limit(1).count()
     if repeated:
-        rest = ["text", *(c for c in COLUMNS if c != "text")]
-        kept = kept.groupBy("key_").agg(F.min(F.struct(*rest)).alias("r_")).select("r_.*")
+        kept = kept.groupBy("key_").agg(F.min(F.struct(*COLUMNS)).alias("r_")).select("r_.*")
     return kept.select(*COLUMNS)
 
 
