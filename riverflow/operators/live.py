@@ -102,6 +102,37 @@ def live_dedup_increment(new_raw: DataFrame, existing: DataFrame | None,
     return new.join(cand, on=cond, how="left_anti")
 
 
+# Hash of the 16 columns, stored with a Parquet Bloom filter.
+ROW_HASH = "row_hash"
+# A batch of at most this many rows names their hashes to the scan, which then
+# skips row groups by Bloom filter; a larger one would hit most of them.
+MAX_PROBES = 200
+
+
+def with_row_hash(df: DataFrame) -> DataFrame:
+    return df.withColumn(ROW_HASH, F.xxhash64(*schemas.LIVE_DEDUP_COLUMNS))
+
+
+def unseen_rows(new: DataFrame, stored: DataFrame | None, max_probes: int = MAX_PROBES) -> DataFrame:
+    """Rows of ``new`` (de-duplicated, staged, with OBS_DAY and ROW_HASH) that
+    ``stored`` does not hold.  Only the days of ``new`` are read; of a stored
+    table with ROW_HASH a small batch reads only the row groups whose Bloom
+    filter may hold one of its rows."""
+    if stored is None:
+        return new
+    days = [r[0] for r in new.select(OBS_DAY).distinct().toLocalIterator()]
+    seen = on_days(stored, days)
+    hashed = ROW_HASH in stored.columns
+    if hashed:
+        probes = [r[0] for r in new.select(ROW_HASH).limit(max_probes + 1).collect()]
+        if len(probes) <= max_probes:
+            seen = seen.where(F.col(ROW_HASH).isin(probes))
+    cond = [new[c].eqNullSafe(seen[c]) for c in schemas.LIVE_DEDUP_COLUMNS]
+    if hashed:
+        cond.insert(0, new[ROW_HASH] == seen[ROW_HASH])
+    return new.join(seen, on=cond, how="left_anti")
+
+
 def by_measure(df: DataFrame, measure: str, col: str = "grandeur_hydro") -> DataFrame:
     """Keep one measure."""
     return df.where(F.col(col) == F.lit(measure))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverflow.functions import horizon, map_ratio, marker_radius, severity
+from riverflow.sources.layout import of_station
 
 # Quantiles the map may scale by; the default is the 99% one.
 MAP_QUANTILES = ("quantile_999", "quantile_990", "quantile_900")
@@ -20,11 +21,10 @@ DEFAULT_MAP_QUANTILE = "quantile_990"
 
 def by_station(df: DataFrame, code: str, measure: str | None = None,
                measure_col: str = "grandeur_hydro") -> DataFrame:
-    """Point lookup on one station, optionally one measure."""
-    cond = F.col("code_station") == F.lit(code)
-    if measure is not None:
-        cond = cond & (F.col(measure_col) == F.lit(measure))
-    return df.where(cond)
+    """Point lookup on one station, optionally one measure (F7).  On a table
+    stored along the station-day curve it opens a small share of the files."""
+    out = of_station(df, code)
+    return out if measure is None else out.where(F.col(measure_col) == F.lit(measure))
 
 
 def positive_ratio(df: DataFrame, col: str = "map_ratio") -> DataFrame:

@@ -21,12 +21,15 @@ from riverflow import schemas
 from riverflow.functions import basename, file_tag, hist_landing_path, iso_utc, year_of
 from riverflow.operators import historical as H
 from riverflow.operators import live as L
+from riverflow.operators import rolling
 from riverflow.operators import serving as V
 from riverflow.operators.indicator import bbox_filter, indicator
 from riverflow.plans import pipelines as P
 from riverflow.session import scratch_path, stage
 from riverflow.streaming import live_stream as S
 from riverflow.streaming.windows import pull_windows
+from riverflow.sources import layout, pages, versions
+from riverflow.sources import readers as R
 from riverflow.sources import writers as W
 from riverflow.sources.readers import decode_json_column, encode_json_column, merge_pages
 
@@ -42,6 +45,10 @@ AVG_DIGITS = 6
 # Incremental live refresh: rows landed before this instant form the first
 # run, the rest the second.
 LIVE_INCREMENT_CUT = _dt.datetime(2024, 1, 15)
+PAGE_SIZE = 250                # records of a chained API page
+LOST_PAGE_EVERY = 32           # page_chain_report: every 32nd page names one that never landed
+ROLLING_AS_OF = [_dt.date(y, m, d) for y, m, d in
+                 ((1994, 1, 1), (1995, 6, 30), (1996, 2, 29), (1997, 12, 31), (1999, 3, 17), (2000, 12, 31), (2002, 7, 1))]
 
 
 def _hist(spark, sf):
@@ -246,6 +253,71 @@ def q_merge_pages(spark, sf):
     return merge_pages(fx.fx_live_pages(spark, sf))
 
 
+def _chained_pages(spark, sf):
+    """API pages by address, each naming the next; every third one was landed
+    once more under an old address, which no page names."""
+    found = fx.fx_live_pages(spark, sf, PAGE_SIZE)
+    last = found.select(F.max("page")).scalar()
+    chain = found.select(F.concat(F.lit("p"), "page").alias("page"), "data",
+                         F.when(F.col("page") < last, F.concat(F.lit("p"), F.col("page") + 1)).otherwise("").alias("next"),
+                         (F.col("page") % 3 == 0).alias("again_"))
+    old = chain.where("again_").withColumn("page", F.concat(F.lit("old"), F.substring("page", 2, 20)))
+    return chain.unionByName(old).drop("again_")
+
+
+def q_merge_pages_chain(spark, sf):
+    """Landed pages followed from the first along their links (S5, Q17, G4):
+    pages off the chain give no records."""
+    d = _run_dir(spark, "merge_pages_chain")
+    W.append(_chained_pages(spark, sf).withColumn("count", F.size("data").cast("bigint")), f"{d}/pages", fmt="json")
+    return _as_ntz(R.read_page_chain(spark, f"{d}/pages", "p0").records.drop("position"))
+
+
+def q_page_chain_report(spark, sf):
+    """Position and status of every landed page where some pages are missing."""
+    number = F.floor(F.col("event_id") / PAGE_SIZE).cast("bigint")
+    found = fx.table(spark, sf, "events").select(number.alias("no")).distinct()
+    last = found.select(F.max("no")).scalar()
+    name = F.concat(F.lit("p"), "no")
+    link = (F.when(F.col("no") % LOST_PAGE_EVERY == LOST_PAGE_EVERY - 1, F.concat(F.lit("lost"), "no"))
+            .when(F.col("no") < last, F.concat(F.lit("p"), F.col("no") + 1)))
+    landed = found.select(name.alias("page"), link.alias("next"), F.array(F.struct("no")).alias("data"))
+    return pages.follow(landed, "p0").report
+
+
+def q_hist_agg_rolling(spark, sf):
+    """Quantiles over moving windows of 730 days from stored sketches, kept by
+    two refreshes (A1, A2)."""
+    d = _run_dir(spark, "hist_agg_rolling")
+    flat = fx.fx_hist_flat(spark, sf)
+    rolling.refresh(spark, d, flat.where(_file_before(INCREMENTAL_FIRST_RUN_BEFORE)), load=1)
+    rolling.refresh(spark, d, flat, load=2)
+    return rolling.window_quantiles(spark, d, ROLLING_AS_OF)
+
+
+def q_stations_versions(spark, sf):
+    """Station list replaced twice as versions of a catalog table, read by its
+    name (K2, K5, K6, G5, S6)."""
+    d = _run_dir(spark, "stations_versions")
+    paths, name = P.Paths(f"{d}/tables"), f"stations_{uuid.uuid4().hex}"
+    stations = fx.fx_stations(spark, sf)
+    lists = stations.select(F.array(F.struct(*stations.columns)).alias("data"), "code_station")
+    W.append(lists.where(F.col("code_station") < "S5").drop("code_station"), f"{d}/first", fmt="json")
+    W.append(lists.drop("code_station"), f"{d}/all", fmt="json")
+    for landed in ("first", "all"):
+        P.refresh_stations(spark, f"{d}/{landed}", paths, table=name)
+    W.as_view(R.table(spark, name).select(*STATION_COLUMNS), f"{name}_view")
+    return R.table(spark, f"{name}_view")
+
+
+def q_station_history_lookup(spark, sf):
+    """One station's history from a table stored along the station-day curve
+    with Bloom filters (K8, F7, D2, J2)."""
+    d = _run_dir(spark, "station_history_lookup")
+    W.append(layout.along_curve(fx.fx_hist_flat(spark, sf)), f"{d}/flat", blooms={"code_station": P.STATIONS_PER_FILE})
+    return V.station_history(spark.read.parquet(f"{d}/flat"), fx.fx_stations(spark, sf), STATION)
+
+
 def q_json_roundtrip(spark, sf):
     """Embedded JSON decoded to typed columns."""
     ev = fx.table(spark, sf, "events").select("event_id", "props")
@@ -478,4 +550,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_encode": q_json_encode,
     "live_avg_incremental": q_live_avg_incremental,
     "live_shared_load": q_live_shared_load,
+    "merge_pages_chain": q_merge_pages_chain,
+    "page_chain_report": q_page_chain_report,
+    "hist_agg_rolling": q_hist_agg_rolling,
+    "stations_versions": q_stations_versions,
+    "station_history_lookup": q_station_history_lookup,
 }

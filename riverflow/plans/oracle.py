@@ -261,3 +261,38 @@ ORACLE["hist_refresh"] = ORACLE["hist_agg_exact"]
 ORACLE["stations_refresh"] = (_with(FX_STATIONS)
                               + f"SELECT {', '.join(C.STATION_COLUMNS)} FROM fx_stations")
 ORACLE["json_encode"] = "SELECT event_id, user_id, event_type FROM events"
+ORACLE["stations_versions"] = ORACLE["stations_refresh"]
+ORACLE["station_history_lookup"] = ORACLE["station_history"]
+
+_PAGE_NO = f"event_id // {C.PAGE_SIZE}"
+_LIVE_COLUMNS = _select_full(schemas.LIVE_FIELDS, _LIVE_BASE_GIVEN)
+
+
+def _chain(links: str) -> str:
+    """Pages reached from p0, with their positions."""
+    return (f"WITH RECURSIVE ids AS (SELECT DISTINCT {_PAGE_NO} AS no FROM events),\n"
+            f"links AS ({links}),\n"
+            "chain AS (SELECT page, next, CAST(0 AS BIGINT) AS position FROM links WHERE page = 'p0'\n"
+            "  UNION ALL SELECT l.page, l.next, c.position + 1 FROM chain c JOIN links l ON l.page = c.next)\n")
+
+
+_NEXT = "CASE WHEN no < (SELECT max(no) FROM ids) THEN 'p' || (no + 1) END"
+ORACLE["merge_pages_chain"] = (
+    _chain(f"SELECT 'p' || no AS page, {_NEXT} AS next FROM ids "
+           f"UNION ALL SELECT 'old' || no, {_NEXT} FROM ids WHERE no % 3 = 0")
+    + f"SELECT {_LIVE_COLUMNS} FROM events WHERE 'p' || ({_PAGE_NO}) IN (SELECT page FROM chain)")
+_LOST = f"no % {C.LOST_PAGE_EVERY} = {C.LOST_PAGE_EVERY - 1}"
+ORACLE["page_chain_report"] = (
+    _chain(f"SELECT 'p' || no AS page, CASE WHEN {_LOST} THEN 'lost' || no ELSE {_NEXT} END AS next FROM ids")
+    + "SELECT l.page, l.next, c.position, CASE WHEN c.position IS NULL THEN 'unreachable' "
+      "WHEN l.next IS NULL THEN 'end' WHEN l.next NOT IN (SELECT page FROM links) THEN 'gap' "
+      "ELSE 'chain' END AS status\nFROM links l LEFT JOIN chain c ON c.page = l.page")
+_AS_OF = ", ".join(f"(DATE '{d}')" for d in C.ROLLING_AS_OF)
+ORACLE["hist_agg_rolling"] = (
+    _with(FX_HIST_FLAT, f"windows(as_of) AS (VALUES {_AS_OF})")
+    + "SELECT as_of, code_station, latitude, longitude, grandeur_hydro_elab,\n  "
+    + ",\n  ".join(f"quantile_disc(resultat_obs_elab, {f}) AS {c}" for f, c in zip(schemas.QUANTILE_FRACTIONS, _Q))
+    + ",\n  min(date_obs_elab) AS minimum_date_window, max(date_obs_elab) AS maximum_date_window\n"
+      "FROM windows JOIN fx_hist_flat ON date_obs_elab BETWEEN as_of - 729 AND as_of\n"
+      "WHERE grandeur_hydro_elab = 'QmJ' AND resultat_obs_elab > 0\n"
+      "GROUP BY as_of, code_station, latitude, longitude, grandeur_hydro_elab")

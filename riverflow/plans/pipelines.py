@@ -23,7 +23,12 @@ from riverflow.operators.joins import HIST_BROADCAST_MAX_ROWS, checked_broadcast
 from riverflow.sources import readers as R
 from riverflow.sources.readers import read_if_exists
 from riverflow.session import stage
+from riverflow.sources import versions as V
 from riverflow.sources import writers as W
+from riverflow.sources.layout import along_curve
+
+STATIONS_PER_FILE = 10_000  # expected distinct stations in a file of hist_flat
+
 
 @dataclass
 class Paths:
@@ -72,7 +77,8 @@ def run_historical(spark: SparkSession, paths: Paths, method: str = "approx") ->
     raw = spark.read.schema(schemas.HIST_RAW).parquet(paths.raw_hist)
     target = read_if_exists(spark, paths.flat)
     new_rows = H.flatten_incremental(raw, target)
-    W.append(new_rows, paths.flat, cluster_by=["json_file", "code_site", "date_obs_elab"])
+    # along the station-day curve: lookups by station or day open few files
+    W.append(along_curve(stage(new_rows, "new_rows")), paths.flat, blooms={"code_station": STATIONS_PER_FILE})
     flat = spark.read.parquet(paths.flat)
     if method == "kll":
         stored = read_if_exists(spark, paths.hist_sketches)
@@ -87,9 +93,14 @@ def run_historical(spark: SparkSession, paths: Paths, method: str = "approx") ->
 
 
 def ingest_live(spark: SparkSession, pages_path: str, paths: Paths,
-                now: _dt.datetime | None = None) -> int:
-    """Live load (G4): merge the landed pages, stamp, append."""
-    records = R.read_live_pages(spark, pages_path)
+                now: _dt.datetime | None = None, first: str | None = None) -> int:
+    """Live load (G4): merge the landed pages, stamp, append.  With ``first``
+    the pages are followed from that address along their links, up to the
+    first one that did not land; without it every landed page is taken."""
+    if first is None:
+        records = R.read_live_pages(spark, pages_path)
+    else:
+        records = R.read_page_chain(spark, pages_path, first).records.drop("position")
     return W.append(L.stamp_ingestion(records, now),
                     W.load_path(paths.raw_live, f"batch-{uuid.uuid4().hex}"))
 
@@ -239,6 +250,10 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
     return models
 
 
-def refresh_stations(spark: SparkSession, landed: str, paths: Paths) -> int:
-    """Station refresh (G5): replace the dimension with the latest list."""
+def refresh_stations(spark: SparkSession, landed: str, paths: Paths, table: str | None = None) -> int:
+    """Station refresh (G5): replace the dimension with the latest list.  With
+    a catalog ``table`` readers of that name see the old or the new list, never
+    a part of it; without one the folder is rewritten in place."""
+    if table is not None:
+        return V.replace(R.read_stations(spark, landed), table, f"{paths.stations}_versions")
     return W.overwrite(R.read_stations(spark, landed), paths.stations)

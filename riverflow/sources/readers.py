@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riverflow import schemas
+from riverflow.functions import basename
+from riverflow.sources import pages
 
 
 def _json(spark: SparkSession, schema: T.StructType, path: str | list[str], mode: str,
@@ -64,6 +66,17 @@ def read_live_pages(spark: SparkSession, path: str | list[str], mode: str = "FAI
     return merge_pages(_json(spark, schemas.LIVE_PAGE, path, mode, multiline, None))
 
 
+def read_page_chain(spark: SparkSession, path: str | list[str], first: str | None = None,
+                    mode: str = "FAILFAST", multiline: bool = False) -> pages.Chain:
+    """Landed live API pages followed from ``first`` along their ``next`` links
+    (S5): records up to the first missing page, and a report of every page.  A
+    page's address is its ``page`` field, or its file's name without one."""
+    schema = T.StructType([*schemas.LIVE_PAGE.fields, T.StructField("page", T.StringType())])
+    landed = _json(spark, schema, path, mode, multiline, None)
+    address = F.coalesce("page", basename(F.col("_metadata.file_path")))
+    return pages.follow(landed.select(address.alias("page"), "next", "data"), first)
+
+
 def read_stations(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST",
                   multiline: bool = False) -> DataFrame:
     """Station list from the response's ``data`` array."""
@@ -86,8 +99,10 @@ def table(spark: SparkSession, name_or_path: str, fmt: str = "parquet") -> DataF
     return spark.table(name_or_path)
 
 
-def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The stored table at ``path``, or None when it was never written.
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet",
+                   schema: T.StructType | None = None) -> DataFrame | None:
+    """The stored table at ``path``, or None when it was never written.  With
+    ``schema`` (without the partition columns) no file is opened to infer it.
 
     The path's own file system is asked (the default one for a path without a
     scheme).  Only a missing path means None; any other failure is raised, so
@@ -98,7 +113,8 @@ def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
     if not fs.exists(location):
         return None
     try:
-        return spark.read.format(fmt).load(path)
+        reader = spark.read.format(fmt)
+        return (reader.schema(schema) if schema is not None else reader).load(path)
     except AnalysisException as exc:
         if exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None  # a folder without a data file holds no rows yet

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riverflow.functions import year_of
+from riverflow.sources.layout import with_blooms
 
 
 def _is_path(target: str) -> bool:
@@ -42,10 +43,10 @@ TEXT_TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 def _write(df: DataFrame, target: str, mode: str, fmt: str, cluster_by: list[str] | None,
            partition_by: list[str] | None,
-           bucket_by: tuple[int, list[str]] | None = None) -> int:
+           bucket_by: tuple[int, list[str]] | None = None, blooms: dict[str, int] | None = None) -> int:
     obs = Observation("rows_written")
     out = clustered(df, cluster_by).observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode(mode)
+    writer = with_blooms(out.write.mode(mode), blooms or {})
     if fmt in ("json", "csv"):
         writer = (writer.option("timestampFormat", TEXT_TIMESTAMP_FORMAT)
                   .option("timestampNTZFormat", TEXT_TIMESTAMP_NTZ_FORMAT))
@@ -65,9 +66,10 @@ def _write(df: DataFrame, target: str, mode: str, fmt: str, cluster_by: list[str
 
 def append(df: DataFrame, target: str, fmt: str = "parquet",
            cluster_by: list[str] | None = None, partition_by: list[str] | None = None,
-           bucket_by: tuple[int, list[str]] | None = None) -> int:
-    """Append rows, creating the target on first use (K1)."""
-    return _write(df, target, "append", fmt, cluster_by, partition_by, bucket_by)
+           bucket_by: tuple[int, list[str]] | None = None, blooms: dict[str, int] | None = None) -> int:
+    """Append rows, creating the target on first use (K1).  ``blooms`` names
+    columns that get a Parquet Bloom filter, with their distinct values a file."""
+    return _write(df, target, "append", fmt, cluster_by, partition_by, bucket_by, blooms)
 
 
 def overwrite(df: DataFrame, target: str, fmt: str = "parquet",

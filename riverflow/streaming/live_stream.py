@@ -25,14 +25,16 @@ from pyspark.sql.streaming import StreamingQuery
 from riverflow import schemas
 from riverflow.operators.indicator import indicator
 from riverflow.operators.joins import HIST_BROADCAST_MAX_ROWS, checked_broadcast
-from riverflow.operators.live import (LATEST_KEYS, OBS_DAY, batch_days, live_dedup_increment,
-                                      stamp_ingestion, with_obs_day)
-from riverflow.session import scratch_path
+from riverflow.operators.live import (LATEST_KEYS, MAX_PROBES, OBS_DAY, ROW_HASH, live_dedup, stamp_ingestion,
+                                      unseen_rows, with_obs_day, with_row_hash)
+from riverflow.session import scratch_path, stage
+from riverflow.sources.layout import with_blooms
 from riverflow.sources.readers import read_if_exists
 from riverflow.sources.writers import load_path
 from riverflow.streaming.windows import pull_windows
 
 DEFAULT_DELAY = "15 minutes"
+DAY_FILES = 4   # files that a micro-batch adds to a day, at most
 
 
 def stream_live_raw(spark: SparkSession, path: str, with_stamp: bool = True,
@@ -85,23 +87,55 @@ def indicator_to_table(stream: DataFrame, hist: DataFrame, path: str, name: str
 
     Each micro-batch stores the rows that no other micro-batch holds under
     ``<path>/dedup`` and their indicator rows, both in its own folder, which a
-    replay replaces.  No watermark: no row is too late.
+    replay replaces.  No watermark: no row is too late.  The stored rows lie by
+    day, with a Bloom filter on their hash: a late row opens its own day only
+    and, in it, only the row groups that may hold it.
     """
     spark = stream.sparkSession
     rows, out = f"{path.rstrip('/')}/dedup", f"{path.rstrip('/')}/indicator"
 
     def write(batch: DataFrame, load: str) -> None:
-        stored = read_if_exists(spark, rows)
+        new = staged_batch(batch)
+        stored = read_dedup_store(spark, rows)
         if stored is not None:
             stored = stored.where(F.col("load") != load)
         mine = load_path(rows, load)
-        live_dedup_increment(batch, stored).write.mode("overwrite").parquet(mine)
-        found = indicator(spark.read.parquet(mine), checked_broadcast(hist, max_broadcast_rows))
+        write_dedup_store(unseen_rows(new, stored), mine)
+        found = indicator(spark.read.schema(STORE_SCHEMA).parquet(mine).select(*schemas.LIVE_DEDUP_COLUMNS),
+                          checked_broadcast(hist, max_broadcast_rows))
         found.write.mode("overwrite").parquet(load_path(out, load))
 
     return _each_batch(stream, write, name, checkpoint, available_now, processing_time)
 
 
+STORE_SCHEMA = T.StructType([f for f in schemas.LIVE_RAW.fields if f.name in schemas.LIVE_DEDUP_COLUMNS]
+                            + [T.StructField(ROW_HASH, T.LongType())])
+STORE_FILE_ROWS = 1_000_000
+
+
+def staged_batch(batch: DataFrame) -> DataFrame:
+    """A micro-batch de-duplicated and written once (its files would be read
+    again by every action on it), with its days and row hashes."""
+    return stage(with_row_hash(with_obs_day(live_dedup(batch))), "micro_batch")
+
+
+def read_dedup_store(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored rows of all loads; no file is opened for the schema."""
+    threshold = "spark.sql.parquet.pushdown.inFilterThreshold"
+    if int(spark.conf.get(threshold, "10")) < MAX_PROBES:
+        spark.conf.set(threshold, str(MAX_PROBES))   # lists of hashes reach the Bloom filters
+    return read_if_exists(spark, path, schema=STORE_SCHEMA)
+
+
+def write_dedup_store(rows: DataFrame, path: str) -> None:
+    """Rows by day; of each day one file per STORE_FILE_ROWS rows or so."""
+    rows = stage(rows, "unseen")
+    per = rows.groupBy(OBS_DAY).count().agg(F.max("count")).first()[0] or 1
+    cut = F.pmod(F.col(ROW_HASH), F.lit(-(-per // STORE_FILE_ROWS)))
+    writer = rows.repartition(F.col(OBS_DAY), cut).write.mode("overwrite").partitionBy(OBS_DAY)
+    with_blooms(writer, {ROW_HASH: min(per, STORE_FILE_ROWS)}).parquet(path)
+
+
 def windows_to_table(stream: DataFrame, path: str, ts: str = "date_obs", name: str = "pull_windows",
                      checkpoint: str | None = None, available_now: bool = True,
                      processing_time: str | None = None) -> StreamingQuery:
@@ -126,7 +160,7 @@ def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
     """Exact incremental de-duplication into a stored table.
 
     Each micro-batch appends only rows the table does not hold yet
-    (``live_dedup_increment``), so the table always equals batch
+    (``unseen_rows``), so the table always equals batch
     ``live_dedup`` over everything landed: no watermark, nothing is too
     late, and a replayed batch appends nothing.  Unlike the stateful stream
     dedup, identical copies are combined map-side before any shuffle.
@@ -134,13 +168,14 @@ def dedup_to_table(stream: DataFrame, dedup_path: str, name: str = "live_dedup",
     spark = stream.sparkSession
 
     def write(batch: DataFrame, _load: str) -> None:
+        new = staged_batch(batch)
         existing = read_if_exists(spark, dedup_path)
-        days = batch_days(batch) if existing is not None else None
         # Same layout and batch mark as pipelines.run_live_incremental, so the
         # latest and average tables can fold in what the stream appended.
         batch_id = int(_dt.datetime.now(_dt.UTC).timestamp() * 1e6)
-        (with_obs_day(live_dedup_increment(batch, existing, days=days))
+        (unseen_rows(new, existing).drop(ROW_HASH)
          .withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
+         .repartition(OBS_DAY, F.pmod(F.xxhash64("date_obs", "code_station"), F.lit(DAY_FILES)))
          .write.mode("append").partitionBy(OBS_DAY).parquet(dedup_path))
 
     return _each_batch(stream, write, name, checkpoint, available_now, processing_time)
