@@ -45,6 +45,7 @@ AVG_DIGITS = 6
 # Incremental live refresh: rows landed before this instant form the first
 # run, the rest the second.
 LIVE_INCREMENT_CUT = _dt.datetime(2024, 1, 15)
+BROKEN_EVERY = 13              # live_quarantine: events whose line is broken
 PAGE_SIZE = 250                # records of a chained API page
 LOST_PAGE_EVERY = 32           # page_chain_report: every 32nd page names one that never landed
 ROLLING_AS_OF = [_dt.date(y, m, d) for y, m, d in
@@ -181,14 +182,14 @@ def q_backfill_days(spark, sf):
 
 def _loaded_history(spark, sf, name):
     """Day envelopes landed as JSON and loaded in two runs; the second finds
-    the day-files of the first among its own and skips them."""
+    the day-files of the first among the landed ones and skips them."""
     d = _run_dir(spark, name)
     paths = P.Paths(f"{d}/tables")
     env = stage(fx.fx_hist_envelopes(spark, sf), "envelopes")
-    W.land_hist(env.where(_file_before(INCREMENTAL_FIRST_RUN_BEFORE)), f"{d}/first")
-    W.land_hist(env, f"{d}/all")
-    for landed in ("first", "all"):
-        P.load_hist_files(spark, f"{d}/{landed}", paths)
+    early = F.coalesce(_file_before(INCREMENTAL_FIRST_RUN_BEFORE), F.lit(False))
+    for part in (early, ~early):
+        W.land_hist(env.where(part), f"{d}/landed")
+        P.load_hist_files(spark, f"{d}/landed", paths)
     return paths
 
 
@@ -439,6 +440,48 @@ def q_stream_latest(spark, sf):
     return _as_ntz(out)
 
 
+def q_stream_latest_log(spark, sf):
+    """Latest row per key as a log of changes over several micro-batches, folded
+    once on the way and once at the read (T4)."""
+    d = _run_dir(spark, "stream_latest_log")
+    _finished(S.latest_to_table(_split_live_raw(spark, sf, f"{d}/landed"), f"{d}/out",
+                                name=f"stream_latest_log_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt", merge_every=3))
+    return _as_ntz(S.stored_latest(spark, f"{d}/out"))
+
+
+def q_stream_indicator_compacted(spark, sf):
+    """Stream-static indicator whose small files are merged on the way."""
+    d = _run_dir(spark, "stream_indicator_compacted")
+    hist = W.materialize(_hist(spark, sf), f"{d}/hist_agg")
+    _finished(S.indicator_to_table(_split_live_raw(spark, sf, f"{d}/landed"), hist, f"{d}/out", compact_every=3,
+                                   name=f"stream_indicator_compacted_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt"))
+    return _as_ntz(S.read_indicator_store(spark, f"{d}/out"))
+
+
+def q_live_quarantine(spark, sf):
+    """Landed NDJSON with a broken line for every 13th event, parsed once into
+    records and quarantined lines (S2, S3, S7, K4, K10).  The counts observed per
+    micro-batch come with the lines."""
+    d = _run_dir(spark, "live_quarantine")
+    ev = fx.table(spark, sf, "events")
+    records = stage(_as_ltz(fx.live_mapped(ev)), "records")
+    record = F.to_json(F.struct(*schemas.LIVE_DEDUP_COLUMNS), {"timestampFormat": W.TEXT_TIMESTAMP_FORMAT})
+    line = F.when(F.col("event_id") % BROKEN_EVERY == 0, F.concat(F.lit("broken "), "event_id")).otherwise(record)
+    files = max(MICRO_BATCHES, spark.sparkContext.defaultParallelism)
+    records.select(line.alias("value"), "event_id").repartition(files, "event_id").select("value").write.text(f"{d}/landed")
+    _finished(S.ingest_lines(spark, f"{d}/landed", f"{d}/raw", f"{d}/dead", f"{d}/counts", name=f"live_quarantine_{uuid.uuid4().hex}",
+                             checkpoint=f"{d}/ckpt", max_files_per_trigger=max(1, files // MICRO_BATCHES)))
+    counts = spark.read.parquet(f"{d}/counts").agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bad").alias("n_bad"))
+    good = _as_ntz(R.read_live_table(spark, f"{d}/raw")).select(
+        F.lit("record").alias("kind"), F.lit(None).cast("string").alias("line"), "code_station", "date_obs", "resultat_obs",
+        *[F.lit(None).cast("bigint").alias(c) for c in ("n_rows", "n_bad")])
+    empty = [F.lit(None).cast(good.schema[c].dataType).alias(c) for c in ("code_station", "date_obs", "resultat_obs")]
+    no_counts = [F.lit(None).cast("bigint").alias(c) for c in ("n_rows", "n_bad")]
+    bad = spark.read.parquet(f"{d}/dead").select(F.lit("line").alias("kind"), "line", *empty, *no_counts)
+    total = counts.select(F.lit("counts").alias("kind"), F.lit(None).cast("string").alias("line"), *empty, "n_rows", "n_bad")
+    return good.unionByName(bad).unionByName(total)
+
+
 def q_stream_indicator(spark, sf):
     """Stream-static indicator join over several micro-batches (T5)."""
     d = _run_dir(spark, "stream_indicator")
@@ -446,7 +489,7 @@ def q_stream_indicator(spark, sf):
     _finished(S.indicator_to_table(_split_live_raw(spark, sf, f"{d}/landed"), hist, f"{d}/out",
                                    name=f"stream_indicator_{uuid.uuid4().hex}",
                                    checkpoint=f"{d}/ckpt"))
-    return _as_ntz(spark.read.parquet(f"{d}/out/indicator").drop("load"))
+    return _as_ntz(S.read_indicator_store(spark, f"{d}/out"))
 
 
 def q_stream_pull_windows(spark, sf):
@@ -550,6 +593,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_encode": q_json_encode,
     "live_avg_incremental": q_live_avg_incremental,
     "live_shared_load": q_live_shared_load,
+    "stream_latest_log": q_stream_latest_log,
+    "stream_indicator_compacted": q_stream_indicator_compacted,
+    "live_quarantine": q_live_quarantine,
     "merge_pages_chain": q_merge_pages_chain,
     "page_chain_report": q_page_chain_report,
     "hist_agg_rolling": q_hist_agg_rolling,

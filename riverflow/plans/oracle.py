@@ -296,3 +296,14 @@ ORACLE["hist_agg_rolling"] = (
       "FROM windows JOIN fx_hist_flat ON date_obs_elab BETWEEN as_of - 729 AND as_of\n"
       "WHERE grandeur_hydro_elab = 'QmJ' AND resultat_obs_elab > 0\n"
       "GROUP BY as_of, code_station, latitude, longitude, grandeur_hydro_elab")
+
+ORACLE["stream_latest_log"] = ORACLE["live_latest"]
+ORACLE["stream_indicator_compacted"] = ORACLE["stream_indicator"]
+_BROKEN = f"event_id % {C.BROKEN_EVERY} = 0"
+ORACLE["live_quarantine"] = (
+    "SELECT 'record' AS kind, CAST(NULL AS VARCHAR) AS line, "
+    + ", ".join(f"{_LIVE_BASE_GIVEN[c]} AS {c}" for c in ("code_station", "date_obs", "resultat_obs"))
+    + f", CAST(NULL AS BIGINT) AS n_rows, CAST(NULL AS BIGINT) AS n_bad FROM events WHERE NOT ({_BROKEN})\n"
+      f"UNION ALL SELECT 'line', 'broken ' || event_id, NULL, NULL, NULL, NULL, NULL FROM events WHERE {_BROKEN}\n"
+      f"UNION ALL SELECT 'counts', NULL, NULL, NULL, NULL, CAST(count(*) FILTER (WHERE NOT ({_BROKEN})) AS BIGINT), "
+      f"CAST(count(*) FILTER (WHERE {_BROKEN}) AS BIGINT) FROM events")

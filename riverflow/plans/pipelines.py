@@ -57,13 +57,22 @@ class Paths:
 
 
 def load_hist_files(spark: SparkSession, landed: str, paths: Paths) -> int:
-    """Historical load (G3): read landed envelopes, keep day-files the raw
-    table does not hold, append them.  Creates the table on first use."""
-    env = R.read_hist_raw(spark, landed)
+    """Historical load (G3): append the day-files that the raw table does not
+    hold.  Creates the table on first use.
+
+    Landed files are listed first and anti-joined by name (K9), so a loaded
+    file is not opened again; files that no day-file's name tells apart are
+    read and compared by their content's tag."""
     loaded = read_if_exists(spark, paths.raw_hist)
-    if loaded is not None:
-        env = H.load_new_files(env, loaded)
-    return W.append(env, paths.raw_hist)
+    if loaded is None:
+        return W.append(R.read_hist_raw(spark, landed), paths.raw_hist)
+    listed = R.list_hist_files(spark, landed)
+    new = listed.where("json_file is null").unionByName(H.load_new_files(listed.where("json_file is not null"), loaded))
+    # paths of new files only: Spark's file index holds them on the driver anyway
+    todo = [r.path for r in stage(new.select("path"), "new_files").toLocalIterator()]
+    if not todo:
+        return 0
+    return W.append(H.load_new_files(R.read_hist_raw(spark, todo), loaded), paths.raw_hist)
 
 
 def run_historical(spark: SparkSession, paths: Paths, method: str = "approx") -> DataFrame:

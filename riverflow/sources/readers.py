@@ -39,6 +39,16 @@ def read_hist_raw(spark: SparkSession, path: str | list[str], mode: str = "FAILF
     return _json(spark, schemas.HIST_RAW, path, mode, multiline, corrupt_column, nested=True)
 
 
+def list_hist_files(spark: SparkSession, path: str) -> DataFrame:
+    """Landed day-files by listing alone, no file is opened: path and
+    json_file, the last name in the path that looks like a day-file's
+    (``<json_file>`` itself or a folder ``file=<json_file>``), else NULL."""
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+             .select(F.col("_metadata.file_path").alias("path")))
+    named = F.regexp_extract("path", r"([^/=]+_\d{4}-\d{2}-\d{2}\.json)(?:/[^/]*)?$", 1)
+    return found.select("path", F.nullif(named, F.lit("")).alias("json_file"))
+
+
 def read_live_raw(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST",
                   corrupt_column: str | None = None) -> DataFrame:
     """Live NDJSON records with their ingestion stamp (S2).  ISO ``...Z``

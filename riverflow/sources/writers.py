@@ -85,7 +85,8 @@ def overwrite(df: DataFrame, target: str, fmt: str = "parquet",
 
 
 def land_hist(envelopes: DataFrame, root: str, date_col: str = "json_file") -> int:
-    """Land day envelopes as JSON under ``<root>/year=<YYYY>/`` (K3).
+    """Land day envelopes as JSON under ``<root>/year=<YYYY>/file=<json_file>/``
+    (K3): a folder per day-file, so a listing names the day-files.
 
     The year is taken from the envelope's file tag (``..._YYYY-MM-DD.json``)
     unless ``date_col`` names a date column.
@@ -94,8 +95,8 @@ def land_hist(envelopes: DataFrame, root: str, date_col: str = "json_file") -> i
         day = F.regexp_extract(F.col("json_file"), r"(\d{4}-\d{2}-\d{2})", 1)
     else:
         day = F.col(date_col)
-    return append(envelopes.withColumn("year", year_of(day)), root, fmt="json",
-                  partition_by=["year"])
+    return append(envelopes.withColumns({"year": year_of(day), "file": F.col("json_file")}), root, fmt="json",
+                  partition_by=["year", "file"])
 
 
 def land_live(records: DataFrame, path: str) -> int:

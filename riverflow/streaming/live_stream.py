@@ -16,8 +16,9 @@ be recomputed.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -28,12 +29,14 @@ from riverflow.operators.joins import HIST_BROADCAST_MAX_ROWS, checked_broadcast
 from riverflow.operators.live import (LATEST_KEYS, MAX_PROBES, OBS_DAY, ROW_HASH, live_dedup, stamp_ingestion,
                                       unseen_rows, with_obs_day, with_row_hash)
 from riverflow.session import scratch_path, stage
+from riverflow.sources import compaction
 from riverflow.sources.layout import with_blooms
 from riverflow.sources.readers import read_if_exists
 from riverflow.sources.writers import load_path
 from riverflow.streaming.windows import pull_windows
 
 DEFAULT_DELAY = "15 minutes"
+COMPACT_EVERY = 50   # micro-batches between two merges of small files
 DAY_FILES = 4   # files that a micro-batch adds to a day, at most
 
 
@@ -81,7 +84,8 @@ def _each_batch(stream: DataFrame, write, name: str, checkpoint: str | None,
 def indicator_to_table(stream: DataFrame, hist: DataFrame, path: str, name: str = "indicator",
                        checkpoint: str | None = None, available_now: bool = True,
                        processing_time: str | None = None,
-                       max_broadcast_rows: int = HIST_BROADCAST_MAX_ROWS) -> StreamingQuery:
+                       max_broadcast_rows: int = HIST_BROADCAST_MAX_ROWS,
+                       compact_every: int = COMPACT_EVERY) -> StreamingQuery:
     """Exact stream-static indicator (T5, T6): ``<path>/indicator`` always
     equals the batch indicator over everything landed.
 
@@ -104,6 +108,10 @@ def indicator_to_table(stream: DataFrame, hist: DataFrame, path: str, name: str
         found = indicator(spark.read.schema(STORE_SCHEMA).parquet(mine).select(*schemas.LIVE_DEDUP_COLUMNS),
                           checked_broadcast(hist, max_broadcast_rows))
         found.write.mode("overwrite").parquet(load_path(out, load))
+        if int(load.rsplit("-", 1)[1]) % compact_every == compact_every - 1:
+            # this micro-batch may be replayed; those before it never
+            compaction.compact(spark, rows, OBS_DAY, without=(load,), schema=STORE_SCHEMA, blooms={ROW_HASH: STORE_FILE_ROWS})
+            compaction.compact(spark, out, without=(load,))
 
     return _each_batch(stream, write, name, checkpoint, available_now, processing_time)
 
@@ -124,7 +132,13 @@ def read_dedup_store(spark: SparkSession, path: str) -> DataFrame | None:
     threshold = "spark.sql.parquet.pushdown.inFilterThreshold"
     if int(spark.conf.get(threshold, "10")) < MAX_PROBES:
         spark.conf.set(threshold, str(MAX_PROBES))   # lists of hashes reach the Bloom filters
-    return read_if_exists(spark, path, schema=STORE_SCHEMA)
+    return compaction.read(spark, path, schema=STORE_SCHEMA)
+
+
+def read_indicator_store(spark: SparkSession, path: str) -> DataFrame | None:
+    """The indicator rows that ``indicator_to_table`` keeps under ``path``."""
+    found = compaction.read(spark, f"{path.rstrip('/')}/indicator")
+    return None if found is None else found.drop("load")
 
 
 def write_dedup_store(rows: DataFrame, path: str) -> None:
@@ -214,6 +228,91 @@ def stream_latest(stream: DataFrame) -> DataFrame:
                       F.lit(1).cast("bigint").alias("row_num"))
 
 
+def latest_to_table(stream: DataFrame, path: str, name: str = "live_latest", checkpoint: str | None = None,
+                    available_now: bool = True, processing_time: str | None = None,
+                    merge_every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Latest row per key as a log of changes (T4): every micro-batch appends
+    the latest rows of the keys it holds, in a folder that a replay replaces;
+    ``stored_latest`` folds them.  After ``merge_every`` micro-batches the changes
+    before are folded into one row per key.  Nothing is kept in state and a
+    micro-batch writes its own keys only, not the whole table."""
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, load: str) -> None:
+        _fold_latest(batch).write.mode("overwrite").parquet(load_path(path, load))
+        if int(load.rsplit("-", 1)[1]) % merge_every == merge_every - 1:
+            merge_latest(spark, path, without=load)
+
+    return _each_batch(stream, write, name, checkpoint, available_now, processing_time)
+
+
+def _fold_latest(rows: DataFrame) -> DataFrame:
+    """One row per key: a maximum, combined map-side, so copies and earlier
+    folds of the same rows do not change it."""
+    cols = _latest_struct_cols()
+    agg = rows.groupBy(*LATEST_KEYS).agg(F.max(F.struct(*cols)).alias("_m"))
+    return agg.select(*[F.col(c) if c in LATEST_KEYS else F.col(f"_m.{c}").alias(c) for c in schemas.LIVE_DEDUP_COLUMNS])
+
+
+def stored_latest(spark: SparkSession, path: str) -> DataFrame:
+    """Latest row per (station, measure) over all changes stored so far."""
+    return _fold_latest(compaction.read(spark, path)).withColumn("row_num", F.lit(1).cast("bigint"))
+
+
+def merge_latest(spark: SparkSession, path: str, without: str = "") -> None:
+    """Replace all changes but those of the load ``without`` by their fold."""
+    old = stage(compaction.current_files(spark, path).where(F.col("load") != without).select("path"), "changes")
+    if old.isEmpty():
+        return
+    merged = f"{compaction.MERGED}{uuid.uuid4().hex}"
+    rows = compaction.read(spark, path).where(F.col("load") != without)
+    _fold_latest(rows).write.parquet(load_path(path, merged))
+    compaction.commit(spark, path, old, merged)
+
+
+def ingest_lines(spark: SparkSession, landed: str, raw_path: str, dead_path: str, counts_path: str | None = None,
+                 name: str = "live_lines", checkpoint: str | None = None, available_now: bool = True,
+                 processing_time: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Landed NDJSON into the raw table, bad lines into a quarantine.
+
+    Each micro-batch is parsed once; records go to ``raw_path``, lines that
+    are no record to ``dead_path`` with their file, line number (from 1) and
+    text, both in the micro-batch's own folder, which a replay replaces: every
+    line is stored exactly once, in one of the two.  Blank lines are neither.
+    ``counts_path`` gets one row per micro-batch with the rows written to either
+    table, observed on the writes themselves (K10).
+
+    A landed file (the answer to one ten-minute pull) is taken as a whole, so
+    that its lines have numbers.
+    """
+    reader = spark.readStream.format("text").option("wholetext", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = reader.load(landed).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"))
+    record = T.StructType([*schemas.LIVE_RAW.fields, T.StructField("_corrupt_record", T.StringType())])
+    parsed = lines.where(F.trim("line") != "").select(
+        "file", (F.col("at") + 1).cast("bigint").alias("position"), "line",
+        F.from_json("line", record, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+
+    def write(batch: DataFrame, load: str) -> None:
+        once = stage(batch, "parsed")
+        bad = F.col("r").isNull() | F.col("r._corrupt_record").isNotNull()
+        good = once.where(~bad).select("r.*").drop("_corrupt_record")
+        rows = [_counted(good, load_path(raw_path, load)),
+                _counted(once.where(bad).select("file", "position", "line"), load_path(dead_path, load))]
+        if counts_path:
+            spark.createDataFrame([(load, *rows)], "micro_batch string, n_rows bigint, n_bad bigint").coalesce(1).write.mode(
+                "overwrite").parquet(load_path(counts_path, load))
+
+    return _each_batch(parsed, write, name, checkpoint, available_now, processing_time)
+
+
+def _counted(rows: DataFrame, path: str) -> int:
+    seen = Observation("rows_written")
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return int(seen.get.get("rows", 0))
+
+
 def stream_indicator(stream: DataFrame, hist: DataFrame, delay: str = DEFAULT_DELAY,
                      max_broadcast_rows: int = HIST_BROADCAST_MAX_ROWS) -> DataFrame:
     """Stream-static inner join of de-duplicated readings with the history's
