@@ -84,9 +84,11 @@ def overwrite(df: DataFrame, target: str, fmt: str = "parquet",
     return _write(df, target, "overwrite", fmt, cluster_by, partition_by, bucket_by)
 
 
-def land_hist(envelopes: DataFrame, root: str, date_col: str = "json_file") -> int:
-    """Land day envelopes as JSON under ``<root>/year=<YYYY>/file=<json_file>/``
-    (K3): a folder per day-file, so a listing names the day-files.
+def land_hist(envelopes: DataFrame, root: str, date_col: str = "json_file", by_file: bool = False) -> int:
+    """Land day envelopes as JSON under ``<root>/year=<YYYY>/`` (K3), with
+    ``by_file`` under ``<root>/year=<YYYY>/file=<json_file>/``: a folder per
+    day-file, so that a listing names the day-files and loaded ones are never
+    opened again.
 
     The year is taken from the envelope's file tag (``..._YYYY-MM-DD.json``)
     unless ``date_col`` names a date column.
@@ -95,8 +97,10 @@ def land_hist(envelopes: DataFrame, root: str, date_col: str = "json_file") -> i
         day = F.regexp_extract(F.col("json_file"), r"(\d{4}-\d{2}-\d{2})", 1)
     else:
         day = F.col(date_col)
-    return append(envelopes.withColumns({"year": year_of(day), "file": F.col("json_file")}), root, fmt="json",
-                  partition_by=["year", "file"])
+    out = envelopes.withColumn("year", year_of(day))
+    if by_file:
+        out = out.withColumn("file", F.col("json_file"))
+    return append(out, root, fmt="json", partition_by=["year", "file"] if by_file else ["year"])
 
 
 def land_live(records: DataFrame, path: str) -> int:

@@ -119,7 +119,7 @@ def test_loaded_files_are_not_opened_again(spark, scratch):
         df = spark.createDataFrame(rows, "json_file string, data array<struct<code_station:string,resultat_obs_elab:double>>")
         return df.select(F.lit(1).cast("bigint").alias("count"), "json_file", "data")
     paths, landed = P.Paths(f"{scratch}/tables"), f"{scratch}/landed"
-    W.land_hist(envelopes([1, 2, 3]), landed)
+    W.land_hist(envelopes([1, 2, 3]), landed, by_file=True)
     assert P.load_hist_files(spark, landed, paths) == 3
     for d, _, names in os.walk(landed):
         for f in names:
@@ -129,7 +129,7 @@ def test_loaded_files_are_not_opened_again(spark, scratch):
             elif f.endswith(".crc"):
                 os.truncate(os.path.join(d, f), 0)
     assert P.load_hist_files(spark, landed, paths) == 0
-    W.land_hist(envelopes([4, 5]), landed)
+    W.land_hist(envelopes([4, 5]), landed, by_file=True)
     assert P.load_hist_files(spark, landed, paths) == 2
     stored = spark.read.parquet(paths.raw_hist)
     assert sorted(r.json_file[-7:-5] for r in stored.collect()) == ["01", "02", "03", "04", "05"]
