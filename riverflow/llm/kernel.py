@@ -48,14 +48,15 @@ def inside(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.repeat(start, size) + within, within
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, places: tuple | None = None) -> np.ndarray:
     """64-bit hash of each (not empty) span: the sum of a mixed value for every
     place and byte, mixed with the length.  Unlike a polynomial modulo 2**64 it
-    has no structure that long regular words could meet."""
+    has no structure that long regular words could meet.  ``places``: what
+    ``inside`` gives for the spans, if it is known."""
     size = end - start
     if not len(size):
         return np.zeros(0, np.uint64)
-    at, within = inside(start, size)
+    at, within = places or inside(start, size)
     byte = data[at]
     if int(size.max()) <= _PLACES:
         value = _TABLE[within << 8 | byte]

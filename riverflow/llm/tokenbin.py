@@ -167,13 +167,16 @@ class Encoder:
             self.keys[slot[won]] = hashes[left[won]]
             left, slot = left[~won], (slot[~won] + 1) & (TABLE - 1)
 
-    def _differs(self, number: np.ndarray, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    def _differs(self, number: np.ndarray, data: np.ndarray, size: np.ndarray, places: tuple) -> np.ndarray:
         """Numbers of the pieces whose bytes are not those of their known piece."""
-        size = stop - start
-        odd = self.byte_size[number] != size
-        known = np.where(odd, 0, self.byte_first[number])   # any place: they differ already
-        at, within = K.inside(start, size)
-        unlike = data[at] != self.bytes[np.minimum(np.repeat(known, size) + within, len(self.bytes) - 1)]
+        odd, known = self.byte_size[number] != size, self.byte_first[number].astype(np.int64)
+        at, within = places
+        there = np.repeat(known, size) + within
+        if odd.any():           # any place will do: they differ already
+            there = np.minimum(there, len(self.bytes) - 1)
+        unlike = data[at] != self.bytes[there]
+        if not unlike.any():
+            return np.flatnonzero(odd)
         return np.flatnonzero(odd | np.logical_or.reduceat(unlike, np.cumsum(size) - size))
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -258,7 +261,8 @@ class Encoder:
             keep = cut[owner]
             start, stop, owner = start[keep], stop[keep], owner[keep]
         if len(start):
-            h = K.span_hashes(data, start, stop)
+            places = K.inside(start, stop - start)
+            h = K.span_hashes(data, start, stop, places)
             number = self._find(h)
             new = np.flatnonzero(number < 0)
             if len(new):
@@ -269,7 +273,7 @@ class Encoder:
                 where = new[where]
                 self._learn(fresh, [blob[x:y] for x, y in zip(start[where].tolist(), stop[where].tolist())])
                 number[new] = self._find(h[new])
-            for i in np.unique(owner[self._differs(number, data, start, stop)]):
+            for i in np.unique(owner[self._differs(number, data, stop - start, places)]):
                 # a piece of it only has the hash of a known one
                 cut[i], out[i] = False, self._whole([blob[off[i]:off[i + 1]].decode("utf-8", "replace")])[0]
             if not cut[owner].all():
