@@ -4,6 +4,7 @@ rows, with the defined edge cases."""
 import hashlib
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -381,6 +382,36 @@ def test_tagpath_keeps_split_text_and_named_wrappers():
         assert starts(f"<body><div {name}>{long_texts('A', 'B')}</div><div class='ad-box'>{LONG}</div></body>") == ["A", "B"]
 
 
+def test_tagpath_loses_nothing_inside_articles():
+    math_ = "<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>"
+    cases = [("<table><tr><td>One</td><td>2</td></tr></table>", ["One", "2"]), ("<ul><li>Salt</li><li>Oil</li></ul>", ["Salt", "Oil"]),
+             ("<pre>x = 1</pre>", ["x = 1"]), ("<figure><img><figcaption>A boat</figcaption></figure>", ["A boat"]),
+             ("<blockquote>Be.</blockquote>", ["Be."]), ("<dl><dt>A</dt><dd>b</dd></dl>", ["A", "b"]),
+             ("<div><span>Short</span> <span>spans</span></div>", ["Short spans"]), ("<p class='ad-hoc'>Committee.</p>", ["Committee."]),
+             (f"<p>Energy is {math_} and</p>", ["Energy is E=mc2 and"]),
+             ("<ul><li><a href=x>One</a><li><a href=y>Two</a></ul>", []), ("<div class='ad-box'>Buy.</div>", [])]
+    prose = " ".join(LONG.split())
+    for html, texts in cases:
+        for tag in ("article", "div"):
+            page = f"<body><nav><a>Home</a></nav><{tag}><h1>T</h1><p>{LONG}</p>{html}<p>{LONG}</p></{tag}><footer>f</footer></body>"
+            assert tagpath.main_text(page).split("\n\n") == ["T", prose, *texts, prose], (tag, html)
+        page = f"<body><article><p>{LONG}</p>{html}</article><div>Tail</div></body>"       # at the article's end
+        assert tagpath.main_text(page).split("\n\n") == [prose, *texts], html
+    for named in ("<section id=search>", "<div class=related>"):
+        page = f"<body><article><p>{LONG}</p>{named}<p>{LONG}</p>{'</section>' if 'section' in named else '</div>'}</article></body>"
+        assert tagpath.main_text(page).split("\n\n") == [prose, prose]
+        links = "<ul><li><a href=x>One more text</a><li><a href=y>Another</a></ul>"
+        assert tagpath.main_text(page.replace(f"{named}<p>{LONG}</p>", named + links)) == prose
+
+
+def test_tagpath_reads_deep_pages():
+    for deep in ("<div>" * 8000 + "<p>Text, here.</p>" + "x</div>" * 8000, "<b>x" * 8000, "</i>" * 8000 + "<div>y" * 8000 + "</span>" * 8000):
+        tracemalloc.start()
+        assert tagpath.main_text(deep)
+        assert tracemalloc.get_traced_memory()[1] < 20e6
+        tracemalloc.stop()
+
+
 def test_tagpath_edges(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain &lt;text&gt;"), (4, "u", "<p>unclosed <b>bold"), (5, "u", "<"),
             (None, "u", "<script>x"), (3, "u", "plain &lt;text&gt;"), (6, "u", "<a href=\"x" * 2000)]
