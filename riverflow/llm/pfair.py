@@ -1,91 +1,113 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's documents, in a fixed random order, are cut into blocks.  Block i
-of a source of weight w is released at time i / w and due at (i + 1) / w; each
-slot goes to the released block with the earliest deadline.  At every slot the
-blocks a source has received differ from its weight times the slots so far by
-less than one block.
-
-Weights are rounded to ``resolution``-ths, so the schedule repeats: the driver
-makes one period (as many slots as the weights' sum) and a block's slot follows
-from its number by division.  Every document is placed exactly once.  When a
-source runs out, the others go on with their weights scaled up, as a new phase
-that starts at that slot; the deviation holds within each phase.
-
-Size: the schedule has at most (sources + 1) x sources x resolution rows; the
-sources are the mixture's groups (not urls) and more than MAX_SOURCES raise.
+Each source's documents, in a fixed random order, are cut into blocks.  In the
+ideal mixture every source not yet used up receives its weight's share of each
+slot.  Block i of a source is released when the ideal has given it i blocks and
+due when it has given it i + 1; each slot goes to the released block with the
+earliest deadline.  Thus, at every slot, the blocks a source has received
+differ from what the ideal gives it by less than one block.
+
+With virtual time v, in which a source of weight w and n blocks receives w per
+unit until n / w, block i is released at v = i / w; the slot of a v is the sum of
+w * min(v, n / w) over the sources.  So sources that run out need no phases, and
+releases and deadlines are exact fractions: weights are whole multiples of
+2**-60 of their sum, and nothing else is rounded.
+
+Size: the corpus is counted per source, blocks have ``block_docs`` documents or
+the corpus's ``max_blocks``-th part, if that is more, so one task makes the
+schedule of at most ``max_blocks`` blocks and one more per source, holding one
+entry per source.  Documents are ranked and joined with their block's slot.
 
 Defined cases: a NULL source is a source of its own.  Sources without a given
-weight (or all, by default) weigh the power ``temperature`` of their size; a
-weight below one step of the resolution counts as one step.  Rows with equal
-doc_id and text are interchangeable.  An empty table gives no row.
+positive weight (or all, by default) weigh the power ``temperature`` of their size
+and share what the given weights leave of 1 (or, if nothing, the smallest given
+weight).  Rows with equal doc_id and text are interchangeable.  An empty table
+gives no row.
 """
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverflow.llm.common import ranked, ready, table
+from riverflow.llm.common import BROADCAST_ROWS, ranked, ready, table
+from riverflow.session import stage
 
 BLOCK_DOCS = 32
-RESOLUTION = 1000
+MAX_BLOCKS = 1 << 20
 TEMPERATURE = 0.7
-MAX_SOURCES = 2000
-
-
-def steps(weights: dict, resolution: int = RESOLUTION) -> dict:
-    """Whole steps proportional to the weights, at least one each."""
-    total = float(sum(weights.values()))
-    return {s: max(1, round(resolution * w / total)) for s, w in weights.items()}
-
-
-def period(share: dict) -> list:
-    """The source of each slot of one period (sum of the shares slots), by
-    earliest deadline first among released blocks."""
-    total, names = sum(share.values()), sorted(share, key=lambda s: (s is not None, s))
-    waiting = [(0, k, 0) for k in range(len(names))]      # (release, source, block)
-    heapq.heapify(waiting)
-    released: list = []                                   # (deadline, source, block)
-    slots = []
-    for t in range(total):
-        while waiting and waiting[0][0] <= t:
-            _, k, i = heapq.heappop(waiting)
-            heapq.heappush(released, (-(-(i + 1) * total // share[names[k]]), k, i))
-        _, k, i = heapq.heappop(released)
-        slots.append(names[k])
-        if i + 1 < share[names[k]]:
-            heapq.heappush(waiting, ((i + 1) * total // share[names[k]], k, i + 1))
-    return slots
-
-
-def phases(blocks: dict, share: dict) -> list[dict]:
-    """Phases between two sources' ends: per alive source its first block,
-    and the phase's first slot, length and period."""
-    left, done, slot, out = dict(blocks), {s: 0 for s in blocks}, 0, []
-    while left := {s: n for s, n in left.items() if n}:
-        alive = {s: share[s] for s in left}
-        one = period(alive)
-        total = len(one)
-        places: dict = {s: [] for s in alive}
-        for t, s in enumerate(one):
-            places[s].append(t)
-        # slot after each source's last block, if the phase went on so long
-        end = min((n - 1) // alive[s] * total + places[s][(n - 1) % alive[s]] + 1 for s, n in left.items())
-        out.append({"slot": slot, "first": {s: done[s] for s in alive}, "share": alive,
-                    "total": total, "places": places})
-        for s in left:
-            used = end // total * alive[s] + sum(t < end % total for t in places[s])
-            left[s] -= used
-            done[s] += used
-        slot += end
-    return out
+UNIT = 1 << 60             # whole weights add up to about this
+SHIFT = 128                # tells fractions with denominators up to UNIT apart
+ROWS = 50_000              # of an output batch
+BROADCAST_BYTES = 20 << 20
+
+
+def slots(sources: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """(source, block) of each slot, for sources of (blocks, whole weight), by
+    earliest deadline first among the released blocks."""
+    ends = sorted((n << SHIFT) // w for n, w in sources)
+    order = sorted(range(len(sources)), key=lambda s: (sources[s][0] << SHIFT) // sources[s][1])
+    ended, running = [0], [sum(w for _, w in sources)]    # after each end: blocks of ended sources, others' weight
+    for s in order:
+        ended.append(ended[-1] + sources[s][0])
+        running.append(running[-1] - sources[s][1])
+
+    def due(s: int, i: int) -> tuple[int, int]:
+        """The slots in and before which the ideal has given ``i`` blocks."""
+        w = sources[s][1]
+        k = bisect_right(ends, (i << SHIFT) // w)
+        return ended[k] + i * running[k] // w, ended[k] - (-i * running[k] // w)
+
+    waiting: list[tuple[int, int, int, int]] = []      # release, deadline, source, block
+    released: list[tuple[int, int, int, int]] = []     # deadline, source, block, release of the next
+    for s in range(len(sources)):
+        after, deadline = due(s, 1)
+        released.append((deadline, s, 0, after))
+    heapq.heapify(released)
+    for slot in range(ended[-1]):
+        while waiting and waiting[0][0] <= slot:
+            _, deadline, s, i = heapq.heappop(waiting)
+            heapq.heappush(released, (deadline, s, i, due(s, i + 1)[0]))
+        _, s, i, after = heapq.heappop(released)
+        yield s, i
+        if i + 1 < sources[s][0]:
+            heapq.heappush(waiting, (after, due(s, i + 2)[1], s, i + 1))
+
+
+def whole(weights: list[float]) -> list[int]:
+    """Weights as whole multiples of the UNIT-th part of their sum."""
+    total = sum(weights)
+    return [max(1, round(w / total * UNIT)) for w in weights]
+
+
+def _slots(batches):
+    keys, blocks, weights = [], [], []
+    for b in batches:
+        keys += b.column(0).to_pylist()
+        blocks += b.column(1).to_pylist()
+        weights += b.column(2).to_pylist()
+    rows: list[tuple[int, int, int]] = []
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)],
+                                          names=["k_", "at_", "slot_"])
+
+    if keys:
+        for t, (s, i) in enumerate(slots(list(zip(blocks, whole(weights))))):
+            rows.append((keys[s], i, t))
+            if len(rows) == ROWS:
+                yield batch()
+                rows = []
+    yield batch()
 
 
 def schedule(docs: DataFrame, weights: dict | None = None, source_col: str = "source", id_col: str = "doc_id",
-             text_col: str = "text", block_docs: int = BLOCK_DOCS, resolution: int = RESOLUTION,
+             text_col: str = "text", block_docs: int = BLOCK_DOCS, max_blocks: int = MAX_BLOCKS,
              temperature: float = TEMPERATURE, seed: int = 7) -> DataFrame:
     """``docs`` with slot_ (the block's place in the mixture), block_ (its
     number in its source) and place_ (the document's place in the block);
@@ -97,47 +119,35 @@ def schedule(docs: DataFrame, weights: dict | None = None, source_col: str = "so
     kind = docs.schema[source_col].dataType.simpleString()
     docs = docs.toDF(*inner.values())
     source_col, id_col, text_col = inner[source_col], inner[id_col], inner[text_col]
-    sizes = {r[0]: r[1] for r in docs.groupBy(source_col).count().limit(MAX_SOURCES + 1).collect()}
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
-    given = {s: float(w) for s, w in (weights or {}).items() if s in sizes and w > 0}
-    rest = {s: n ** temperature for s, n in sizes.items() if s not in given}
+
+    given = spark.createDataFrame([(s, float(w)) for s, w in (weights or {}).items() if w > 0], f"g_ {kind}, given_ double")
+    sizes = docs.groupBy(F.col(source_col).alias("s_")).agg(F.count(F.lit(1)).alias("n_"))
+    sizes = stage(sizes.join(given, F.col("s_").eqNullSafe(F.col("g_")), "left").select(
+        "s_", "n_", "given_", F.pow("n_", F.lit(temperature)).alias("free_")), "sources")
+    free = F.col("given_").isNull()
+    total, given_sum, least, free_sum = sizes.agg(
+        F.sum("n_"), F.sum("given_"), F.min("given_"), F.sum(F.when(free, F.col("free_")))).first()
     # given weights are shares of 1; the rest divides what they leave over
-    spare = max(0.0, 1.0 - sum(given.values())) or min([1.0, *given.values()])
-    rest_sum = sum(rest.values()) or 1.0
-    target = given | {s: spare * w / rest_sum for s, w in rest.items()}
-    share = steps(target, resolution) if target else {}
-    plan = phases({s: -(-n // block_docs) for s, n in sizes.items()}, share)
-    names = {s: k for k, s in enumerate(sorted(sizes, key=lambda s: (s is not None, s)))}
-    firsts: dict = {s: [] for s in names}      # per source: (first block, phase)
-    rows = []
-    for p, ph in enumerate(plan):
-        for s, first in ph["first"].items():
-            firsts[s].append((first, p))
-            rows += [(names[s], p, j, first, ph["slot"], ph["share"][s], ph["total"], t)
-                     for j, t in enumerate(ph["places"][s])]
-    begins = spark.createDataFrame([(names[s], s, v) for s, v in firsts.items()],
-                                   f"k_ int, s_ {kind}, "
-                                   "begins_ array<struct<first:long,phase:int>>")
-    slots = spark.createDataFrame(rows, "k2_ int, phase_ int, j2_ long, first_ long, base_ long, "
-                                        "share_ long, total_ long, t_ long")
+    spare = max(0.0, 1.0 - (given_sum or 0.0)) or min(1.0, least or 1.0)
+    block_docs = max(block_docs, -(-(total or 0) // max_blocks))
+    sizes = sizes.select("s_", F.ceil(F.col("n_") / block_docs).cast("long").alias("blocks_"),
+                         F.when(free, F.lit(spare) * F.col("free_") / F.lit(free_sum or 1.0)).otherwise(F.col("given_")).alias("w_"))
+    # numbered in the order of the sources, in the one task that makes the schedule
+    sizes = stage(sizes.repartition(1).sortWithinPartitions(F.col("s_").asc_nulls_first()).select(
+        F.monotonically_increasing_id().alias("k_"), "s_", "blocks_", "w_"), "numbered")
+    plan = stage(sizes.select("k_", "blocks_", "w_").repartition(1).sortWithinPartitions("k_").mapInArrow(
+        _slots, "k_ long, at_ long, slot_ long"), "slots")
+
     out = ranked(docs, F.col(source_col), [F.xxhash64(F.col(id_col), F.lit(seed)), F.xxhash64(text_col)],
                  weight=F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)
     out = out.withColumns({"block_": F.floor(F.col("rank_") / block_docs).cast("long"),
                            "place_": F.pmod(F.col("rank_"), F.lit(block_docs)).cast("int")})
-    # both tables are bounded by the number of sources and the resolution
-    out = out.join(F.broadcast(begins), out.group_.eqNullSafe(begins.s_)).drop("s_", "group_")
-    phase = F.array_max(F.filter("begins_", lambda b: b["first"] <= F.col("block_")))
-    out = out.withColumns({"phase1_": phase["phase"], "j_": F.col("block_") - phase["first"]}).drop("begins_", "rank_")
-    per = {(names[s], p): ph["share"][s] for p, ph in enumerate(plan) for s in ph["first"]}
-    shares = spark.createDataFrame([(k, p, n) for (k, p), n in per.items()], "k3_ int, p3_ int, share3_ long")
-    out = out.join(F.broadcast(shares), (out.k_ == shares.k3_) & (out.phase1_ == shares.p3_)).drop("k3_", "p3_")
-    out = out.join(F.broadcast(slots) if len(rows) <= 200_000 else slots,
-                   (out.k_ == slots.k2_) & (out.phase1_ == slots.phase_)
-                   & (F.pmod(out.j_, out.share3_) == slots.j2_))
-    slot = F.col("base_") + F.floor(F.col("j_") / F.col("share_")).cast("long") * F.col("total_") + F.col("t_")
-    return out.withColumn("slot_", slot).select(
-        *[F.col(c).alias(n) for n, c in inner.items()], "slot_", "block_", "place_")
+    plan = plan.join(sizes.select("k_", "s_"), "k_")
+    count, width = plan.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col("s_").cast("string")))).first()
+    small = count <= BROADCAST_ROWS and (width or 0) + 40 * count <= BROADCAST_BYTES
+    out = out.join(F.broadcast(plan) if small else plan,
+                   out.group_.eqNullSafe(plan.s_) & (out.block_ == plan.at_))
+    return out.select(*[F.col(c).alias(n) for n, c in inner.items()], "slot_", "block_", "place_")
 
 
 def op5_pfair(spark, sf_dir):

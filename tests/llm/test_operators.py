@@ -6,6 +6,7 @@ import os
 import random
 import tracemalloc
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -230,44 +231,81 @@ def test_langid_keeps_all_words_of_the_sample(spark):
 
 # --- op5
 
-def test_period_deviates_less_than_one_block():
+def ideal(sizes: dict, weights: dict):
+    """After each slot, what each source should have: every slot is shared by
+    weight among the sources that are not used up, in steps between ends."""
+    got, left, t, total = dict.fromkeys(sizes, Fraction(0)), dict(sizes), Fraction(0), sum(sizes.values())
+    at = 1
+    while at <= total:
+        alive = {s: Fraction(weights[s]) for s in sizes if got[s] < sizes[s]}
+        whole = sum(alive.values())
+        step = min([at - t] + [(sizes[s] - got[s]) * whole / w for s, w in alive.items()])
+        for s, w in alive.items():
+            got[s] += step * w / whole
+        t += step
+        if t == at:
+            yield dict(got)
+            at += 1
+
+
+def test_slots_deviate_less_than_one_block():
     rnd = random.Random(2)
-    for _ in range(20):
-        share = {s: rnd.randint(1, 60) for s in "abcdef"[:rnd.randint(1, 6)]}
-        total, seen = sum(share.values()), dict.fromkeys(share, 0)
-        for t, s in enumerate(pfair.period(share), 1):
+    for _ in range(25):
+        sizes = {s: rnd.randint(1, 40) for s in range(rnd.randint(1, 8))}
+        weights = {s: rnd.randint(1, 60) for s in sizes}
+        seen = dict.fromkeys(sizes, 0)
+        order = list(pfair.slots([(sizes[s], weights[s]) for s in sizes]))
+        assert len(order) == sum(sizes.values())
+        for (s, i), want in zip(order, ideal(sizes, weights)):
+            assert i == seen[s]
             seen[s] += 1
-            assert all(abs(seen[x] - t * share[x] / total) < 1 for x in share)
-        assert seen == share
-
-
-def test_schedule_matches_a_simulation(spark):
+            assert all(abs(seen[x] - want[x]) < 1 for x in sizes)
+
+
+def test_slots_keep_tiny_weights_of_many_sources():
+    # 1,000 sources of 0.0001, and one of 0.9 with 9,000 blocks: all end together
+    order = [s for s, _ in pfair.slots(list(zip([9000] + [1] * 1000, pfair.whole([0.9] + [0.0001] * 1000))))]
+    large = np.cumsum(np.array(order) == 0)
+    assert np.abs(large - 0.9 * np.arange(1, 10001)).max() < 1
+    # 10,000 sources of random weights: one block of deviation at most while none is used up
+    rnd = random.Random(3)
+    weights = np.array([rnd.random() ** 4 + 1e-6 for _ in range(10_000)])
+    weights /= weights.sum()
+    seen = np.zeros(len(weights))
+    for t, (s, _) in enumerate(pfair.slots([(20_000, w) for w in pfair.whole(list(weights))]), 1):
+        seen[s] += 1
+        if t % 997 == 0:
+            assert np.abs(seen - t * weights).max() < 1 + 1e-9
+        if t == 20_000:
+            break
+
+
+def test_schedule_matches_a_replay(spark):
     sizes = {"a": 700, "b": 150, None: 90, "c": 3}
     rows = [(i, s, "t") for i, s in enumerate(x for x, n in sizes.items() for _ in range(n))]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    weights = {"a": 0.25, "b": 0.5}
-    out = pfair.schedule(docs, weights, block_docs=4, resolution=20).collect()
+    out = pfair.schedule(docs, {"a": 0.25, "b": 0.5, "z": 0.1}, block_docs=4).collect()
     assert sorted(r.doc_id for r in out) == list(range(len(rows)))
-    # replay: phase by phase, periods repeated until a source ends
-    spare = {s: sizes[s] ** pfair.TEMPERATURE for s in (None, "c")}
-    target = weights | {s: 0.25 * w / sum(spare.values()) for s, w in spare.items()}
-    share = pfair.steps(target, 20)
-    left, order = {s: -(-n // 4) for s, n in sizes.items()}, []
-    while any(left.values()):
-        alive = {s: share[s] for s, n in left.items() if n}
-        one, t = pfair.period(alive), 0
-        while all(left[s] for s in alive):
-            order.append(one[t % len(one)])
-            left[order[-1]] -= 1
-            t += 1
+    spare = {s: sizes[s] ** 0.7 for s in (None, "c")}
+    weights = {"a": 0.25, "b": 0.5} | {s: 0.25 * w / sum(spare.values()) for s, w in spare.items()}
+    blocks = {s: -(-n // 4) for s, n in sizes.items()}
     by_slot = {}
     for r in out:
         by_slot.setdefault(r.slot_, set()).add((r.source, r.block_))
-    assert all(len(v) == 1 for v in by_slot.values())
-    got = [next(iter(by_slot[i])) for i in range(len(by_slot))]
-    assert [s for s, _ in got] == order
-    for s in sizes:
-        assert [b for x, b in got if x == s] == list(range(-(-sizes[s] // 4)))
+    assert sorted(by_slot) == list(range(sum(blocks.values()))) and all(len(v) == 1 for v in by_slot.values())
+    seen = dict.fromkeys(sizes, 0)
+    for t, want in enumerate(ideal(blocks, weights)):
+        (s, i), = by_slot[t]
+        assert i == seen[s]
+        seen[s] += 1
+        assert all(abs(seen[x] - want[x]) < 1 + 1e-9 for x in sizes)
+    assert pfair.schedule(docs, block_docs=4, max_blocks=10).agg(F.max("block_")).first()[0] < 10
+
+
+def test_schedule_takes_many_sources(spark):
+    docs = spark.range(12_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 4000).alias("source"), F.lit("t").alias("text"))
+    out = pfair.schedule(docs, block_docs=1).collect()
+    assert len(out) == len({r.slot_ for r in out}) == 12_000
 
 
 def test_schedule_edges(spark):
