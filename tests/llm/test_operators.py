@@ -326,6 +326,22 @@ def test_line_dedup_matches_brute_force(spark):
         assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in got} == brute.line_dedup(rows, min_lines=m)
 
 
+def test_maximal_runs_match_brute_force(spark):
+    rnd = random.Random(8)
+    rows = [(i, "\n".join(rnd.choice("abcdef") for _ in range(rnd.randint(0, 12)))) for i in range(30)]
+    rows += [(90, "\n".join("abcabcabcabcabc")), (91, rows[0][1] + "\nz\n" + rows[1][1]), (92, "\n".join(["same"] * 21))]
+    seqs = [(d, [x for x in t.split("\n") if x]) for d, t in rows]
+    places = [(d, a, s[a:]) for d, s in seqs for a in range(len(s))]
+    longest = {}
+    for i, (d, a, s) in enumerate(places):
+        longest[d, a] = max((next((n for n, (x, y) in enumerate(zip(s, o)) if x != y), min(len(s), len(o)))
+                             for _, _, o in places[:i]), default=0)
+    want = {(d, a, n) for (d, a), n in longest.items() if n and longest.get((d, a - 1), 0) <= n}
+    got = linedup.maximal_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(want) and {(r.doc_id, r.seq, r.length) for r in got} == want
+    assert linedup.maximal_runs(empty_docs(spark)).count() == 0
+
+
 def test_line_dedup_edges(spark):
     got = linedup.dedup_lines(edge_docs(spark)).collect()
     assert len(got) == 19
