@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from riverflow import fixtures as fx
 from riverflow import schemas
-from riverflow.functions import basename, file_tag, hist_landing_path, iso_utc, year_of
+from riverflow.functions import basename, file_tag, hist_landing_path, iso_utc, previous_day, year_of
 from riverflow.operators import historical as H
 from riverflow.operators import live as L
 from riverflow.operators import rolling
@@ -362,6 +362,20 @@ def q_live_top20(spark, sf):
     return V.live_top20(L.latest(_live_dedup(spark, sf)))
 
 
+def q_live_top20_since(spark, sf):
+    """Newest latest rows of the last day."""
+    latest = L.latest(_live_dedup(spark, sf))
+    return V.live_top20(latest, since=L.as_of_max(latest) - F.expr("INTERVAL 1 DAY"))
+
+
+def q_daily_runs(spark, sf):
+    """The day and landed file that a run on each observed day fetches."""
+    days = fx.fx_hist_flat(spark, sf).select(F.col("date_obs_elab").alias("run_day")).where(
+        "run_day is not null").distinct()
+    fetched = previous_day("run_day")
+    return days.select("run_day", fetched.alias("fetched_day"), hist_landing_path(fetched).alias("landing_path"))
+
+
 # ---------------------------------------------------- streaming, as batch ---
 # The events table is read as a file stream, processed to the end with
 # ``availableNow`` into a table under the checkpoint folder, and read back.
@@ -580,6 +594,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_thresholds": q_station_thresholds,
     "map_stations": q_map_stations,
     "live_top20": q_live_top20,
+    "live_top20_since": q_live_top20_since,
+    "daily_runs": q_daily_runs,
     "live_dedup_incremental": q_live_dedup_incremental,
     "live_latest_incremental": q_live_latest_incremental,
     "stream_dedup": q_stream_dedup,

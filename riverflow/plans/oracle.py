@@ -241,6 +241,16 @@ ORACLE: dict[str, str] = {
       "LIMIT 20",
 }
 
+ORACLE["live_top20_since"] = ORACLE["live_top20"].replace(
+    "FROM latest\nORDER BY", "FROM latest\n"
+    "WHERE date_obs > (SELECT max(date_obs) - INTERVAL 1 DAY FROM latest)\nORDER BY")
+ORACLE["daily_runs"] = (
+    _with(FX_HIST_FLAT)
+    + "SELECT DISTINCT CAST(date_obs_elab AS DATE) AS run_day,\n"
+      "  CAST(date_obs_elab - INTERVAL 1 DAY AS DATE) AS fetched_day,\n"
+      "  strftime(date_obs_elab - INTERVAL 1 DAY, 'historical/%Y/obs_elab_QmJ_%Y-%m-%d.json') AS landing_path\n"
+      "FROM fx_hist_flat WHERE date_obs_elab IS NOT NULL")
+
 # Streaming and incremental forms: the same rows as their batch models.
 ORACLE["live_dedup_incremental"] = ORACLE["live_dedup"]
 ORACLE["live_latest_incremental"] = ORACLE["live_latest"]
