@@ -20,6 +20,7 @@ from riverflow.operators import historical as H
 from riverflow.operators import live as L
 from riverflow.operators.indicator import indicator
 from riverflow.operators.joins import HIST_BROADCAST_MAX_ROWS, checked_broadcast
+from riverflow.sources import compaction
 from riverflow.sources import readers as R
 from riverflow.sources.readers import read_if_exists
 from riverflow.session import stage
@@ -135,7 +136,7 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
     by name.
 
     The tables have the same layout as ``run_live_incremental`` writes
-    (batch id on dedup rows, log of folded batches with latest and avg
+    (batch id on dedup rows, log of folded files with latest and avg
     parts), so the two refresh modes can follow each other on the same tables.
     """
     run_id = run_id if run_id is not None else _run_id()
@@ -146,7 +147,7 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
         cluster_by=[L.OBS_DAY, "code_station"], partition_by=[L.OBS_DAY])
     dedup = stored.select(*schemas.LIVE_DEDUP_COLUMNS)
     # latest and hist_agg hold one row per station: no clustering needed
-    log = _fold_log(spark, [run_id])
+    log = dedup_files(spark, paths.live_dedup)
     latest = fold_rows(W.materialize(_with_log(L.latest(dedup), log), paths.live_latest))
     parts = fold_rows(W.materialize(_with_log(L.live_avg_parts(dedup), log), paths.live_avg_parts))
     avg = W.as_view(L.avg_from_parts(parts), "live_avg")
@@ -165,46 +166,61 @@ def run_live(spark: SparkSession, paths: Paths, as_of: Column | _dt.datetime | N
 
 
 # A derived table holds its rows (FOLD_LOG NULL) and, in the same write, one
-# row per ingest batch it has folded in (FOLD_LOG set, all else NULL).
+# row per file of the dedup table it has folded in (FOLD_LOG set, all else NULL).
 FOLD_LOG = "fold_log"
+MAX_FOLD_PATHS = 1_000  # new files that a fold names to the scan; more are joined by name
 
 
-def _fold_log(spark: SparkSession, batches: list[int]) -> DataFrame:
-    return spark.createDataFrame([(b,) for b in batches], f"{FOLD_LOG} bigint")
+def dedup_files(spark: SparkSession, table: str) -> DataFrame:
+    """The files of the dedup table by listing alone: path, and FOLD_LOG, the
+    day's folder and file name."""
+    return stage(compaction.files(spark, table).select(
+        "path", F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias(FOLD_LOG)), "dedup_files")
 
 
 def _with_log(rows: DataFrame, log: DataFrame) -> DataFrame:
-    return rows.withColumn(FOLD_LOG, F.lit(None).cast("bigint")).unionByName(
-        log, allowMissingColumns=True)
+    return rows.withColumn(FOLD_LOG, F.lit(None).cast("string")).unionByName(
+        log.select(FOLD_LOG), allowMissingColumns=True)
 
 
 def fold_rows(stored: DataFrame) -> DataFrame:
-    """The rows of a derived table, without its log of folded batches."""
+    """The rows of a derived table, without its log of folded files."""
     return stored.where(F.col(FOLD_LOG).isNull()).drop(FOLD_LOG)
 
 
 def _stored_fold(spark: SparkSession, path: str) -> DataFrame | None:
-    """A derived table with its log, or None if it has none (then every stored
-    dedup row is folded into a new one)."""
+    """A derived table with its log of files, or None if it has none (then every
+    stored dedup row is folded into a new one)."""
     stored = read_if_exists(spark, path)
-    return stored if stored is not None and FOLD_LOG in stored.columns else None
+    named = stored is not None and dict(stored.dtypes).get(FOLD_LOG) == "string"
+    return stored if named else None
 
 
-def _fold(spark: SparkSession, dedup: DataFrame, path: str, make, merge) -> DataFrame:
-    """Bring a derived table up to ``dedup``: the rows of every batch that its
-    log does not name, in whatever order the batches were committed.  ``make``
-    derives rows from dedup rows, ``merge`` combines stored and new ones."""
+def rows_of(dedup: DataFrame, files: DataFrame, max_paths: int = MAX_FOLD_PATHS) -> DataFrame:
+    """The dedup rows in ``files`` (path).  A few files are named to the scan,
+    which then opens no other one; many are joined by name."""
+    paths = [r.path for r in files.select("path").limit(max_paths + 1).collect()]
+    rows = dedup.select(*schemas.LIVE_DEDUP_COLUMNS, F.col("_metadata.file_path").alias("path"))
+    if len(paths) <= max_paths:
+        rows = rows.where(F.col("path").isin(paths))
+    else:
+        rows = rows.join(checked_broadcast(files.select("path"), compaction.MAX_FILES), "path", "left_semi")
+    return rows.select(*schemas.LIVE_DEDUP_COLUMNS)
+
+
+def _fold(spark: SparkSession, dedup: DataFrame, files: DataFrame, path: str, make, merge) -> DataFrame:
+    """Bring a derived table up to the listed ``files`` of ``dedup``: only those
+    that its log does not name are read, in whatever order and by whomever they
+    were committed.  ``make`` derives rows from dedup rows, ``merge`` combines
+    stored and new ones."""
     stored = _stored_fold(spark, path)
-    batches = dedup.select(F.col("ingest_batch").alias(FOLD_LOG)).distinct()
-    log = _fold_log(spark, [])
-    if stored is not None:
+    if stored is None:
+        rows = make(rows_of(dedup, files))
+    else:
         log = stored.where(F.col(FOLD_LOG).isNotNull()).select(FOLD_LOG)
-        batches = batches.join(log, FOLD_LOG, "left_anti")
-    # one id per refresh since the last fold
-    todo = [r[0] for r in batches.collect()]
-    new = dedup.where(F.col("ingest_batch").isin(todo)).select(*schemas.LIVE_DEDUP_COLUMNS)
-    rows = make(new) if stored is None else merge(fold_rows(stored), new)
-    W.overwrite(stage(_with_log(rows, log.union(_fold_log(spark, todo))), "fold"), path)
+        new = stage(files.join(log, FOLD_LOG, "left_anti"), "unfolded")
+        rows = merge(fold_rows(stored), rows_of(dedup, new))
+    W.overwrite(stage(_with_log(rows, files), "fold"), path)
     return fold_rows(spark.read.parquet(path))
 
 
@@ -216,15 +232,16 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
     Same tables as ``run_live`` over all raw rows seen so far:
     - ``live_dedup``: ``live_dedup_increment(new_raw, stored)`` appended with
       its ``ingest_batch`` (this run's id, increasing across runs);
-    - ``live_latest``: ``latest`` over the stored latest rows plus the dedup
-      rows of batches it has not folded in yet (the pick is a maximum, so it
+    - ``live_latest``: ``latest`` over the stored latest rows plus the rows of
+      the dedup files it has not folded in yet (the pick is a maximum, so it
       composes);
     - ``live_avg``: a view over stored per (station, month) sum/count
       parts, folded the same way (the parts are the stored, mergeable form
       of the average).
-    The derived tables log the batches they folded in, so a run that stopped
-    half-way is completed by the next one, a batch that commits late is folded
-    by the next run, and replaying a batch changes nothing.  Each replaced
+    The derived tables log the dedup files they folded in, so a run that stopped
+    half-way is completed by the next one, a file that is committed late is folded
+    by the next run, replaying a batch changes nothing, and a refresh opens the
+    files added since the last one, not the table.  Each replaced
     table is first staged (written under ``spark.checkpoint.dir``) and then
     overwritten from the stage, so no job reads the files it replaces.
     """
@@ -234,11 +251,12 @@ def run_live_incremental(spark: SparkSession, paths: Paths, new_raw: DataFrame,
                                  days=L.batch_days(new_raw) if stored is not None else None)
     W.append(L.with_obs_day(inc).withColumn("ingest_batch", F.lit(run_id).cast("bigint")),
              paths.live_dedup, partition_by=[L.OBS_DAY])
+    files = dedup_files(spark, paths.live_dedup)  # listed first: the table below holds them all
     dedup_all = spark.read.parquet(paths.live_dedup)
 
-    latest = _fold(spark, dedup_all, paths.live_latest, L.latest,
+    latest = _fold(spark, dedup_all, files, paths.live_latest, L.latest,
                    lambda old, new: L.latest(old.select(*schemas.LIVE_DEDUP_COLUMNS).unionByName(new)))
-    parts = _fold(spark, dedup_all, paths.live_avg_parts, L.live_avg_parts,
+    parts = _fold(spark, dedup_all, files, paths.live_avg_parts, L.live_avg_parts,
                   lambda old, new: L.merge_avg_parts(old, L.live_avg_parts(new)))
     avg = W.as_view(L.avg_from_parts(parts), "live_avg")
 

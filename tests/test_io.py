@@ -352,6 +352,43 @@ def test_late_row_reads_its_own_day_only(spark, scratch):
     assert L.live_dedup_increment(null_time, stored, days=L.batch_days(null_time)).count() == 1
 
 
+@pytest.mark.parametrize("max_paths", [P.MAX_FOLD_PATHS, 0])
+def test_fold_opens_new_files_only(spark, scratch, max_paths):
+    """The rows of the files a log does not name, without opening another one."""
+    raw = _typed_raw(spark)
+    table, late = f"{scratch}/dedup", F.col("date_obs") >= F.lit(dt.datetime(2024, 1, 20))
+    dedup = L.with_obs_day(L.live_dedup(raw))
+    W.append(dedup.where(~late), table, partition_by=[L.OBS_DAY])
+    old = P.dedup_files(spark, table)
+    W.append(dedup.where(late), table, partition_by=[L.OBS_DAY])
+    files = P.dedup_files(spark, table)
+    new = files.join(old, P.FOLD_LOG, "left_anti")
+    assert 0 < new.count() < files.count()
+    stored = spark.read.schema(dedup.schema).parquet(table)
+    if max_paths:   # files in the log are no longer readable
+        for r in old.collect():
+            with open("/" + r.path.split(":", 1)[1].lstrip("/"), "w") as f:
+                f.write("x")
+    rows, want = P.rows_of(stored, new, max_paths), L.live_dedup(raw).where(late)
+    assert rows.count() == want.count() > 0 and rows.exceptAll(want).count() == 0
+    assert P.rows_of(stored, new.where("false"), max_paths).count() == 0
+
+
+def test_table_without_a_log_of_files_is_folded_anew(spark, scratch):
+    """Derived tables that logged batch ids are rebuilt from the dedup table once."""
+    raw = _typed_raw(spark)
+    paths = P.Paths(f"{scratch}/old")
+    P.run_live_incremental(spark, paths, raw, run_id=1)
+    for path in (paths.live_latest, paths.live_avg_parts):
+        rows = P.stage(P.fold_rows(spark.read.parquet(path)).withColumn(P.FOLD_LOG, F.lit(None).cast("bigint")), "t_old")
+        W.overwrite(rows, path)
+    models = P.run_live_incremental(spark, paths, raw, run_id=2)
+    want = L.live_avg(L.live_dedup(raw))
+    got = {(r.code_station, r.month): r.avg_resultat_obs for r in models["live_avg"].collect()}
+    assert got == {(r.code_station, r.month): pytest.approx(r.avg_resultat_obs, rel=1e-12) for r in want.collect()}
+    assert models["live_latest"].count() == L.latest(L.live_dedup(raw)).count()
+
+
 def test_landing_tree_with_plain_year_folders(spark, scratch):
     env = {"count": 0, "data": [], "json_file": "obs_elab_QmJ_2023-05-01.json"}
     write_lines(f"{scratch}/tree/2023/obs_elab_QmJ_2023-05-01.json", [json.dumps(env)])
