@@ -45,6 +45,10 @@ AVG_DIGITS = 6
 # Incremental live refresh: rows landed before this instant form the first
 # run, the rest the second.
 LIVE_INCREMENT_CUT = _dt.datetime(2024, 1, 15)
+# Watermarked streams: thirds of the month, and which events land late or again.
+LATE_BEFORE, LAST_FROM = _dt.datetime(2024, 1, 11), _dt.datetime(2024, 1, 21)
+LATE_EVERY = 40
+AGAIN_WITHIN = _dt.timedelta(minutes=10)
 BROKEN_EVERY = 13              # live_quarantine: events whose line is broken
 PAGE_SIZE = 250                # records of a chained API page
 LOST_PAGE_EVERY = 32           # page_chain_report: every 32nd page names one that never landed
@@ -506,6 +510,35 @@ def q_stream_indicator(spark, sf):
     return _as_ntz(S.read_indicator_store(spark, f"{d}/out"))
 
 
+def _watermarked(spark, sf, name, build):
+    """The stored result of a watermarked stream that is run three times, from
+    one checkpoint, as its events land by thirds of the month: some of the first
+    third land with the last one, ten days behind the watermark; others, and the
+    last minutes of the second third, land a second time."""
+    d = _run_dir(spark, name)
+    ev = fx.table(spark, sf, "events")
+    first, last = (F.col("ts") < F.lit(LATE_BEFORE).cast("timestamp_ntz"), F.col("ts") >= F.lit(LAST_FROM).cast("timestamp_ntz"))
+    late = first & (F.col("event_id") % LATE_EVERY == 0)
+    again = (first & (F.col("event_id") % LATE_EVERY == 1)) | (
+        ~last & (F.col("ts") >= F.lit(LAST_FROM - AGAIN_WITHIN).cast("timestamp_ntz")))
+    for part in (first & ~late, ~first & ~last, last | late | again):
+        ev.where(part).write.mode("append").parquet(f"{d}/landed")
+        stream = _as_ltz(fx.live_raw_from(spark.readStream.schema(ev.schema).parquet(f"{d}/landed")))
+        out = S.run_to_table(build(stream), f"{d}/out", f"{name}_{uuid.uuid4().hex}", checkpoint=f"{d}/ckpt")
+    return _as_ntz(out)
+
+
+def q_stream_dedup_watermark(spark, sf):
+    """De-duplication in state within the watermark; late rows are left out."""
+    return _watermarked(spark, sf, "stream_dedup_watermark", S.stream_dedup)
+
+
+def q_stream_indicator_watermark(spark, sf):
+    """Stream-static indicator within the watermark; late rows are left out."""
+    hist = W.materialize(_hist(spark, sf), f"{_run_dir(spark, 'stream_indicator_watermark_hist')}/hist_agg")
+    return _watermarked(spark, sf, "stream_indicator_watermark", lambda stream: S.stream_indicator(stream, hist))
+
+
 def q_stream_pull_windows(spark, sf):
     """Pull windows of a stream, all of them, over several micro-batches."""
     d = _run_dir(spark, "stream_pull_windows")
@@ -603,6 +636,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_latest": q_stream_latest,
     "stream_indicator": q_stream_indicator,
     "stream_pull_windows": q_stream_pull_windows,
+    "stream_dedup_watermark": q_stream_dedup_watermark,
+    "stream_indicator_watermark": q_stream_indicator_watermark,
     "land_load_hist": q_land_load_hist,
     "hist_refresh": q_hist_refresh,
     "stations_refresh": q_stations_refresh,

@@ -266,6 +266,11 @@ ORACLE["stream_latest"] = ORACLE["live_latest"]
 ORACLE["stream_indicator"] = (_with(FX_LIVE_BASE, FX_LIVE_RAW, FX_HIST_FLAT, HIST_AGG,
                                     _dedup("dedup", "fx_live_raw")) + _indicator("dedup"))
 ORACLE["stream_pull_windows"] = ORACLE["pull_windows"]
+_ON_TIME = (FX_LIVE_BASE.removesuffix(")")
+            + f" WHERE NOT (ts < TIMESTAMP '{C.LATE_BEFORE}' AND event_id % {C.LATE_EVERY} = 0))")
+ORACLE["stream_dedup_watermark"] = (_with(_ON_TIME, FX_LIVE_RAW, _dedup("dedup", "fx_live_raw")) + "SELECT * FROM dedup")
+ORACLE["stream_indicator_watermark"] = (_with(_ON_TIME, FX_LIVE_RAW, FX_HIST_FLAT, HIST_AGG,
+                                              _dedup("dedup", "fx_live_raw")) + _indicator("dedup"))
 ORACLE["land_load_hist"] = ORACLE["hist_flatten"]
 ORACLE["hist_refresh"] = ORACLE["hist_agg_exact"]
 ORACLE["stations_refresh"] = (_with(FX_STATIONS)
