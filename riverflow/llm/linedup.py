@@ -134,10 +134,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = _runs(keyed, min_line_words).where((F.col("length") >= min_lines) | F.col("long"))
     # a document's runs: bounded by its own lines
     runs = runs.groupBy(*KEY).agg(F.collect_list(F.struct("seq", "length")).alias("runs"))
-    lines = F.split("text", "\n")
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    out = keyed.join(runs, KEY, "left").withColumn("nonblank", F.when(F.col("runs").isNotNull(), F.filter(
-        numbers, lambda i: F.trim(F.element_at(lines, i + 1)) != "")))
+    # one projection per column: a lambda would split the text anew for every line
+    lines, numbers = F.col("lines"), F.col("numbers")
+    out = keyed.join(runs, KEY, "left").withColumn("lines", F.split("text", "\n"))
+    out = out.withColumn("numbers", F.when(F.col("runs").isNotNull(), F.sequence(F.lit(0), F.size(lines) - 1)))
+    out = out.withColumn("nonblank", F.filter(numbers, lambda i: F.trim(F.element_at(lines, i + 1)) != ""))
     out = out.withColumn("gone", F.array_distinct(F.flatten(F.transform(
         "runs", lambda r: F.slice("nonblank", r["seq"] + 1, r["length"])))))
     return out.select(
