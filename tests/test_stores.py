@@ -2,6 +2,7 @@
 file skipping, exact stream stores by day."""
 
 import datetime as dt
+import math
 import os
 import random
 
@@ -178,6 +179,36 @@ def test_rolling_refresh_that_stops_is_not_seen(spark, scratch, monkeypatch):
     assert key(rolling.window_quantiles(spark, scratch, days).collect()) == key(rolling.window_quantiles(spark, once, days).collect())
 
 
+def test_rolling_lists_are_broadcast_and_lone_sketches_kept(spark, scratch):
+    day = dt.date(1999, 3, 1)
+    rows = [("A", 1.0, 2.0, "QmJ", 5.0 + i, day + dt.timedelta(days=i), f"f{i}") for i in range(40)]
+    rows += [("B", None, 2.0, "QmJ", 7.0, day, "f0")]
+    flat = spark.createDataFrame(rows, "code_station string, latitude double, longitude double, grandeur_hydro_elab string, "
+                                       "resultat_obs_elab double, date_obs_elab date, json_file string")
+    rolling.refresh(spark, scratch, flat.where("json_file < 'f2'"), load=1)
+    rolling.refresh(spark, scratch, flat, load=2)
+    tree = rolling.nodes(spark, scratch)
+    plan = tree._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert {r.level for r in tree.select("level").distinct().collect()} == set(rolling.STORED)
+    lone = tree.where("code_station = 'B'").select("sketch", "latitude").distinct().collect()
+    assert len(lone) == 1 and lone[0].latitude is None
+    got = {r.code_station: r for r in rolling.window_quantiles(spark, scratch, [day + dt.timedelta(days=30)], days=20).collect()}
+    assert set(got) == {"A"}
+    assert (got["A"].minimum_date_window, got["A"].maximum_date_window) == (day + dt.timedelta(days=11), day + dt.timedelta(days=30))
+    values = [r[4] for r in rows[11:31]]
+    assert [got["A"][c] for c in schemas.QUANTILE_COLUMNS] == [
+        values[max(1, math.ceil(round(f * 1000) * 20 / 1000)) - 1] for f in schemas.QUANTILE_FRACTIONS]
+
+
+def test_stored_cover_holds_the_same_days():
+    a, b = dt.date(1996, 2, 28), dt.date(1998, 2, 26)
+    found = rolling.stored_cover(a, b)
+    assert all(level in rolling.STORED for level, _ in found)
+    assert sorted(d for level, i in found for d in range(i << level, (i + 1) << level)) == list(
+        range((a - rolling.EPOCH).days, (b - rolling.EPOCH).days + 1))
+
+
 # --- versions
 
 def test_replacement_is_one_commit(spark, scratch, monkeypatch):
