@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from riverflow import schemas
 from riverflow.functions import file_tag
+from riverflow.operators.joins import checked_broadcast
+from riverflow.session import stage
 
 NTZ = T.TimestampNTZType()
 # History before this instant, live readings from it on.
@@ -169,28 +171,34 @@ def fx_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Records per landed envelope page (a day-file larger than this is landed
 # as several pages carrying the same json_file).
 ENVELOPE_MAX_RECORDS = 5000
+DAY_FILES_MAX_ROWS = 500_000  # (day-file, size) rows of a broadcast list
 
 
-def fx_hist_envelopes(spark: SparkSession, sf_dir: str,
-                      max_records: int = ENVELOPE_MAX_RECORDS) -> DataFrame:
-    """Day envelopes as landed: rows of one day-file with their records.
+def fx_hist_envelopes(spark: SparkSession, sf_dir: str, max_records: int = ENVELOPE_MAX_RECORDS,
+                      files: Column | None = None) -> DataFrame:
+    """Day envelopes as landed: rows of one day-file with their records, of all
+    day-files or of those that ``files`` (a test of ``json_file``) holds for.
 
     A day-file is cut into ceil(n / max_records) pages by a hash of each
     record, so no envelope (one row, built by one task) grows with the data:
     a day holding a third of all rows becomes many bounded pages.  The day
-    sizes (one row per day-file, map-side counted) are joined back; AQE
-    broadcasts them once measured small, or splits the hot day's partition.
+    sizes (one row per day-file, map-side counted) are stored, counted and
+    broadcast, so rows are shuffled once, by day-file and page, which bounds
+    what a task gets of one day.
     """
     flat = fx_hist_flat(spark, sf_dir)
-    sizes = flat.groupBy("json_file").agg(F.count(F.lit(1)).alias("_n"))
-    sized = flat.join(sizes, on="json_file", how="inner")
+    if files is not None:
+        flat = flat.where(files)
+    sizes = stage(flat.groupBy("json_file").agg(F.count(F.lit(1)).alias("_n")), "day_sizes")
+    sized = flat.join(checked_broadcast(sizes, DAY_FILES_MAX_ROWS), on="json_file", how="inner")
     pages = F.ceil(F.col("_n") / F.lit(max_records))
     page = F.pmod(F.xxhash64(*[F.col(c) for c in flat.columns]), pages)
     record = F.struct(*[
         (F.col(n) if n != "date_prod" else F.lit(None).cast(t)).alias(n)
         for n, t in schemas.HIST_RECORD_FIELDS
     ])
-    env = sized.groupBy("json_file", page.alias("_page")).agg(
+    dealt = sized.withColumn("_page", page).repartition("json_file", "_page")
+    env = dealt.groupBy("json_file", "_page").agg(
         F.collect_list(record).alias("data"),
         F.count(F.lit(1)).alias("count"),
     )

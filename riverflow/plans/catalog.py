@@ -189,10 +189,9 @@ def _loaded_history(spark, sf, name):
     the day-files of the first among the landed ones and skips them."""
     d = _run_dir(spark, name)
     paths = P.Paths(f"{d}/tables")
-    env = stage(fx.fx_hist_envelopes(spark, sf), "envelopes")
     early = F.coalesce(_file_before(INCREMENTAL_FIRST_RUN_BEFORE), F.lit(False))
     for part in (early, ~early):
-        W.land_hist(env.where(part), f"{d}/landed")
+        W.land_hist(fx.fx_hist_envelopes(spark, sf, files=part), f"{d}/landed")
         P.load_hist_files(spark, f"{d}/landed", paths)
     return paths
 

@@ -397,3 +397,14 @@ def test_landing_tree_with_plain_year_folders(spark, scratch):
     paths = P.Paths(f"{scratch}/out")
     assert P.load_hist_files(spark, f"{scratch}/tree", paths) == 2
     assert P.load_hist_files(spark, f"{scratch}/tree", paths) == 0
+
+
+def test_envelopes_of_some_files_shuffle_rows_once(spark):
+    early = F.col("json_file") < F.lit("obs_elab_QmJ_1998-01-01.json")
+    key = lambda df: sorted((r.json_file, r["count"], sorted(map(str, r.data))) for r in df.collect())
+    every = fx.fx_hist_envelopes(spark, SF_SMALL, max_records=3)
+    some = fx.fx_hist_envelopes(spark, SF_SMALL, max_records=3, files=early)
+    assert key(some) == key(every.where(early)) != []
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "SortMergeJoin" not in plan
