@@ -132,6 +132,10 @@ class Encoder:
         self.cuts = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                      and not pre.get("add_prefix_space") and not spec.get("normalizer")
                      and spec["model"]["type"] == "BPE")
+        # bytes of each id: a character of a byte-level token is one byte
+        vocab = self.tokenizer.get_vocab()
+        self.long = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        self.long[list(vocab.values())] = [len(t) for t in vocab]
         self.added = [t["content"].encode() for t in spec.get("added_tokens", [])]
         self._clear()
 
@@ -183,34 +187,44 @@ class Encoder:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind) for e in got]
 
-    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
         """Ids of new pieces.  Pieces that start with a space keep apart when
-        joined, so they are encoded many at a time."""
-        apart = [p[0] == 32 and len(p) > 1 and not self._SPACE[p[1]] for p in pieces]
-        order = [i for i, a in enumerate(apart) if a]
-        groups = [order[i:i + 200] for i in range(0, len(order), 200)]
-        texts = [b"".join(pieces[i] for i in g).decode() for g in groups]
+        joined, so they are encoded many at a time and told apart by the bytes
+        of their ids."""
+        after = data[np.minimum(start + 1, len(data) - 1)]
+        apart = (data[start] == 32) & (size > 1) & ~self._SPACE[after]
+        order = np.argsort(~apart, kind="stable")       # those that keep apart first
+        start, long, many = start[order], size[order].astype(np.int32), int(apart.sum())
+        joined = data[K.inside(start, long)[0]]
+        blob, stop = joined.tobytes(), np.cumsum(long, dtype=np.int64)
+        borders = [0, *stop[:many][199:-1:200].tolist(), *([int(stop[many - 1])] if many else [])]
+        texts = [blob[a:b].decode() for a, b in zip(borders, borders[1:])]
         ids, sizes = [], []
-        for g, e in zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            ids += e.ids
-            sizes.append(np.bincount(np.array(e.word_ids), minlength=len(g)))
-        rest = [i for i, a in enumerate(apart) if not a]
-        for e in self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False):
-            ids += e.ids
+        for i, (t, e) in enumerate(zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))):
+            ends = stop[200 * i:min(200 * (i + 1), many)] - borders[i]
+            got = np.array(e.ids, np.int64)
+            upto = np.cumsum(self.long[got])
+            n = np.searchsorted(upto, ends) + 1
+            if len(got) < len(ends) or n[-1] != len(got) or (upto[n - 1] != ends).any():
+                # bytes without a token of their own: by the library's count
+                e = self.tokenizer.encode(t, add_special_tokens=False)
+                got, n = np.array(e.ids, np.int64), np.cumsum(np.bincount(np.array(e.word_ids), minlength=len(ends)))
+            ids.append(got)
+            sizes.append(np.diff(n, prepend=0))
+        rest = [blob[b - n:b].decode() for b, n in zip(stop[many:].tolist(), long[many:].tolist())]
+        for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False):
+            ids.append(np.array(e.ids, np.int64))
             sizes.append([len(e.ids)])
-        n = np.concatenate(sizes).astype(np.int32)
+        n, ids = np.concatenate(sizes).astype(np.int32), np.concatenate(ids)
         base = len(self.first)
-        self._enter(hashes[order + rest], np.arange(base, base + len(n), dtype=np.int32))
+        self._enter(hashes[order], np.arange(base, base + len(n), dtype=np.int32))
         self.first = np.concatenate([self.first, (self.used + np.cumsum(n) - n).astype(np.int32)])
         self.size = np.concatenate([self.size, n])
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.used:self.used + len(ids)] = ids
         self.used += len(ids)
-        ordered = [pieces[i] for i in order + rest]
-        joined = np.frombuffer(b"".join(ordered), np.uint8)
-        long = np.array([len(p) for p in ordered], np.int32)
-        self.byte_first = np.concatenate([self.byte_first, (self.held + np.cumsum(long) - long).astype(np.int32)])
+        self.byte_first = np.concatenate([self.byte_first, (self.held + stop - long).astype(np.int32)])
         self.byte_size = np.concatenate([self.byte_size, long])
         while self.held + len(joined) > len(self.bytes):
             self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)])
@@ -271,7 +285,7 @@ class Encoder:
                     new = np.arange(len(h))
                 fresh, where = np.unique(h[new], return_index=True)
                 where = new[where]
-                self._learn(fresh, [blob[x:y] for x, y in zip(start[where].tolist(), stop[where].tolist())])
+                self._learn(fresh, data, start[where], (stop - start)[where])
                 number[new] = self._find(h[new])
             for i in np.unique(owner[self._differs(number, data, stop - start, places)]):
                 # a piece of it only has the hash of a known one

@@ -649,3 +649,34 @@ def test_pipeline_on_edge_rows(spark):
             step(spark, frame, SF).write.parquet(f"{base}/{n}-{k}")
             frame = spark.read.parquet(f"{base}/{n}-{k}")
         assert frame.count() == (0 if n else len({r.doc_id for r in frame.collect()}))
+
+
+def test_op3_learns_pieces_by_the_bytes_of_their_ids():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenbin.vocabulary())
+
+    class Fast:
+        calls = 0
+
+        def encode_batch_fast(self, *args, **named):
+            return plain.encode_batch_fast(*args, **named)
+
+        def encode(self, *args, **named):
+            Fast.calls += 1
+            return plain.encode(*args, **named)
+
+    texts = [" ".join(f"wörd{i} {i * 7919}, x" for i in range(500)), "\n".join(f"lone{i}" for i in range(450)),
+             "".join(f" a{i}" for i in range(200)), "", " ", "one"]
+    raw = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for known in (True, False):
+        encoder = tokenbin.Encoder(tokenbin.vocabulary())
+        encoder.tokenizer, Fast.calls = Fast(), 0
+        if not known:
+            encoder.long[:] = 0
+        alone = [encoder.encode(np.frombuffer(r, np.uint8), np.array([0, len(r)]))[0].tolist() for r in raw]
+        assert alone == want
+        encoder._clear()
+        assert [x.tolist() for x in encoder.encode(np.frombuffer(b"".join(raw), np.uint8), off)] == want
+        assert (Fast.calls == 0) == known
